@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The workload is batch only: sources are static extracts, recency is measured
+against the data's own latest order, and there is no watermark, window of
+event time, state or late-data rule to reproduce.  Nothing is built here.
+"""
