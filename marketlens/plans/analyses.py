@@ -213,13 +213,18 @@ def category_revenue_top15(w, top: int = 15) -> DataFrame:
     return out.orderBy("category_rank").limit(top)
 
 
-def seller_revenue_deciles(w) -> DataFrame:
+def seller_decile_totals(w) -> DataFrame:
+    """Sellers and exact revenue per revenue decile (NTILE(10), top first)."""
     sp = w.seller_performance.select("seller_key", "total_revenue")
     ranked = global_ntile(sp, 10, [F.col("total_revenue").desc_nulls_last(), F.col("seller_key").asc()], "decile")
-    by_decile = ranked.groupBy("decile").agg(
+    return ranked.groupBy("decile").agg(
         F.count(F.lit(1)).alias("sellers"),
         F.sum(F.col("total_revenue").cast("decimal(18,2)")).alias("rev"),
     )
+
+
+def seller_revenue_deciles(w) -> DataFrame:
+    by_decile = seller_decile_totals(w)
     # At most ten rows: windows over this frame are bounded by construction.
     total = F.sum("rev").over(Window.partitionBy(F.lit(1)))
     running = F.sum("rev").over(Window.orderBy("decile"))
