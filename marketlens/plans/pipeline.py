@@ -184,3 +184,22 @@ class Warehouse:
 
     def relation(self, name: str) -> DataFrame:
         return getattr(self, name)
+
+
+def write_marts(w: Warehouse, mart_dir: str) -> dict[str, int]:
+    """Materialise every mart as Parquet under ``mart_dir`` (full refresh).
+
+    Marts are written in dependency order and each later mart is built from
+    the already written ones, so lineage is cut at every table and a lost
+    executor only costs the table being written.  Returns row counts.
+    """
+    from marketlens.sources.sinks import write_table
+
+    counts: dict[str, int] = {}
+    stored: dict[str, DataFrame] = {}
+    for name in MART_NAMES:
+        current = Warehouse(w.spark, w.sources, stored)
+        path = f"{mart_dir.rstrip('/')}/{name}"
+        counts[name] = write_table(current.relation(name), path, "parquet", name)
+        stored[name] = w.spark.read.parquet(path)
+    return counts
