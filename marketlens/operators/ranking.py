@@ -149,23 +149,43 @@ def global_percent_rank(
     out: str,
     ascending: bool = True,
     nulls_last: bool = True,
+    tie: str | None = None,
     **kw,
 ) -> DataFrame:
     """PERCENT_RANK() OVER (ORDER BY key): (rank - 1) / (n - 1), 0 for n = 1.
 
-    Ties share a rank, so the rank is computed on the distinct keys: count
-    rows per key (partial aggregation absorbs hot keys), number the distinct
-    keys with the range-partitioned running count, and join the rank back
-    on the key (null-safe; AQE splits a skewed key on the row side).
+    Ties share a rank: the rank of a row is the global row number of the
+    first row of its key group.
+
+    * With a unique ``tie`` column the rows themselves are ranked once on
+      ``(key, tie)`` (checkpointed, so the upstream runs once); the first row
+      number per key is a partial-aggregated ``min`` and is joined back on the
+      key (null-safe; AQE splits a hot key on the row side).
+    * Without one, rows are counted per distinct key (partial aggregation
+      absorbs hot keys), the distinct keys are ranked with a running count,
+      and the rank is joined back on the key.
     """
     kcol = F.col(key)
-    v = F.col(_VAL)
-    if ascending:
-        key_order = [v.asc_nulls_last() if nulls_last else v.asc_nulls_first()]
-    else:
-        key_order = [v.desc_nulls_last() if nulls_last else v.desc_nulls_first()]
+
+    def ordered(c):
+        if ascending:
+            return c.asc_nulls_last() if nulls_last else c.asc_nulls_first()
+        return c.desc_nulls_last() if nulls_last else c.desc_nulls_first()
+
+    if tie is not None:
+        rn, n, first = "__rk_prn", "__rk_pn", "__rk_first"
+        ranked = rank_frame(df, [ordered(kcol), F.col(tie).asc()], row_number=rn, total=n, **kw)
+        firsts = ranked.groupBy(kcol.alias(_VAL)).agg(F.min(rn).alias(first))
+        joined = ranked.join(firsts, kcol.eqNullSafe(F.col(_VAL)), "inner")
+        pr = F.when(F.col(n) <= 1, F.lit(0.0)).otherwise(
+            (F.col(first) - 1).cast("double") / (F.col(n) - 1).cast("double")
+        )
+        return joined.withColumn(out, pr).drop(_VAL, rn, n, first)
+
     per_key = df.groupBy(kcol.alias(_VAL)).agg(F.count(F.lit(1)).alias(_CNT))
-    ranked = rank_frame(per_key, key_order, value=_CNT, row_number=f"{_VAL}_rn", running_sum=_LOCAL, total_sum=_TOT)
+    ranked = rank_frame(
+        per_key, [ordered(F.col(_VAL))], value=_CNT, row_number=f"{_VAL}_rn", running_sum=_LOCAL, total_sum=_TOT, **kw
+    )
     ranks = ranked.select(
         F.col(_VAL),
         (F.col(_LOCAL) - F.col(_CNT)).alias("__rk_below"),

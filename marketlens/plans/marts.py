@@ -24,17 +24,17 @@ def customer_rfm(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("frequency"),
         F.sum("total_payment_value").alias("monetary_exact"),
     )
-    # The snapshot date is the latest paid purchase overall = max over persons.
-    latest = per_person.agg(F.max("last_purchase")).scalar()
-    base = per_person.select(
-        "customer_unique_id",
-        F.datediff(latest, F.col("last_purchase")).cast("bigint").alias("recency_days"),
-        "frequency",
-        round_scaled(F.col("monetary_exact").cast("double"), 2).alias("monetary"),
-    )
     uid = F.col("customer_unique_id").asc()
-    scored = global_ntile(base, 5, [F.col("recency_days").desc_nulls_last(), uid], "r_score")
+    # recency_days = date(latest) - date(last purchase) with one global
+    # "latest", so "recency_days DESC" is exactly "purchase date ASC": rank
+    # on the date and derive the day count afterwards from the ranked frame.
+    last_day = F.to_date("last_purchase")
+    scored = global_ntile(per_person, 5, [last_day.asc_nulls_last(), uid], "r_score")
+    scored = scored.withColumn("monetary", round_scaled(F.col("monetary_exact").cast("double"), 2))
     scored = global_ntile(scored, 5, [F.col("monetary").asc_nulls_last(), uid], "m_score")
+    # The snapshot date is the latest paid purchase overall = max over persons.
+    latest = scored.agg(F.max("last_purchase")).scalar()
+    scored = scored.withColumn("recency_days", F.datediff(latest, F.col("last_purchase")).cast("bigint"))
     scored = scored.withColumn("f_score", frequency_score("frequency"))
     return scored.select(
         "customer_unique_id",
@@ -61,7 +61,9 @@ def customer_satisfaction(fct_orders: DataFrame, dim_customers: DataFrame) -> Da
         round_scaled(F.avg("avg_review_score"), 2).alias("avg_review_score"),
         F.max("order_purchase_timestamp").alias("last_purchase"),
     )
-    ranked = global_percent_rank(per_person, "total_spent", "pr", ascending=True, nulls_last=True)
+    ranked = global_percent_rank(
+        per_person, "total_spent", "pr", ascending=True, nulls_last=True, tie="customer_unique_id"
+    )
     return ranked.select(
         "customer_unique_id",
         "customer_state",

@@ -73,7 +73,25 @@ def _items_numeric(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def testbed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+_MEMO_ATTR = "_marketlens_testbed_plans"
+
+
+def testbed_sources(spark: SparkSession, sf_dir: str, reuse: bool = True) -> dict[str, DataFrame]:
+    """The nine sources as lazy DataFrames over the test tables.
+
+    The plans (not data) are memoised per session and directory: building
+    them costs thousands of JVM round trips, and every query of a session
+    would otherwise rebuild the identical plan.  Execution still reads the
+    tables each time.
+    """
+    key = sf_dir.rstrip("/")
+    memo = spark.__dict__.setdefault(_MEMO_ATTR, {}) if reuse else {}
+    if key not in memo:
+        memo[key] = _build_testbed_sources(spark, key)
+    return dict(memo[key])
+
+
+def _build_testbed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     t = read_tables(spark, sf_dir)
     k = F.col("o_orderkey")
 

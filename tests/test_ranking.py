@@ -52,11 +52,14 @@ def test_ntile_fewer_rows_than_tiles(spark):
     assert _pairs(mine, "id", "t") == _pairs(ref, "id", "t")
 
 
+@pytest.mark.parametrize("tie", [None, "id"])
 @pytest.mark.parametrize("ascending,nulls_last", [(True, True), (False, True), (True, False)])
-def test_percent_rank_equals_builtin_with_ties_and_nulls(skewed, ascending, nulls_last):
+def test_percent_rank_equals_builtin_with_ties_and_nulls(skewed, ascending, nulls_last, tie):
     v = F.col("v")
     o = (v.asc_nulls_last() if nulls_last else v.asc_nulls_first()) if ascending else v.desc_nulls_last()
-    mine = global_percent_rank(skewed, "v", "pr", ascending=ascending, nulls_last=nulls_last, num_partitions=6)
+    mine = global_percent_rank(
+        skewed, "v", "pr", ascending=ascending, nulls_last=nulls_last, tie=tie, num_partitions=6
+    )
     ref = skewed.withColumn("pr", F.percent_rank().over(Window.orderBy(o)))
     assert _pairs(mine, "id", "pr") == _pairs(ref, "id", "pr")
 
@@ -64,6 +67,7 @@ def test_percent_rank_equals_builtin_with_ties_and_nulls(skewed, ascending, null
 def test_percent_rank_single_row(spark):
     df = spark.createDataFrame([(1, 3.0)], "id bigint, v double")
     assert [r.pr for r in global_percent_rank(df, "v", "pr").collect()] == [0.0]
+    assert [r.pr for r in global_percent_rank(df, "v", "pr", tie="id").collect()] == [0.0]
 
 
 def test_running_sum_equals_builtin(skewed):
