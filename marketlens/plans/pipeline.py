@@ -35,6 +35,24 @@ MART_NAMES = (
 )
 # ---------------------------------------------------------------------------
 
+# Every relation of the model graph in dependency order.
+MODEL_ORDER = (
+    "stg_customers",
+    "stg_orders",
+    "stg_order_items",
+    "stg_order_payments",
+    "stg_order_reviews",
+    "stg_products",
+    "stg_sellers",
+    "stg_geolocation",
+    "stg_category_translation",
+    "int_order_items_aggregated",
+    "int_order_payments_aggregated",
+    "int_order_reviews_aggregated",
+    "int_geolocation_deduped",
+    *MART_NAMES,
+)
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sources: dict[str, DataFrame] | None = None, stored: dict | None = None):
@@ -64,56 +82,56 @@ class Warehouse:
     # -- staging -----------------------------------------------------------
     @cached_property
     def stg_customers(self) -> DataFrame:
-        return staging.stg_customers(self.sources["customers"])
+        return self._mart("stg_customers", lambda: staging.stg_customers(self.sources["customers"]))
 
     @cached_property
     def stg_orders(self) -> DataFrame:
-        return staging.stg_orders(self.sources["orders"])
+        return self._mart("stg_orders", lambda: staging.stg_orders(self.sources["orders"]))
 
     @cached_property
     def stg_order_items(self) -> DataFrame:
-        return staging.stg_order_items(self.sources["order_items"])
+        return self._mart("stg_order_items", lambda: staging.stg_order_items(self.sources["order_items"]))
 
     @cached_property
     def stg_order_payments(self) -> DataFrame:
-        return staging.stg_order_payments(self.sources["order_payments"])
+        return self._mart("stg_order_payments", lambda: staging.stg_order_payments(self.sources["order_payments"]))
 
     @cached_property
     def stg_order_reviews(self) -> DataFrame:
-        return staging.stg_order_reviews(self.sources["order_reviews"])
+        return self._mart("stg_order_reviews", lambda: staging.stg_order_reviews(self.sources["order_reviews"]))
 
     @cached_property
     def stg_products(self) -> DataFrame:
-        return staging.stg_products(self.sources["products"])
+        return self._mart("stg_products", lambda: staging.stg_products(self.sources["products"]))
 
     @cached_property
     def stg_sellers(self) -> DataFrame:
-        return staging.stg_sellers(self.sources["sellers"])
+        return self._mart("stg_sellers", lambda: staging.stg_sellers(self.sources["sellers"]))
 
     @cached_property
     def stg_geolocation(self) -> DataFrame:
-        return staging.stg_geolocation(self.sources["geolocation"])
+        return self._mart("stg_geolocation", lambda: staging.stg_geolocation(self.sources["geolocation"]))
 
     @cached_property
     def stg_category_translation(self) -> DataFrame:
-        return staging.stg_category_translation(self.sources["product_category_translation"])
+        return self._mart("stg_category_translation", lambda: staging.stg_category_translation(self.sources["product_category_translation"]))
 
     # -- intermediate ------------------------------------------------------
     @cached_property
     def int_order_items_aggregated(self) -> DataFrame:
-        return intermediate.int_order_items_aggregated(self.stg_order_items)
+        return self._mart("int_order_items_aggregated", lambda: intermediate.int_order_items_aggregated(self.stg_order_items))
 
     @cached_property
     def int_order_payments_aggregated(self) -> DataFrame:
-        return intermediate.int_order_payments_aggregated(self.stg_order_payments)
+        return self._mart("int_order_payments_aggregated", lambda: intermediate.int_order_payments_aggregated(self.stg_order_payments))
 
     @cached_property
     def int_order_reviews_aggregated(self) -> DataFrame:
-        return intermediate.int_order_reviews_aggregated(self.stg_order_reviews)
+        return self._mart("int_order_reviews_aggregated", lambda: intermediate.int_order_reviews_aggregated(self.stg_order_reviews))
 
     @cached_property
     def int_geolocation_deduped(self) -> DataFrame:
-        return intermediate.int_geolocation_deduped(self.stg_geolocation)
+        return self._mart("int_geolocation_deduped", lambda: intermediate.int_geolocation_deduped(self.stg_geolocation))
 
     # -- dimensions and facts ------------------------------------------------
     @cached_property
@@ -203,3 +221,30 @@ def write_marts(w: Warehouse, mart_dir: str) -> dict[str, int]:
         counts[name] = write_table(current.relation(name), path, "parquet", name)
         stored[name] = w.spark.read.parquet(path)
     return counts
+
+
+def materialize(w: Warehouse, names=None, root: str | None = None) -> Warehouse:
+    """Write the named relations (default: the whole graph) once, in
+    dependency order, as Parquet tables under the session's checkpoint
+    directory, and return a ``Warehouse`` that reads them.
+
+    Each table is built from the already written ones, so every relation is
+    computed exactly once and lineage is cut at every table; later readers
+    get column pruning and predicate pushdown on the stored Parquet.
+    """
+    import uuid
+
+    from marketlens.session import ensure_checkpoint_dir
+    from marketlens.sources.sinks import write_table
+
+    wanted = set(MODEL_ORDER if names is None else names)
+    base = root or f"{ensure_checkpoint_dir(w.spark).rstrip('/')}/marketlens-tables-{uuid.uuid4().hex[:12]}"
+    stored: dict[str, DataFrame] = dict(w._stored)
+    for name in MODEL_ORDER:
+        if name not in wanted or name in stored:
+            continue
+        current = Warehouse(w.spark, w.sources, stored)
+        path = f"{base}/{name}"
+        write_table(current.relation(name), path, "parquet", name)
+        stored[name] = w.spark.read.parquet(path)
+    return Warehouse(w.spark, w.sources, stored)
