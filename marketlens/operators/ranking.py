@@ -25,6 +25,7 @@ the total, and (for ties) a per-key count, matching the SQL definitions.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +43,7 @@ _LOCAL = "__rk_local"
 _VAL = "__rk_val"
 
 PARTITIONS_CONF = "marketlens.ranking.partitions"
+PERSIST_CONF = "marketlens.ranking.persistInput"
 
 
 def _num_ranges(df: DataFrame, num_partitions: int | None) -> int:
@@ -57,13 +59,23 @@ def _num_ranges(df: DataFrame, num_partitions: int | None) -> int:
 def _ranged(df: DataFrame, order: list[Column], num_partitions: int | None) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     n = _num_ranges(df, num_partitions)
-    ranged = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
-    )
-    return ranged.checkpoint(eager=True)
+    # Range partitioning samples its input in one job and shuffles it in the
+    # next; keep the input for the duration of this build so the upstream
+    # runs once.  The cache is released as soon as the checkpoint is written
+    # (a lost block is simply recomputed from lineage).
+    keep = str(df.sparkSession.conf.get(PERSIST_CONF, "true")).lower() == "true"
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if keep else df
+    try:
+        ranged = (
+            src.repartitionByRange(n, *order)
+            .sortWithinPartitions(*order)
+            .withColumn(_PID, F.spark_partition_id())
+            .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
+        )
+        return ranged.checkpoint(eager=True)
+    finally:
+        if keep:
+            src.unpersist()
 
 
 def _with_offsets(ranged: DataFrame, value: str | None) -> DataFrame:

@@ -146,3 +146,17 @@ def dq_report(w, checks: list[Check] | None = None, materialize_models: bool = T
 def failing_checks(report: DataFrame) -> list:
     """Error-severity checks with violations (a handful of report rows)."""
     return report.where((F.col("severity") == "error") & (F.col("violations") > 0)).collect()
+
+
+class DataQualityError(RuntimeError):
+    pass
+
+
+def assert_checks(report: DataFrame) -> list:
+    """Raise if any error-severity check fails; return the warn rows that
+    have violations (they are reported, never fatal)."""
+    failed = failing_checks(report)
+    if failed:
+        lines = [f"{r.table_name}.{r.column_name} {r.check_name}: {r.violations}" for r in failed]
+        raise DataQualityError("failing checks:\n" + "\n".join(lines))
+    return report.where((F.col("severity") == "warn") & (F.col("violations") > 0)).collect()

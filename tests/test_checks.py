@@ -81,7 +81,22 @@ def test_declared_suite_size():
 def test_suite_is_clean_on_fixture_except_reconciliation(warehouse):
     from marketlens.plans.quality import dq_report, failing_checks
 
+    from marketlens.plans.quality import assert_checks
+
     report = dq_report(warehouse)
     assert failing_checks(report) == []
-    warn = report.where("severity = 'warn'").collect()
-    assert len(warn) == 1 and warn[0].violations > 0
+    warn = assert_checks(report)
+    assert len(warn) == 1 and warn[0].check_name == "assert_payment_matches_order_value" and warn[0].violations > 0
+
+
+def test_error_severity_raises(spark):
+    import pytest
+
+    from marketlens.plans.quality import DataQualityError, assert_checks
+
+    report = spark.createDataFrame(
+        [("t", "unique", "k", "error", 2), ("t", "x", "k", "warn", 5)],
+        "table_name string, check_name string, column_name string, severity string, violations bigint",
+    )
+    with pytest.raises(DataQualityError):
+        assert_checks(report)
