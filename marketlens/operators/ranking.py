@@ -12,10 +12,10 @@ library goes through this module instead:
    holding a third of all rows is split across ranges.
 2. Each row records its range (``spark_partition_id``) and its position in
    the range (``monotonically_increasing_id`` minus the partition base) —
-   both deterministic after a total sort — and the frame is checkpointed to
-   the cluster's checkpoint directory.  The checkpoint freezes the ranges so
-   the counting pass and the numbering pass read the same partitions, and
-   it survives executor loss.
+   both deterministic after a total sort — and the frame is written as a
+   Parquet table under the cluster's checkpoint directory.  The written
+   table freezes the ranges so the counting pass and the numbering pass see
+   the same assignment, it cuts the lineage, and it survives executor loss.
 3. Per-range counts (and sums) — one row per range — give each range its
    offset; that tiny table (bounded by ``n``) is broadcast back.
 
@@ -25,11 +25,13 @@ the total, and (for ties) a per-key count, matching the SQL definitions.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.session import ensure_checkpoint_dir
+from marketlens.session import checkpoint_root, ensure_checkpoint_dir
 
 _PID = "__rk_pid"
 _POS = "__rk_pos"
@@ -72,7 +74,11 @@ def _ranged(df: DataFrame, order: list[Column], num_partitions: int | None) -> D
             .withColumn(_PID, F.spark_partition_id())
             .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
         )
-        return ranged.checkpoint(eager=True)
+        # Written as a Parquet table in the checkpoint folder: the counting
+        # pass then reads the range id column only.
+        path = f"{checkpoint_root(df.sparkSession)}/ranked-{uuid.uuid4().hex}"
+        ranged.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
     finally:
         if keep:
             src.unpersist()

@@ -234,11 +234,11 @@ def materialize(w: Warehouse, names=None, root: str | None = None) -> Warehouse:
     """
     import uuid
 
-    from marketlens.session import ensure_checkpoint_dir
+    from marketlens.session import checkpoint_root
     from marketlens.sources.sinks import write_table
 
     wanted = set(MODEL_ORDER if names is None else names)
-    base = root or f"{ensure_checkpoint_dir(w.spark).rstrip('/')}/marketlens-tables-{uuid.uuid4().hex[:12]}"
+    base = root or f"{checkpoint_root(w.spark)}/marketlens-tables-{uuid.uuid4().hex[:12]}"
     stored: dict[str, DataFrame] = dict(w._stored)
     for name in MODEL_ORDER:
         if name not in wanted or name in stored:

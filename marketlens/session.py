@@ -60,3 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="marketlens-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """Folder for lineage-cutting tables written by the library: the
+    checkpoint directory (shared storage on a cluster)."""
+    return ensure_checkpoint_dir(spark).rstrip("/")
