@@ -87,3 +87,28 @@ def test_no_single_partition_exchange_over_rows(skewed, capsys):
     # of the offsets; any SinglePartition exchange sits under that broadcast.
     assert "BroadcastExchange" in plan or "BroadcastHashJoin" in plan
     assert "BatchEvalPython" not in plan
+
+
+def _sql_ntile(rn: int, n: int, k: int) -> int:
+    """NTILE by the SQL definition: k buckets, the first n mod k one larger."""
+    buckets = min(k, n)
+    size, extra = divmod(n, buckets)
+    bound = 0
+    for b in range(1, buckets + 1):
+        bound += size + (1 if b <= extra else 0)
+        if rn <= bound:
+            return b
+    raise AssertionError
+
+
+def test_ntile_formula_exhaustive(spark):
+    from marketlens.operators.ranking import ntile_of
+
+    rows = [(rn, n, k) for n in range(1, 61) for k in range(1, 13) for rn in range(1, n + 1)]
+    df = spark.createDataFrame(rows, "rn bigint, n bigint, k bigint")
+    got = {}
+    for k in range(1, 13):
+        part = df.where(F.col("k") == k).select("rn", "n", ntile_of(F.col("rn"), F.col("n"), k).alias("t"))
+        for r in part.collect():
+            got[(r.rn, r.n, k)] = r.t
+    assert all(got[(rn, n, k)] == _sql_ntile(rn, n, k) for rn, n, k in rows)
