@@ -35,6 +35,11 @@ MART_NAMES = (
 )
 # ---------------------------------------------------------------------------
 
+# Stored order fact is partitioned by this derived column (purchase month),
+# so date-window questions prune whole directories at the scan.
+PARTITION_COLUMN = "purchase_month"
+PARTITIONED_MARTS = {"fct_orders": "order_purchase_timestamp"}
+
 # Every relation of the model graph in dependency order.
 MODEL_ORDER = (
     "stg_customers",
@@ -55,10 +60,18 @@ MODEL_ORDER = (
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sources: dict[str, DataFrame] | None = None, stored: dict | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        sources: dict[str, DataFrame] | None = None,
+        stored: dict | None = None,
+        partitioned: dict | None = None,
+    ):
         self.spark = spark
         self.sources = sources or {}
         self._stored: dict[str, DataFrame] = dict(stored or {})
+        # stored tables that still carry their partition column (for pruning)
+        self._partitioned: dict[str, DataFrame] = dict(partitioned or {})
 
     # -- constructors ------------------------------------------------------
     @classmethod
@@ -71,8 +84,14 @@ class Warehouse:
 
     @classmethod
     def from_marts(cls, spark: SparkSession, mart_dir: str, sources: dict[str, DataFrame] | None = None) -> "Warehouse":
-        stored = {m: spark.read.parquet(f"{mart_dir.rstrip('/')}/{m}") for m in MART_NAMES}
-        return cls(spark, sources, stored)
+        stored, partitioned = {}, {}
+        for m in MART_NAMES:
+            df = spark.read.parquet(f"{mart_dir.rstrip('/')}/{m}")
+            if PARTITION_COLUMN in df.columns:
+                partitioned[m] = df
+                df = df.drop(PARTITION_COLUMN)
+            stored[m] = df
+        return cls(spark, sources, stored, partitioned)
 
     def _mart(self, name: str, build) -> DataFrame:
         if name in self._stored:
@@ -213,13 +232,23 @@ def write_marts(w: Warehouse, mart_dir: str) -> dict[str, int]:
     """
     from marketlens.sources.sinks import write_table
 
+    from pyspark.sql import functions as F
+
     counts: dict[str, int] = {}
     stored: dict[str, DataFrame] = {}
+    partitioned: dict[str, DataFrame] = {}
     for name in MART_NAMES:
-        current = Warehouse(w.spark, w.sources, stored)
+        current = Warehouse(w.spark, w.sources, stored, partitioned)
         path = f"{mart_dir.rstrip('/')}/{name}"
-        counts[name] = write_table(current.relation(name), path, "parquet", name)
-        stored[name] = w.spark.read.parquet(path)
+        df = current.relation(name)
+        if name in PARTITIONED_MARTS:
+            month = F.trunc(F.col(PARTITIONED_MARTS[name]), "month").alias(PARTITION_COLUMN)
+            counts[name] = write_table(df.select("*", month), path, "parquet", name, partition_by=PARTITION_COLUMN)
+            partitioned[name] = w.spark.read.parquet(path)
+            stored[name] = partitioned[name].drop(PARTITION_COLUMN)
+        else:
+            counts[name] = write_table(df, path, "parquet", name)
+            stored[name] = w.spark.read.parquet(path)
     return counts
 
 

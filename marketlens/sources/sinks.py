@@ -30,10 +30,12 @@ def _path(out_dir: str, name: str, fmt: str) -> str:
     return f"{out_dir.rstrip('/')}/{name}.{fmt}"
 
 
-def write_table(df: DataFrame, path: str, fmt: str, name: str = "table") -> int:
+def write_table(df: DataFrame, path: str, fmt: str, name: str = "table", partition_by: str | None = None) -> int:
     obs = Observation(f"export_{name}_{fmt}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     if fmt == "parquet":
         writer.parquet(path)
     elif fmt == "csv":

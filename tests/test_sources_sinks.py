@@ -40,3 +40,19 @@ def test_export_both_formats_round_trip(warehouse, scratch):
         csv = read_export(warehouse.spark, scratch, name, "csv", schema=original.schema)
         assert csv.exceptAll(original).count() == 0 and original.exceptAll(csv).count() == 0
         assert os.path.isdir(os.path.join(scratch, f"{name}.csv"))
+
+
+def test_stored_marts_prune_months_and_match_lazy(warehouse, scratch):
+    from marketlens.plans.dashboard import headline_kpis, purchase_window
+    from marketlens.plans.pipeline import Warehouse, write_marts
+
+    counts = write_marts(warehouse, scratch)
+    assert counts["fct_orders"] == warehouse.fct_orders.count()
+    stored = Warehouse.from_marts(warehouse.spark, scratch)
+    assert stored.fct_orders.columns == warehouse.fct_orders.columns
+    lazy = purchase_window(warehouse, "1997-01-01", "1999-01-01")
+    pruned = purchase_window(stored, "1997-01-01", "1999-01-01")
+    plan = pruned.fct_orders._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(purchase_month" in plan
+    assert headline_kpis(pruned).collect() == headline_kpis(lazy).collect()
+    assert stored.customer_rfm.exceptAll(warehouse.customer_rfm).count() == 0
