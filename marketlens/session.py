@@ -66,3 +66,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Folder for lineage-cutting tables written by the library: the
     checkpoint directory (shared storage on a cluster)."""
     return ensure_checkpoint_dir(spark).rstrip("/")
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of source data.
+
+    Shuffle partitions are sized so the largest stage (the line-item fact,
+    about the size of the input) lands near ``target_partition_bytes`` per
+    partition; AQE then coalesces small partitions and splits skewed ones.
+    The ranking range count follows the person/seller grain, which is a
+    small fraction of the input.  Apply with ``spark.conf.set`` or pass to
+    the session builder; ``spark.checkpoint.dir`` must still name shared
+    storage.
+    """
+    shuffle = max(200, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024**2),
+        "marketlens.ranking.partitions": str(max(8, shuffle // 8)),
+    }

@@ -97,3 +97,14 @@ def test_rfm_segment_rule_order(spark):
     rows = [(5, 5, 5), (4, 4, 1), (2, 4, 1), (4, 2, 3), (1, 1, 1), (3, 3, 1), (3, 5, 1)]
     got = _one(spark, bands.rfm_segment("r", "m", "f"), rows, "r int, m int, f int")
     assert got == ["Loyal (3+ orders)", "Champions", "At Risk", "New / Low-Value", "Lost", "Regular", "Regular"]
+
+
+def test_scale_conf_sizes_partitions():
+    from marketlens.session import scale_conf
+
+    small = scale_conf(10 * 1024**3)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    big = scale_conf(100 * 1024**4)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert int(big["marketlens.ranking.partitions"]) == 51200
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
