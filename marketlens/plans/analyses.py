@@ -43,7 +43,9 @@ def _share_of_total(grouped: DataFrame, measure: str) -> Column:
 
 # -- customer segmentation ---------------------------------------------------
 def frequency_distribution(w) -> DataFrame:
-    g = w.customer_rfm.groupBy("frequency").agg(F.count(F.lit(1)).alias("customers"))
+    # Frequency and the set of persons are fixed before the quintile scoring,
+    # so this reads the unscored per-person frame.
+    g = w.customer_rfm_base.groupBy("frequency").agg(F.count(F.lit(1)).alias("customers"))
     total = _share_of_total(g, "customers")
     return g.select("frequency", "customers", round_scaled(pct(F.col("customers"), total), 1).alias("pct"))
 

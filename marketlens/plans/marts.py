@@ -15,15 +15,21 @@ from marketlens.functions.semantics import category_with_fallback, round_scaled
 from marketlens.operators.ranking import global_ntile, global_percent_rank
 
 
-def customer_rfm(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
+def customer_rfm_base(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
+    """One row per paying person with frequency and exact spend — everything
+    of the RFM mart that does not depend on the quintile scores."""
     paid = fct_orders.where(F.col("total_payment_value").isNotNull()).join(
         dim_customers.select("customer_key", "customer_unique_id"), "customer_key"
     )
-    per_person = paid.groupBy("customer_unique_id").agg(
+    return paid.groupBy("customer_unique_id").agg(
         F.max("order_purchase_timestamp").alias("last_purchase"),
         F.count(F.lit(1)).alias("frequency"),
         F.sum("total_payment_value").alias("monetary_exact"),
     )
+
+
+def customer_rfm(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
+    per_person = customer_rfm_base(fct_orders, dim_customers)
     uid = F.col("customer_unique_id").asc()
     # recency_days = date(latest) - date(last purchase) with one global
     # "latest", so "recency_days DESC" is exactly "purchase date ASC": rank

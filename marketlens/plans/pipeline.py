@@ -199,6 +199,15 @@ class Warehouse:
     def customer_rfm(self) -> DataFrame:
         return self._mart("customer_rfm", lambda: marts.customer_rfm(self.fct_orders, self.dim_customers))
 
+    @cached_property
+    def customer_rfm_base(self) -> DataFrame:
+        """Per-person frequency and spend before scoring (the stored mart when
+        there is one).  Questions that need neither the scores nor the
+        segment read this and skip the two global rankings."""
+        if "customer_rfm" in self._stored:
+            return self._stored["customer_rfm"]
+        return marts.customer_rfm_base(self.fct_orders, self.dim_customers)
+
     @cached_property
     def customer_satisfaction(self) -> DataFrame:
         return self._mart(
