@@ -17,8 +17,12 @@ from pyspark.sql import functions as F
 
 from marketlens.sources.schemas import SOURCE_NAMES, SOURCE_SCHEMAS
 
-# --- fixed values: default file layout of the raw extract --------------------
-DEFAULT_PATH_TEMPLATE = "{root}/olist_{name}_dataset.{ext}"
+# Default layout: one file (or directory of part files) per source, named
+# after the source.  Extracts that carry a prefix or suffix in their file
+# names set ``template`` (e.g. "{root}/prefix_{name}_suffix.{ext}"); single
+# sources stored under another name go in ``overrides``.
+DEFAULT_PATH_TEMPLATE = "{root}/{name}.{ext}"
+# --- fixed values: the category lookup's own file name in the raw extract ----
 DEFAULT_OVERRIDES = {"product_category_translation": "{root}/product_category_name_translation.{ext}"}
 # ---------------------------------------------------------------------------
 

@@ -23,8 +23,10 @@ def test_csv_keeps_zip_text_and_multiline_quotes(spark, scratch):
 
 def test_translation_path_override():
     cfg = SourceConfig(root="/data", fmt="csv")
-    assert cfg.path("orders") == "/data/olist_orders_dataset.csv"
+    assert cfg.path("orders") == "/data/orders.csv"
     assert cfg.path("product_category_translation") == "/data/product_category_name_translation.csv"
+    prefixed = SourceConfig(root="/data", fmt="csv", template="{root}/x_{name}_dataset.{ext}")
+    assert prefixed.path("order_items") == "/data/x_order_items_dataset.csv"
 
 
 def test_export_both_formats_round_trip(warehouse, scratch):
