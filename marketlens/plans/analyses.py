@@ -9,7 +9,9 @@ Conventions (shared with the SQL twins in ``marketlens.oracle``):
   order in which a distributed sum visits the rows;
 * grand totals are scalar subqueries, never a window over the whole input;
   windows appear only over frames of at most a handful of band rows;
-* ties in rankings are broken by the business key.
+* ties in rankings are broken by the business key;
+* each question ends with the ordering the original statement asks for
+  (a sort of at most a few dozen band rows).
 """
 
 from __future__ import annotations
@@ -47,13 +49,17 @@ def frequency_distribution(w) -> DataFrame:
     # so this reads the unscored per-person frame.
     g = w.customer_rfm_base.groupBy("frequency").agg(F.count(F.lit(1)).alias("customers"))
     total = _share_of_total(g, "customers")
-    return g.select("frequency", "customers", round_scaled(pct(F.col("customers"), total), 1).alias("pct"))
+    return g.select("frequency", "customers", round_scaled(pct(F.col("customers"), total), 1).alias("pct")).orderBy(
+        "frequency"
+    )
 
 
 def segment_sizes(w) -> DataFrame:
     g = w.customer_rfm.groupBy("segment").agg(F.count(F.lit(1)).alias("customers"))
     total = _share_of_total(g, "customers")
-    return g.select("segment", "customers", round_scaled(pct(F.col("customers"), total), 1).alias("pct_customers"))
+    return g.select(
+        "segment", "customers", round_scaled(pct(F.col("customers"), total), 1).alias("pct_customers")
+    ).orderBy(F.col("customers").desc())
 
 
 def segment_revenue(w) -> DataFrame:
@@ -69,7 +75,7 @@ def segment_revenue(w) -> DataFrame:
         round_scaled(pct(F.col("customers"), n_total), 1).alias("pct_customers"),
         round_scaled(F.col("rev").cast("double"), 0).alias("revenue"),
         round_scaled(pct(F.col("rev"), rev_total), 1).alias("pct_revenue"),
-    )
+    ).orderBy(F.col("revenue").desc())
 
 
 # -- delivery impact on reviews ------------------------------------------------
@@ -82,7 +88,7 @@ def review_by_delivery_bucket(w) -> DataFrame:
     return fo.groupBy(bands.delivery_bucket("delivery_vs_estimate_days").alias("delivery_bucket")).agg(
         F.count(F.lit(1)).alias("orders"),
         round_scaled(F.avg("avg_review_score"), 2).alias("avg_score"),
-    )
+    ).orderBy("delivery_bucket")
 
 
 def _items_products_orders(w) -> DataFrame:
@@ -99,10 +105,11 @@ def _items_orders(w) -> DataFrame:
 
 
 def _score_by(df: DataFrame, *keys: Column) -> DataFrame:
-    return df.groupBy(*keys).agg(
+    out = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("items"),
         round_scaled(F.avg("avg_review_score"), 2).alias("avg_score"),
     )
+    return out.orderBy(*out.columns[: len(keys)])
 
 
 def review_by_category_and_lateness(w, categories: tuple[str, ...] = DEFAULT_CONTROL_CATEGORIES) -> DataFrame:
@@ -147,15 +154,17 @@ def late_rate_by_distance(w) -> DataFrame:
         F.count(F.lit(1)).alias("items"),
         round_scaled(F.avg("customer_seller_distance_km"), 0).alias("avg_km"),
         _pct_late(),
-    )
+    ).orderBy("distance_band")
 
 
 def late_rate_by_weight(w) -> DataFrame:
     df = _items_products_orders(w).where(
         F.col("delivery_vs_estimate_days").isNotNull() & F.col("product_weight_g").isNotNull()
     )
-    return df.groupBy(bands.weight_band_4("product_weight_g").alias("weight_band")).agg(
-        F.count(F.lit(1)).alias("items"), _pct_late()
+    return (
+        df.groupBy(bands.weight_band_4("product_weight_g").alias("weight_band"))
+        .agg(F.count(F.lit(1)).alias("items"), _pct_late())
+        .orderBy("weight_band")
     )
 
 
@@ -166,7 +175,7 @@ def late_rate_by_category(w, min_items: int = 1000) -> DataFrame:
     g = df.groupBy(F.col("product_category_name_english").alias("category")).agg(
         F.count(F.lit(1)).alias("items"), _pct_late()
     )
-    return g.where(F.col("items") >= min_items)
+    return g.where(F.col("items") >= min_items).orderBy(F.col("pct_late").desc())
 
 
 def seller_late_bands_from_facts(w, min_items: int = 20) -> DataFrame:
@@ -176,15 +185,19 @@ def seller_late_bands_from_facts(w, min_items: int = 20) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("items"), F.avg(late_flag("delivery_vs_estimate_days")).alias("late_rate"))
         .where(F.col("items") >= min_items)
     )
-    return stats.groupBy(bands.seller_late_band("late_rate").alias("seller_late_band")).agg(
-        F.count(F.lit(1)).alias("sellers"), F.sum("items").cast("bigint").alias("items")
+    return (
+        stats.groupBy(bands.seller_late_band("late_rate").alias("seller_late_band"))
+        .agg(F.count(F.lit(1)).alias("sellers"), F.sum("items").cast("bigint").alias("items"))
+        .orderBy("seller_late_band")
     )
 
 
 def late_rate_by_month(w) -> DataFrame:
     fo = w.fct_orders.where(F.col("delivery_vs_estimate_days").isNotNull())
-    return fo.groupBy(F.trunc("order_purchase_timestamp", "month").alias("month")).agg(
-        F.count(F.lit(1)).alias("orders"), _pct_late()
+    return (
+        fo.groupBy(F.trunc("order_purchase_timestamp", "month").alias("month"))
+        .agg(F.count(F.lit(1)).alias("orders"), _pct_late())
+        .orderBy("month")
     )
 
 
@@ -236,7 +249,7 @@ def seller_revenue_deciles(w) -> DataFrame:
         round_scaled(F.col("rev").cast("double"), 0).alias("revenue"),
         round_scaled(pct(F.col("rev"), total), 1).alias("pct_revenue"),
         round_scaled(pct(running, total), 1).alias("cum_pct_revenue"),
-    )
+    ).orderBy("decile")
 
 
 # -- seller performance ----------------------------------------------------------
@@ -258,7 +271,7 @@ def seller_pareto_bands(w) -> DataFrame:
         "sellers",
         round_scaled(F.col("rev").cast("double"), 0).alias("revenue"),
         round_scaled(pct(F.col("rev"), total), 1).alias("pct_revenue"),
-    )
+    ).orderBy("seller_band")
 
 
 def seller_quality_by_volume(w) -> DataFrame:
@@ -268,12 +281,16 @@ def seller_quality_by_volume(w) -> DataFrame:
         F.sum("item_count").cast("bigint").alias("items"),
         round_scaled(exact_avg("avg_review_score", 2), 2).alias("avg_review"),
         round_scaled(F.lit(100.0) * exact_avg("late_rate", 4), 1).alias("avg_late_pct"),
-    )
+    ).orderBy("volume_band")
 
 
 def seller_late_bands_from_mart(w, min_items: int = 20) -> DataFrame:
     sp = w.seller_performance.where(F.col("late_rate").isNotNull() & (F.col("delivered_item_count") >= min_items))
-    return sp.groupBy(bands.seller_late_band("late_rate").alias("seller_late_band")).agg(
-        F.count(F.lit(1)).alias("sellers"),
-        F.sum("delivered_item_count").cast("bigint").alias("items"),
+    return (
+        sp.groupBy(bands.seller_late_band("late_rate").alias("seller_late_band"))
+        .agg(
+            F.count(F.lit(1)).alias("sellers"),
+            F.sum("delivered_item_count").cast("bigint").alias("items"),
+        )
+        .orderBy("seller_late_band")
     )

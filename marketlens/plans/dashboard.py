@@ -39,7 +39,7 @@ def monthly_revenue_and_review(w) -> DataFrame:
         F.count(F.lit(1)).alias("orders"),
         round_scaled(F.sum("total_item_price").cast("double"), 2).alias("revenue"),
         round_scaled(F.avg("avg_review_score"), 2).alias("avg_review"),
-    )
+    ).orderBy("month")
 
 
 def top_sellers(w, n: int = 10, measure: str = "revenue") -> DataFrame:

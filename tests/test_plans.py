@@ -36,3 +36,16 @@ def test_seller_mart_aggregates_before_dimension_lookup(warehouse):
     # the Aggregate appears below (before) the final join to dim_sellers
     agg_at = text.find("Aggregate [seller_key")
     assert agg_at > text.find("Join LeftOuter")
+
+
+def test_analyses_return_the_stated_order(warehouse):
+    from marketlens.plans import analyses as A
+
+    months = [r.month for r in A.late_rate_by_month(warehouse).collect()]
+    assert months == sorted(months)
+    sizes = [r.customers for r in A.segment_sizes(warehouse).collect()]
+    assert sizes == sorted(sizes, reverse=True)
+    keys = [(r.weight_band, r.bucket) for r in A.review_by_weight_and_lateness(warehouse).collect()]
+    assert keys == sorted(keys)
+    deciles = [r.decile for r in A.seller_revenue_deciles(warehouse).collect()]
+    assert deciles == list(range(1, 11))
