@@ -49,3 +49,28 @@ def test_analyses_return_the_stated_order(warehouse):
     assert keys == sorted(keys)
     deciles = [r.decile for r in A.seller_revenue_deciles(warehouse).collect()]
     assert deciles == list(range(1, 11))
+
+
+def test_only_bounded_relations_are_broadcast_without_size_evidence(warehouse):
+    """With the size-based broadcast thresholds disabled (what a large
+    cluster sees when no dimension is small), the only broadcasts left in the
+    item fact are the zip centroids, whose five-digit key bounds them."""
+    import re
+
+    spark = warehouse.spark
+    keys_conf = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys_conf}
+    try:
+        for k in keys_conf:
+            spark.conf.set(k, "-1")
+        # a new DataFrame so planning happens under these settings
+        plan = _plan(warehouse.fct_order_items.select("*"))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    keys = re.findall(r"BroadcastHashJoin \[([a-z_]+)#", plan)
+    assert keys and set(keys) <= {"customer_zip_code_prefix", "seller_zip_code_prefix"}, keys
+    assert "SortMergeJoin [product_id" in plan and "SortMergeJoin [seller_id" in plan
