@@ -131,3 +131,32 @@ def test_round_scaled_equals_duckdb_round_on_random_values(spark):
         ref = dict(con.execute(f"SELECT i, round(v, {n}) FROM t").fetchall())
         bad = [(vals[i], got[i], ref[i]) for i in ref if got[i] != ref[i]]
         assert not bad, (n, bad[:5])
+
+
+def test_haversine_agrees_with_duckdb_expression(spark):
+    import random
+
+    import duckdb
+
+    rnd = random.Random(5)
+    rows = [
+        (i, rnd.uniform(-34, 5), rnd.uniform(-74, -34), rnd.uniform(-34, 5), rnd.uniform(-74, -34)) for i in range(3000)
+    ]
+    df = spark.createDataFrame(rows, "i bigint, a double, b double, c double, d double")
+    got = {
+        r.i: r.x
+        for r in df.select("i", haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("x")).collect()
+    }
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(i BIGINT, a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?, ?, ?)", rows)
+    ref = dict(
+        con.execute(
+            "SELECT i, 2 * 6371 * asin(sqrt(pow(sin(radians(c - a) / 2), 2)"
+            " + cos(radians(a)) * cos(radians(c)) * pow(sin(radians(d - b) / 2), 2))) FROM t"
+        ).fetchall()
+    )
+    worst = max(abs(got[i] - ref[i]) / max(ref[i], 1e-9) for i in ref)
+    assert worst < 1e-12, worst
+    exact = sum(got[i] == ref[i] for i in ref)
+    assert exact / len(ref) > 0.9, exact
