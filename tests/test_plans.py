@@ -1,6 +1,5 @@
 """Physical-plan properties that matter at scale."""
 
-from pyspark.sql import functions as F
 
 
 def _plan(df):
