@@ -1,7 +1,6 @@
 """Physical-plan properties that matter at scale."""
 
 
-
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
