@@ -12,11 +12,14 @@ Join order is chosen for the shuffle budget, not copied from the SQL text:
   partitioned on ``order_id``, which the order-fact join downstream reuses.
   Left joins on unique keys re-associate freely, so the result equals the
   original six-way left-join chain.
-* The zip centroid relation is broadcast: its key is a five-digit prefix, so
-  it is bounded at 100,000 rows whatever the data volume.  Product and seller
-  dimensions are left to AQE, which broadcasts them only when their runtime
-  size is under the threshold and otherwise shuffles (skew-split if a hot
-  product or seller holds a large share of lines).
+* The zip centroid relation is broadcast behind a size check: its key is a
+  five-digit prefix, so it should never exceed 100,000 rows; the check
+  (``limit(bound + 1).count()``, cheap on a zip-grain aggregate) confirms it
+  on the actual data, and beyond the bound the join is left to the planner
+  (AQE broadcast by runtime size, else a shuffle join).  Product and seller
+  dimensions are always left to AQE, which broadcasts them only when their
+  runtime size is under the threshold and otherwise shuffles (skew-split if
+  a hot product or seller holds a large share of lines).
 """
 
 from __future__ import annotations
@@ -26,6 +29,18 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.semantics import day_diff, haversine_km, surrogate_key
 
+# Largest centroid relation we broadcast: one row per five-digit zip prefix.
+GEO_BROADCAST_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint only when the relation is proven small on the data
+    (at most ``max_rows`` rows); otherwise return it unchanged so the planner
+    chooses by runtime size.  Counting stops after ``max_rows + 1`` rows."""
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
 
 def fct_orders(
     stg_orders: DataFrame,
@@ -73,7 +88,7 @@ def fct_order_items(
     dim_customers: DataFrame,
     geo: DataFrame,
 ) -> DataFrame:
-    point = F.broadcast(geo.select("zip_code_prefix", "latitude", "longitude"))
+    point = bounded_broadcast(geo.select("zip_code_prefix", "latitude", "longitude"), GEO_BROADCAST_MAX_ROWS)
     cgeo = point.select(
         F.col("zip_code_prefix").alias("customer_zip_code_prefix"),
         F.col("latitude").alias("c_lat"),

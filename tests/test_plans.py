@@ -72,3 +72,14 @@ def test_only_bounded_relations_are_broadcast_without_size_evidence(warehouse):
     keys = re.findall(r"BroadcastHashJoin \[([a-z_]+)#", plan)
     assert keys and set(keys) <= {"customer_zip_code_prefix", "seller_zip_code_prefix"}, keys
     assert "SortMergeJoin [product_id" in plan and "SortMergeJoin [seller_id" in plan
+
+
+def test_bounded_broadcast_falls_back_beyond_the_bound(spark):
+    from marketlens.plans.facts import bounded_broadcast
+
+    small = spark.range(10)
+    big = spark.range(50)
+    a = spark.range(100).join(bounded_broadcast(small, 20), "id")
+    b = spark.range(100).join(bounded_broadcast(big, 20), "id")
+    assert "broadcast" in a._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in b._jdf.queryExecution().logical().toString().lower()
