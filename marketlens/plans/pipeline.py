@@ -286,3 +286,18 @@ def materialize(w: Warehouse, names=None, root: str | None = None) -> Warehouse:
         write_table(current.relation(name), path, "parquet", name)
         stored[name] = w.spark.read.parquet(path)
     return Warehouse(w.spark, w.sources, stored)
+
+
+def build(w: Warehouse, mart_dir: str, export_dir: str | None = None, fmt: str = "parquet") -> dict:
+    """The whole run in one call: write the marts (full refresh), run the
+    check suite against the stored marts (raising on error-severity
+    failures, returning the warn rows), and optionally export the marts.
+    """
+    from marketlens.plans.quality import assert_checks, dq_report
+    from marketlens.sources.sinks import export_marts
+
+    counts = write_marts(w, mart_dir)
+    stored = Warehouse.from_marts(w.spark, mart_dir, sources=w.sources)
+    warnings = assert_checks(dq_report(stored, materialize_models=False))
+    exported = export_marts(stored, export_dir, fmt=fmt, log=None) if export_dir else {}
+    return {"marts": counts, "warnings": [r.asDict() for r in warnings], "exported": exported}

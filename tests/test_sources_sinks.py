@@ -83,3 +83,12 @@ def test_csv_extract_end_to_end(warehouse, scratch):
     for rel in ("fct_orders", "fct_order_items", "seller_performance", "customer_rfm"):
         a, b = from_csv.relation(rel), warehouse.relation(rel)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, rel
+
+
+def test_build_runs_marts_checks_and_export(warehouse, scratch):
+    from marketlens.plans.pipeline import MART_NAMES, build
+
+    out = build(warehouse, f"{scratch}/marts", export_dir=f"{scratch}/exports", fmt="csv")
+    assert set(out["marts"]) == set(MART_NAMES)
+    assert [w["check_name"] for w in out["warnings"]] == ["assert_payment_matches_order_value"]
+    assert out["exported"]["csv"]["fct_orders"] == out["marts"]["fct_orders"]
