@@ -231,6 +231,16 @@ class Warehouse:
     def relation(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def register_views(self, names=None) -> list[str]:
+        """Register relations as session temp views under their model names,
+        so existing analysis SQL runs unchanged through ``spark.sql``.  Views
+        stay lazy, except that the ranking marts (``customer_rfm``,
+        ``customer_satisfaction``) run their ranking builds on registration."""
+        names = list(MODEL_ORDER if names is None else names)
+        for name in names:
+            self.relation(name).createOrReplaceTempView(name)
+        return names
+
 
 def write_marts(w: Warehouse, mart_dir: str) -> dict[str, int]:
     """Materialise every mart as Parquet under ``mart_dir`` (full refresh).

@@ -107,3 +107,21 @@ def test_parquet_extract_end_to_end(warehouse, scratch):
     for rel in ("fct_orders", "category_satisfaction", "seller_performance"):
         a, b = from_pq.relation(rel), warehouse.relation(rel)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, rel
+
+
+def test_registered_views_run_analysis_sql(warehouse):
+    from marketlens.plans import analyses as A
+
+    warehouse.register_views(["fct_orders", "fct_order_items", "dim_products"])
+    sql = warehouse.spark.sql(
+        """
+        select cast(date_trunc('month', o.order_purchase_timestamp) as date) as month,
+               count(*) as orders,
+               round(100.0 * avg(case when o.delivery_vs_estimate_days <= 0 then 0 else 1 end), 1) as pct_late
+        from fct_orders o
+        where o.delivery_vs_estimate_days is not null
+        group by 1
+        """
+    )
+    got = sorted(tuple(r) for r in sql.collect())
+    assert got == sorted(tuple(r) for r in A.late_rate_by_month(warehouse).collect())
