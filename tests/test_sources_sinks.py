@@ -56,6 +56,8 @@ def test_stored_marts_prune_months_and_match_lazy(warehouse, scratch):
     pruned = purchase_window(stored, "1997-01-01", "1999-01-01")
     plan = pruned.fct_orders._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(purchase_month" in plan
+    pushed = plan[plan.index("PushedFilters: ["):]
+    assert "GreaterThanOrEqual(order_purchase_timestamp" in pushed.split("]")[0]
     assert headline_kpis(pruned).collect() == headline_kpis(lazy).collect()
     assert stored.customer_rfm.exceptAll(warehouse.customer_rfm).count() == 0
 
