@@ -112,3 +112,12 @@ def test_ntile_formula_exhaustive(spark):
         for r in part.collect():
             got[(r.rn, r.n, k)] = r.t
     assert all(got[(rn, n, k)] == _sql_ntile(rn, n, k) for rn, n, k in rows)
+
+
+def test_empty_input(spark):
+    e = spark.range(10).where("id < 0").withColumn("v", F.col("id").cast("double"))
+    order = [F.col("v").asc(), F.col("id").asc()]
+    assert global_ntile(e, 5, order, "t").collect() == []
+    assert global_percent_rank(e, "v", "pr", tie="id").collect() == []
+    assert global_percent_rank(e, "v", "pr").collect() == []
+    assert rank_frame(e, order, value="v", running_sum="c", total_sum="t").collect() == []
