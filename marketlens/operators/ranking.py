@@ -176,7 +176,7 @@ def global_percent_rank(
     first row of its key group.
 
     * With a unique ``tie`` column the rows themselves are ranked once on
-      ``(key, tie)`` (checkpointed, so the upstream runs once); the first row
+      ``(key, tie)`` (written once, so the upstream runs once); the first row
       number per key is a partial-aggregated ``min`` and is joined back on the
       key (null-safe; AQE splits a hot key on the row side).
     * Without one, rows are counted per distinct key (partial aggregation
