@@ -19,13 +19,24 @@ def test_scan_prunes_columns(warehouse):
 
 
 def test_global_marts_have_no_single_partition_exchange_over_people(warehouse):
-    for name in ("customer_rfm", "customer_satisfaction"):
-        text = _plan(warehouse.relation(name))
-        # Offsets table (<= n rows) is the only whole-frame window; it is
-        # broadcast, so no SinglePartition exchange feeds a row-level operator.
-        for line in text.splitlines():
-            if "SinglePartition" in line:
-                assert "Window" not in line
+    """Only aggregated rows may meet in one partition: per-range counts,
+    partial totals or band rows -- never person- or seller-grain rows."""
+    from marketlens.plans import analyses as A
+
+    frames = {
+        "customer_rfm": warehouse.customer_rfm,
+        "customer_satisfaction": warehouse.customer_satisfaction,
+        "seller_revenue_deciles": A.seller_revenue_deciles(warehouse),
+        "segment_revenue": A.segment_revenue(warehouse),
+    }
+    for name, df in frames.items():
+        lines = _plan(df).splitlines()
+        singles = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+        for i in singles:
+            j = i + 1
+            while "+- Project" in lines[j] or "+- Filter" in lines[j]:
+                j += 1
+            assert "HashAggregate" in lines[j], (name, lines[i], lines[j])
 
 
 def test_seller_mart_aggregates_before_dimension_lookup(warehouse):
