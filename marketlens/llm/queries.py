@@ -58,3 +58,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (op1_suffix_array, op2_lempel_ziv, op3_token_store, op5_packing, op9_byte_bpe, op10_url_filter)
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL where SQL can express the query on whole tables."""
+    return {"op10_url_filter": _url_sql()}
+
+
+def _url_sql() -> str:
+    host = "translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    path = "regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2)"
+    values = ", ".join(f"('{r.action}', '{r.host}', '{r.path}')" for r in URL_RULES)
+    return f"""
+    with parts as (select page_id, {host} as host, {path} as path from pages),
+    named as (
+        select *, case when host <> '' then
+            regexp_replace(regexp_replace(host, '^www\\.', ''), ':(80|443)$', '') || regexp_replace(path, '/$', '') end as canonical
+        from parts),
+    rules(action, rule_host, rule_path) as (values {values}),
+    fits as (
+        select p.host, p.path, r.rule_host || r.rule_path as rule, r.action,
+            row_number() over (partition by p.host, p.path order by length(r.rule_host || r.rule_path) desc, r.action desc) as place
+        from (select distinct host, path from parts) p
+        join rules r on (p.host = r.rule_host or ends_with(p.host, '.' || r.rule_host)) and starts_with(p.path, r.rule_path)),
+    listed as (select canonical from named where canonical is not null group by canonical having count(*) >= {LISTED_FROM})
+    select n.page_id, n.host, n.path, f.rule,
+        coalesce(f.action, case when l.canonical is not null then 'block' else 'allow' end) as verdict,
+        case when f.action is null then l.canonical is not null end as listed
+    from named n
+    left join fits f on f.host = n.host and f.path = n.path and f.place = 1
+    left join listed l on l.canonical = n.canonical"""
