@@ -32,7 +32,7 @@ from .common import partitions
 
 KIND_COPY, KIND_OPEN = 0, 1
 PLACES = "doc_id long, kind int, start long, n_windows int, anchor long"
-_FLUSH = 1_500_000
+_FLUSH = 600_000
 HOT_SAMPLE_DOCS, HOT_SHARE = 2000, 0.02
 
 

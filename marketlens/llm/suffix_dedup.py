@@ -37,7 +37,7 @@ from .common import document_texts, partitions, ship_package, stored
 from .stretch_index import KIND_COPY, KIND_OPEN, _merge, hot_anchors, per_document, places
 
 WIDTH, GRAM = 100, 40
-BATCH = 1 << 20
+BATCH = 1 << 18
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -94,8 +94,8 @@ def repeated_windows(strings: list[bytes], width: int) -> tuple[np.ndarray, np.n
     full = offset + width <= lengths[which]
     sa, which, offset = sa[full], which[full], offset[full]
     same = np.zeros(len(sa), bool)
-    for at in range(1, len(sa), 1 << 16):  # compare neighbours' prefixes
-        stop = min(len(sa), at + (1 << 16))
+    for at in range(1, len(sa), 1 << 14):  # compare neighbours' prefixes
+        stop = min(len(sa), at + (1 << 14))
         span = np.lib.stride_tricks.sliding_window_view(raw, width)
         same[at:stop] = (span[sa[at:stop]] == span[sa[at - 1 : stop - 1]]).all(axis=1)
     run = np.cumsum(~same) - 1

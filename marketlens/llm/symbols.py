@@ -15,8 +15,8 @@ import pyarrow as pa
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
-_POS_BITS = U(20)
-SEGMENT = 1 << 20  # symbols hashed at a time; longer texts are cut with overlap
+_POS_BITS = U(18)
+SEGMENT = 1 << 18  # symbols hashed at a time; longer texts are cut with overlap
 _TABLE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
