@@ -81,7 +81,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary))
+        shared = _dictionary(dictionary)
+        if shared:
+            shared.precompute_compress(level=LEVEL)  # digested once, not for each document
+        squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
         start, held, size = 0, [], 0
 
         def block():

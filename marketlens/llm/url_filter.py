@@ -126,14 +126,14 @@ def judged(pages: DataFrame, rules: list[Rule], listed: DataFrame, n_blocks: int
             hit = may_contain(words.value, h)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(hit)], [*batch.schema.names[:-1], "maybe"])
 
-    asked = parts.withColumn("h", F.xxhash64("canonical"))
+    hashed = parts.withColumn("h", F.xxhash64("canonical"))
     schema = "page_id long, host string, path string, rule string, action string, canonical string, maybe boolean"
-    tested = asked.mapInArrow(test, schema)
+    tested = hashed.mapInArrow(test, schema)
     maybe = F.col("maybe") & F.col("action").isNull() & F.col("canonical").isNotNull()
     exact = listed.where(F.col("canonical").isNotNull()).select("canonical").distinct().withColumn("is_listed", F.lit(True))
-    # pages that the filter passes by join on a null key: a left join sends them nowhere in particular
-    keyed = tested.withColumn("asked", F.when(maybe, F.col("canonical")))
-    joined = keyed.join(exact.withColumnRenamed("canonical", "asked"), "asked", "left")
+    # only possible hits are shuffled; the test of the others is done where they are read
+    asked = tested.where(maybe).join(exact, "canonical", "left")
+    joined = tested.where(~maybe).withColumn("is_listed", F.lit(False)).unionByName(asked.select(*tested.columns, "is_listed"))
     found = F.coalesce(F.col("is_listed"), F.lit(False))
     return joined.select(
         "page_id", "host", "path", "rule",

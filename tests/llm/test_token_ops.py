@@ -33,7 +33,7 @@ def test_pieces_encode_like_whole_texts(name, corpus):
     assert piece_cache.PieceEncoder(P.path(name))(texts) == [u4(encode(t)) for t in texts]
 
 
-@given(st.text(alphabet=" \t\n\r\x0b\x1c\x85\xa0\u2003ab1'sé!?Σ.", max_size=30))
+@given(st.text(alphabet=" \t\n\r\x02\x0b\x1c\x85\xa0\u2003abA1'sé!?Σ.,*_²½\u0301", max_size=30))
 @settings(max_examples=400, deadline=None)
 def test_odd_spaces(text):
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
