@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_model, packing, rlz_dedup, suffix_dedup, token_store, url_filter
+from . import bpe_model, line_rules, order_minhash, packing, quality_trees, rlz_dedup, suffix_dedup, token_store, url_filter, version_sketch
 
 URL_RULES = [
     url_filter.Rule("allow", "org", "/"),
@@ -37,10 +37,26 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_report(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.classes(_documents(spark, sf_dir))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_trees.judged(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judged(_documents(spark, sf_dir))
+
+
+def op8_version_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return version_sketch.fingerprint_report(_documents(spark, sf_dir))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_model.encoded(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -54,10 +70,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op1_suffix_array, op2_lempel_ziv, op3_token_store, op5_packing, op9_byte_bpe, op10_url_filter)
-    }
+    found = (
+        op1_suffix_array, op2_lempel_ziv, op3_token_store, op4_order_minhash, op5_packing,
+        op6_quality_trees, op7_line_rules, op8_version_sketch, op9_byte_bpe, op10_url_filter,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -234,3 +234,31 @@ def removal_report(docs: DataFrame, width: int = WIDTH, with_text: bool = False)
     joined = docs.join(spans, "doc_id", "left").select("doc_id", "text", "spans")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return joined.mapInArrow(report, schema + ", kept_text string" * with_text)
+
+
+def cleaned_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``docs`` with the repeated bytes cut from ``text`` (and ``n_chars``, if
+    there is one, counted anew); all rows with a doc_id and all columns stay.
+    Bytes that a cut leaves without the rest of their character go too."""
+    plain = document_texts(docs)
+    spans = per_document(duplicate_spans(plain, width)).withColumnRenamed("doc_id", "_id").withColumnRenamed("spans", "_spans")
+    names = docs.columns
+    keyed = docs.where(F.col("doc_id").isNotNull()).withColumn("_id", F.col("doc_id").cast("long"))
+    joined = keyed.join(spans, "_id", "left").select(*names, "_spans")
+    at = names.index("text")
+    count = names.index("n_chars") if "n_chars" in names else None
+
+    def clean(batches):
+        for batch in batches:
+            data, offsets = sy.utf8(batch.column(at))
+            texts = []
+            for i, spans_ in enumerate(batch.column(len(names)).to_pylist()):
+                text = data[offsets[i] : offsets[i + 1]].tobytes()
+                texts.append(kept_bytes(text, union_of(spans_)).decode("utf-8", "ignore"))
+            columns = list(batch.columns[: len(names)])
+            columns[at] = pa.array(texts, batch.column(at).type)
+            if count is not None:
+                columns[count] = pa.array([len(t) for t in texts], batch.column(count).type)
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return joined.mapInArrow(clean, docs.schema)
