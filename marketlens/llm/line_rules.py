@@ -35,20 +35,25 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, _SPACES), "")
 
 
-def window_hashes(words: Column) -> Column:
-    """Hash of each window of 8 consecutive words: pairs, pairs of pairs, and
-    once more (an empty array for texts of fewer words)."""
-    h = F.transform(words, lambda w: F.xxhash64(w))
-    for step in (1, 2, 4):
-        shifted = F.slice(h, F.lit(step + 1), F.greatest(F.size(h), F.lit(1)))
-        h = F.zip_with(h, shifted, lambda a, b: F.xxhash64(a, b))
-    return F.slice(h, F.lit(1), F.greatest(F.size(h) - (WINDOW - 1), F.lit(0)))
+def quad_hashes(words: Column) -> Column:
+    """Hash of 4 consecutive words at each word (fewer at the end): pairs, and pairs of pairs."""
+    pairs = F.zip_with(words, _from(words, 1), lambda a, b: F.xxhash64(a, b))
+    return F.zip_with(pairs, _from(pairs, 2), lambda a, b: F.xxhash64(a, b))
+
+
+def window_hashes(quads: Column) -> Column:
+    """Hash of each window of 8 consecutive words (none for texts of fewer words)."""
+    return F.slice(F.zip_with(quads, _from(quads, 4), lambda a, b: F.xxhash64(a, b)), F.lit(1), F.greatest(F.size(quads) - (WINDOW - 1), F.lit(0)))
+
+
+def _from(values: Column, skipped: int) -> Column:
+    return F.slice(values, F.lit(skipped + 1), F.greatest(F.size(values), F.lit(1)))
 
 
 def base_figures(docs: DataFrame) -> DataFrame:
     """doc_id, source, text_hash, n_words, word_chars, n_symbols, n_dup_lines,
-    windows (hashes; null where no window repeats) and lines (hash and length
-    of each line with a word)."""
+    windows (hashes; null where no window repeats) and lines (length of each
+    line with a word, and the hash of short ones)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     out = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -57,7 +62,11 @@ def base_figures(docs: DataFrame) -> DataFrame:
         words_of(text).alias("words"),
         F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(_BLANK)) != "").alias("all_lines"),
     )
-    out = out.withColumn("windows", window_hashes(F.col("words")))
+    out = out.withColumn("quads", quad_hashes(F.col("words")))
+    # 8 words can only repeat where 4 do; most texts need no more than that
+    some = F.size(F.array_distinct("quads")) < F.size("quads")
+    out = out.withColumn("windows", F.when(some, window_hashes(F.col("quads"))))
+    line = lambda x: F.lower(F.regexp_replace(F.btrim(x, F.lit(_BLANK)), _SPACES, " "))
     return out.select(
         "doc_id",
         "source",
@@ -69,9 +78,9 @@ def base_figures(docs: DataFrame) -> DataFrame:
         F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.col("windows")).alias("windows"),
         F.transform(
             "all_lines",
-            lambda line: F.struct(
-                F.xxhash64(F.lower(F.regexp_replace(F.btrim(line, F.lit(_BLANK)), _SPACES, " "))).alias("line"),
-                F.length(line).alias("chars"),
+            lambda x: F.struct(
+                F.when(F.length(x) <= LINE_CHARS, F.xxhash64(line(x))).alias("line"),  # longer ones are never removed
+                F.length(x).alias("chars"),
             ),
         ).alias("lines"),
     )
