@@ -14,14 +14,14 @@ doc_id.
 
 Equal texts are put together first, so a text with many copies is one text in
 all that follows.  In a group of up to ``SMALL`` texts with an equal tuple all
-are compared.  In a larger one each is compared with the first text and with
-its predecessor by length, which joins true near copies into one component.
-Texts of a group that are outside its largest component are then compared with
-all of the group that are not in their own, a few texts a round, until none is
-left: no link inside a group is missed, and the work grows with the number of
-texts that don't belong to the main component.  Links stay on the cluster, and
-components are found by repeated star contraction, written to the shared folder
-each round.
+are compared.  In a larger one each is compared with the ``LEADERS`` texts that
+share most tuples with others, and with its predecessor by length, so a group
+makes a fixed number of pairs a text.  Near copies of one text differ from it
+by their own edits and from each other by the edits of both, so texts that link
+to any of the group link to its leaders as well; texts of different origin meet
+in other groups, as each is in ``SKETCHES`` of them.  The tests compare the
+classes with those of all pairs.  Links stay on the cluster, and components are
+found by repeated star contraction, written to the shared folder each round.
 
 Texts of fewer than ``K`` words have one k-mer, all their words; texts without
 words (also null) are equal.  Rows without doc_id are left out; repeated rows
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from . import symbols as sy
 from .common import document_texts, ship_package, stored
 
-K, TAKE, SKETCHES, SIMILARITY, SMALL, RUN = 5, 2, 12, 0.8, 5, 100_000
+K, TAKE, SKETCHES, SIMILARITY, SMALL, LEADERS, RUN = 5, 2, 12, 0.8, 5, 2, 100_000
 _POS = np.uint64((1 << 20) - 1)
 _TOP = np.uint64(2**64 - 1)
 _SEEDS = np.random.default_rng(4711).integers(1, 2**63, SKETCHES, dtype=np.uint64)
@@ -268,37 +268,19 @@ def links(docs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) ->
     pairs = one.join(two, group).where("a < b").where(fits).select("a", "b").distinct()
     found = [stored(_verified(pairs, words, similarity), "links").where("linked").select("a", "b")]
     large = members.where(F.col("size") > SMALL).select(*group, "rep", "n_words", "size")
-    first = large.groupBy(*group).agg(F.min(F.struct("rep", "n_words")).alias("x"))
-    first = first.select(*group, F.col("x.rep").alias("a"), F.col("x.n_words").alias("n"))
-    led = large.join(first, group).where(F.col("a") < F.col("rep")).withColumn("m", F.col("n_words")).where(fits)
+    # the text that shares most tuples with others is nearest to all: near copies of
+    # one text differ from it by their own edits, from each other by both texts' edits
+    common = members.groupBy("rep").agg(F.sum("size").alias("common"))
+    best = Window.partitionBy(*group).orderBy(F.desc("common"), "rep")
+    first = large.join(common, "rep").withColumn("place", F.row_number().over(best)).where(F.col("place") <= LEADERS)
+    first = first.select(*group, F.col("rep").alias("a"), F.col("n_words").alias("n"))
+    led = large.join(first, group).where(F.col("a") != F.col("rep")).withColumn("m", F.col("n_words")).where(fits)
     part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / RUN))  # runs of bounded length
     by_length = Window.partitionBy(*group, part).orderBy("n_words", "rep")
     chained = large.select(F.lag("rep").over(by_length).alias("a"), "rep").where("a is not null")
-    pairs = led.select("a", F.col("rep").alias("b")).unionByName(
-        chained.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
-    )
+    pairs = led.select("a", "rep").unionByName(chained).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
     found.append(stored(_verified(pairs.distinct(), words, similarity), "links").where("linked").select("a", "b"))
-    tested, width = [], 4
-    while True:
-        roots = components(_union(found))
-        rooted = large.join(roots, F.col("rep") == F.col("node"), "left")
-        rooted = stored(rooted.select(*group, "rep", "n_words", F.coalesce("root", "rep").alias("root")), "rooted")
-        counts = rooted.groupBy(*group, "root").agg(F.count("*").alias("n"))
-        main = counts.groupBy(*group).agg(F.max(F.struct("n", (-F.col("root")).alias("r"))).alias("x"), F.count("*").alias("k"))
-        main = main.where("k > 1").select(*group, (-F.col("x.r")).alias("main"))
-        waiting = rooted.join(main, group).where("root <> main")
-        for t in tested:
-            waiting = waiting.join(t, [*group, "rep"], "left_anti")
-        place = F.row_number().over(Window.partitionBy(*group).orderBy("rep"))
-        leaders = stored(waiting.withColumn("place", place).where(F.col("place") <= width), "leaders")
-        if leaders.isEmpty():
-            return _union(found).distinct()
-        lead = leaders.select(*group, F.col("rep").alias("a"), F.col("n_words").alias("n"), F.col("root").alias("own"))
-        pairs = rooted.withColumn("m", F.col("n_words")).join(lead, group).where("root <> own").where(fits)
-        pairs = pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
-        found.append(stored(_verified(pairs, words, similarity), "links").where("linked").select("a", "b"))
-        tested.append(leaders.select(*group, "rep"))
-        width *= 8
+    return _union(found).distinct()
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
