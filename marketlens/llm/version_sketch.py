@@ -1,12 +1,14 @@
 """Document fingerprints that can be subtracted: invertible Bloom lookup tables.
 
-DataFrame functions only.  A paragraph is a line, cut after its sentences; the
+DataFrame functions only.  A paragraph is a line, cut after its sentences that
+end in one of a few letters (a cut that only the text nearby decides); the
 digests of a text's distinct paragraphs are its set.  Each digest goes into
 three cells of a table, one in each third; a cell keeps the number of digests,
 their exclusive-or and that of their check hashes.  Subtracting the table of
 another version cancels what both have; peeling then recovers the differing
-digests one pure cell (a single digest) after another.  Tables that don't peel
-in ``ROUNDS`` rounds are built anew, twice as large and with other hash
+digests from pure cells (with a single digest), one third of the table a round:
+there each digest has one cell, so none is taken out twice.  Tables that don't
+peel in ``ROUNDS`` rounds are built anew, twice as large and with other hash
 functions, until all have.  The likeness of two texts is
 (|A| + |B| - d) / (|A| + |B| + d) with d recovered digests, the Jaccard
 similarity of their paragraph sets; two empty sets are alike (1.0).
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import document_texts, partitions, stored
 
-CELLS, ROUNDS, ROOM = 24, 6, 1.4
-PARAGRAPH_END = "\n|(?<=[.!?]) "
+CELLS, ROUNDS, ROOM = 24, 6, 2.5
+PARAGRAPH_END = "\n|(?<=[a-e][.!?]) "
 
 
 def digests(text: Column) -> Column:
@@ -101,7 +103,7 @@ def fingerprints(rows: DataFrame) -> DataFrame:
     marked = lambda c, side: F.transform(c, lambda d: F.struct(F.lit(side).alias("side"), d.alias("key")))
     sides = F.array(marked("own", 0), marked("edited", 1))
     # dealt out by row once: all that follows stays in its partition
-    each = rows.repartition("row").select("row", F.explode(F.flatten(sides)).alias("x")).select("row", "x.side", "x.key")
+    each = rows.repartition(4 * partitions(rows.sparkSession), "row").select("row", F.explode(F.flatten(sides)).alias("x")).select("row", "x.side", "x.key")
     cells = each.select("row", "side", "key", _check(F.col("key")).alias("check"), F.explode(_places(F.col("key"), F.lit(CELLS), 0)).alias("cell"))
     cells = cells.groupBy("row", "side", "cell").agg(F.count("*").alias("n"), F.expr("bit_xor(key)").alias("k"), F.expr("bit_xor(check)").alias("c"))
     text = F.concat_ws(":", F.lpad(F.col("cell").cast("string"), 2, "0"), "n", F.hex("k"), F.hex("c"))
@@ -119,7 +121,7 @@ def differences(pairs: DataFrame, salt: int) -> DataFrame:
         )
     )
     group = ["row", "kind", "cells", "cell"]
-    dealt = pairs.repartition("row").select("row", "kind", "cells", F.explode_outer(signed).alias("x"))
+    dealt = pairs.repartition(8 * partitions(pairs.sparkSession), "row").select("row", "kind", "cells", F.explode_outer(signed).alias("x"))
     zero = F.lit(0).cast("long")
     key = F.coalesce(F.col("x.key"), zero)
     # a pair of empty sets keeps one empty cell, so that it has a result
@@ -131,23 +133,17 @@ def differences(pairs: DataFrame, salt: int) -> DataFrame:
     )
     table = table.groupBy(*group).agg(F.sum("n").alias("n"), F.expr("bit_xor(key)").alias("key"), F.expr("bit_xor(check)").alias("check"))
     table = table.withColumn("found", zero)
-    for _ in range(ROUNDS):
-        pure = (F.abs("n") == 1) & (F.col("check") == _check(F.col("key")))
+    third = F.floor(F.col("cells") / 3)
+    for i in range(ROUNDS):
+        pure = (F.floor(F.col("cell") / third) == i % 3) & (F.abs("n") == 1) & (F.col("check") == _check(F.col("key")))
         places = _places(F.col("key"), F.col("cells"), salt)
-        keep = F.struct(F.col("cell"), "n", "key", "check", "found", F.lit(False).alias("taken"))
-        take = F.transform(
-            places,
-            lambda p, i: F.struct(
-                p.alias("cell"), (-F.col("n")).alias("n"), F.col("key"), F.col("check"),
-                F.when(i == 0, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("found"), F.lit(True).alias("taken"),
-            ),
-        )
-        events = F.when(pure, F.concat(F.array(keep), take)).otherwise(F.array(keep))
+        keep = F.struct("cell", "n", "key", "check", "found")
+        take = lambda p: F.struct(p.alias("cell"), (-F.col("n")).alias("n"), F.col("key"), F.col("check"), zero.alias("found"))
+        mine = F.struct("cell", zero.alias("n"), zero.alias("key"), zero.alias("check"), (F.col("found") + 1).alias("found"))
+        others = F.transform(F.filter(places, lambda p: p != F.col("cell")), take)
+        events = F.when(pure, F.concat(F.array(mine), others)).otherwise(F.array(keep))
         rows = table.select("row", "kind", "cells", F.explode(events).alias("e")).select("row", "kind", "cells", "e.*")
-        # a digest alone in two cells is taken out once
-        seen = F.when(F.col("taken"), F.col("key"))
-        once = rows.groupBy(*group, "taken", seen.alias("seen")).agg(*(F.max(c).alias(c) for c in ("n", "key", "check", "found")))
-        table = once.groupBy(*group).agg(
+        table = rows.groupBy(*group).agg(
             F.sum("n").alias("n"), F.expr("bit_xor(key)").alias("key"), F.expr("bit_xor(check)").alias("check"), F.sum("found").alias("found")
         )
     rest = (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0)
