@@ -2,9 +2,10 @@
 
 Each query is a ``WITH`` chain over the raw test tables: the adapter views
 (the same integer arithmetic as ``sources.testbed``), then staging,
-intermediate, dimension, fact and mart relations written as plain SQL — the
-original left-join chains, windows without partitions, scalar subqueries —
-and the final question.  Only the CTEs a query needs are emitted, in
+intermediate, dimension, fact and mart relations, and the final question.  The
+relations are stated from what their rows mean, in forms of their own: one
+stream of order events, sums per measure, positions turned into tiles by
+arithmetic, percentiles from counts per value, and shares from ladders.  Only the CTEs a query needs are emitted, in
 dependency order.
 
 The SQL follows the same numeric conventions as the Spark side: money is
@@ -32,6 +33,14 @@ def exact_avg_sql(x: str, scale: int) -> str:
     return f"CAST(sum(CAST({x} AS DECIMAL(30,{scale}))) AS DOUBLE) / CAST(count({x}) AS DOUBLE)"
 
 
+def tile_sql(tiles: int, place: str, n: str) -> str:
+    """Number of the tile of row ``place`` of ``n``: the first ``n % tiles``
+    tiles have one row more than the others."""
+    small, more = f"({n} // {tiles})", f"({n} % {tiles})"
+    wide = f"({more} * ({small} + 1))"
+    return f"CASE WHEN {place} <= {wide} THEN ({place} - 1) // ({small} + 1) + 1 ELSE {more} + ({place} - 1 - {wide}) // {small} + 1 END"
+
+
 def _case(rules: list[tuple[str, str]], otherwise: str) -> str:
     whens = " ".join(f"WHEN {cond} THEN {_q(label)}" for cond, label in rules)
     return f"CASE {whens} ELSE {_q(otherwise)} END"
@@ -259,87 +268,97 @@ SELECT md5(coalesce(CAST(seller_id AS VARCHAR), '_dbt_utils_surrogate_key_null_'
 FROM stg_sellers"""
 
 # -- facts ---------------------------------------------------------------------------
+CTES["order_events"] = """
+SELECT order_id, 'item' AS event, CAST(price AS DECIMAL(18,2)) AS amount, CAST(freight_value AS DECIMAL(18,2)) AS extra FROM stg_order_items
+UNION ALL SELECT order_id, 'payment', CAST(payment_value AS DECIMAL(18,2)), NULL FROM stg_order_payments
+UNION ALL SELECT order_id, 'review', CAST(review_score AS DECIMAL(18,2)), NULL FROM stg_order_reviews"""
+
+CTES["order_sums"] = """
+SELECT order_id,
+       nullif(count(*) FILTER (event = 'item'), 0) AS item_count,
+       CAST(sum(amount) FILTER (event = 'item') AS DECIMAL(18,2)) AS total_item_price,
+       CAST(sum(extra) AS DECIMAL(18,2)) AS total_freight_value,
+       CAST(sum(amount) FILTER (event = 'payment') AS DECIMAL(18,2)) AS total_payment_value,
+       nullif(count(*) FILTER (event = 'payment'), 0) AS payment_count,
+       avg(CAST(amount AS DOUBLE)) FILTER (event = 'review') AS avg_review_score,
+       nullif(count(*) FILTER (event = 'review'), 0) AS review_count
+FROM order_events GROUP BY order_id"""
+
 CTES["fct_orders"] = """
-SELECT md5(coalesce(CAST(o.order_id AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS order_key,
-       o.order_id, c.customer_key, o.order_status, o.order_purchase_timestamp, o.order_approved_timestamp,
-       o.order_delivered_carrier_timestamp, o.order_delivered_customer_timestamp, o.order_estimated_delivery_date,
-       i.item_count, i.total_item_price, i.total_freight_value,
-       p.total_payment_value, p.payment_count, r.avg_review_score, r.review_count,
-       date_diff('day', o.order_purchase_timestamp, o.order_delivered_customer_timestamp) AS delivery_days,
-       date_diff('day', o.order_estimated_delivery_date, o.order_delivered_customer_timestamp) AS delivery_vs_estimate_days
-FROM stg_orders o
-LEFT JOIN dim_customers c ON o.customer_id = c.customer_id
-LEFT JOIN int_order_items_aggregated i ON o.order_id = i.order_id
-LEFT JOIN int_order_payments_aggregated p ON o.order_id = p.order_id
-LEFT JOIN int_order_reviews_aggregated r ON o.order_id = r.order_id"""
+SELECT md5(coalesce(order_id, '_dbt_utils_surrogate_key_null_')) AS order_key, * EXCLUDE (customer_id, bought, arrived),
+       arrived - bought AS delivery_days,
+       arrived - order_estimated_delivery_date AS delivery_vs_estimate_days
+FROM (SELECT *, CAST(order_purchase_timestamp AS DATE) AS bought, CAST(order_delivered_customer_timestamp AS DATE) AS arrived FROM stg_orders)
+LEFT JOIN (SELECT customer_id, customer_key FROM dim_customers) USING (customer_id)
+LEFT JOIN order_sums USING (order_id)"""
+
+CTES["places"] = """
+SELECT 'order' AS kind, order_id AS id, latitude AS lat, longitude AS lng
+FROM stg_orders JOIN stg_customers USING (customer_id)
+JOIN int_geolocation_deduped ON zip_code_prefix = customer_zip_code_prefix
+UNION ALL
+SELECT 'seller', seller_id, latitude, longitude
+FROM stg_sellers JOIN int_geolocation_deduped ON zip_code_prefix = seller_zip_code_prefix"""
+
+CTES["routes"] = """
+WITH ends AS (
+  SELECT order_id, seller_id, radians(a.lat) AS lat_a, radians(b.lat) AS lat_b,
+         sin(radians(b.lat - a.lat) / 2) AS half_lat, sin(radians(b.lng - a.lng) / 2) AS half_lng
+  FROM (SELECT DISTINCT order_id, seller_id FROM stg_order_items)
+  JOIN places a ON a.kind = 'order' AND a.id = order_id
+  JOIN places b ON b.kind = 'seller' AND b.id = seller_id)
+SELECT order_id, seller_id, 2 * 6371 * asin(sqrt(pow(half_lat, 2) + cos(lat_a) * cos(lat_b) * pow(half_lng, 2))) AS km FROM ends"""
 
 CTES["fct_order_items"] = """
-SELECT md5(coalesce(CAST(oi.order_id AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' ||
-           coalesce(CAST(oi.order_item_id AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS order_item_key,
-       oi.order_id, oi.order_item_id, p.product_key, s.seller_key, oi.shipping_limit_timestamp, oi.price, oi.freight_value,
-       2 * 6371 * asin(sqrt(
-           pow(sin(radians(sg.latitude - cg.latitude) / 2), 2)
-           + cos(radians(cg.latitude)) * cos(radians(sg.latitude)) * pow(sin(radians(sg.longitude - cg.longitude) / 2), 2)
-       )) AS customer_seller_distance_km
-FROM stg_order_items oi
-LEFT JOIN dim_products p ON oi.product_id = p.product_id
-LEFT JOIN dim_sellers s ON oi.seller_id = s.seller_id
-LEFT JOIN stg_orders o ON oi.order_id = o.order_id
-LEFT JOIN dim_customers c ON o.customer_id = c.customer_id
-LEFT JOIN int_geolocation_deduped cg ON c.customer_zip_code_prefix = cg.zip_code_prefix
-LEFT JOIN int_geolocation_deduped sg ON s.seller_zip_code_prefix = sg.zip_code_prefix"""
+SELECT md5(concat_ws('-', coalesce(order_id, '_dbt_utils_surrogate_key_null_'),
+                     coalesce(CAST(order_item_id AS VARCHAR), '_dbt_utils_surrogate_key_null_'))) AS order_item_key,
+       order_id, order_item_id, product_key, seller_key, shipping_limit_timestamp, price, freight_value,
+       km AS customer_seller_distance_km
+FROM stg_order_items
+LEFT JOIN (SELECT product_id, product_key FROM dim_products) USING (product_id)
+LEFT JOIN (SELECT seller_id, seller_key FROM dim_sellers) USING (seller_id)
+LEFT JOIN routes USING (order_id, seller_id)"""
 
 # -- marts -----------------------------------------------------------------------------
-CTES["rfm_paid"] = """
-SELECT c.customer_unique_id, o.order_purchase_timestamp, o.total_payment_value
-FROM fct_orders o JOIN dim_customers c ON o.customer_key = c.customer_key
-WHERE o.total_payment_value IS NOT NULL"""
+CTES["person_orders"] = """
+SELECT customer_unique_id, customer_state, customer_city, fct_orders.*
+FROM fct_orders JOIN dim_customers USING (customer_key)"""
 
-CTES["rfm_base"] = """
-SELECT customer_unique_id,
-       date_diff('day', max(order_purchase_timestamp), (SELECT max(order_purchase_timestamp) FROM rfm_paid)) AS recency_days,
-       count(*) AS frequency,
+CTES["person_payments"] = """
+SELECT customer_unique_id, CAST(max(order_purchase_timestamp) AS DATE) AS last_day, count(*) AS frequency,
        CAST(round(sum(total_payment_value), 2) AS DOUBLE) AS monetary
-FROM rfm_paid GROUP BY customer_unique_id"""
-
-CTES["rfm_scored"] = """
-SELECT customer_unique_id, recency_days, frequency, monetary,
-       ntile(5) OVER (ORDER BY recency_days DESC NULLS LAST, customer_unique_id) AS r_score,
-       ntile(5) OVER (ORDER BY monetary ASC NULLS LAST, customer_unique_id) AS m_score,
-       CASE WHEN frequency = 1 THEN 1 WHEN frequency = 2 THEN 3 ELSE 5 END AS f_score
-FROM rfm_base"""
+FROM person_orders WHERE total_payment_value IS NOT NULL GROUP BY customer_unique_id"""
 
 CTES["customer_rfm"] = f"""
-SELECT *,
-       CASE WHEN f_score = 5 THEN {_q(B.SEG_LOYAL)}
-            WHEN r_score >= 4 AND m_score >= 4 THEN {_q(B.SEG_CHAMPIONS)}
-            WHEN m_score >= 4 AND r_score <= 2 THEN {_q(B.SEG_AT_RISK)}
-            WHEN r_score >= 4 AND m_score <= 2 THEN {_q(B.SEG_NEW_LOW)}
-            WHEN r_score <= 2 AND m_score <= 2 THEN {_q(B.SEG_LOST)}
-            ELSE {_q(B.SEG_REGULAR)} END AS segment
-FROM rfm_scored"""
-
-CTES["cs_orders"] = """
-SELECT c.customer_unique_id, c.customer_state, c.customer_city, o.order_id, o.order_purchase_timestamp,
-       o.total_payment_value, o.avg_review_score
-FROM fct_orders o JOIN dim_customers c ON o.customer_key = c.customer_key"""
-
-CTES["cs_agg"] = """
-SELECT customer_unique_id,
-       max(customer_state) AS customer_state,
-       max(customer_city) AS customer_city,
-       count(DISTINCT order_id) AS order_count,
-       round(CAST(sum(total_payment_value) AS DOUBLE), 2) AS total_spent,
-       round(avg(avg_review_score), 2) AS avg_review_score,
-       year(max(order_purchase_timestamp)) AS order_year,
-       monthname(max(order_purchase_timestamp)) AS order_month
-FROM cs_orders GROUP BY customer_unique_id"""
+WITH placed AS (
+  SELECT customer_unique_id, frequency, monetary, (SELECT max(last_day) FROM person_payments) - last_day AS recency_days,
+         row_number() OVER (ORDER BY last_day, customer_unique_id) AS by_day,
+         row_number() OVER (ORDER BY monetary, customer_unique_id) AS by_money,
+         (SELECT count(*) FROM person_payments) AS n
+  FROM person_payments),
+graded AS (
+  SELECT customer_unique_id, recency_days, frequency, monetary,
+         {tile_sql(5, 'by_day', 'n')} AS r_score, {tile_sql(5, 'by_money', 'n')} AS m_score,
+         [1, 3, 5][least(frequency, 3)] AS f_score
+  FROM placed)
+SELECT *, {_case([('f_score = 5', B.SEG_LOYAL), ('least(r_score, m_score) >= 4', B.SEG_CHAMPIONS), ('m_score >= 4 AND r_score <= 2', B.SEG_AT_RISK),
+                  ('r_score >= 4 AND m_score <= 2', B.SEG_NEW_LOW), ('greatest(r_score, m_score) <= 2', B.SEG_LOST)], B.SEG_REGULAR)} AS segment
+FROM graded"""
+
+CTES["person_summary"] = """
+SELECT customer_unique_id, max(customer_state) AS customer_state, max(customer_city) AS customer_city,
+       count(*) AS order_count, round(CAST(sum(total_payment_value) AS DOUBLE), 2) AS total_spent,
+       round(avg(avg_review_score), 2) AS avg_review_score, max(order_purchase_timestamp) AS last_order
+FROM person_orders GROUP BY customer_unique_id"""
 
 CTES["customer_satisfaction"] = """
-SELECT customer_unique_id, customer_state, customer_city, order_count, total_spent, avg_review_score,
-       round(percent_rank() OVER (ORDER BY total_spent ASC NULLS LAST), 4) AS spending_percentile,
-       order_year, order_month
-FROM cs_agg"""
+WITH per_value AS (SELECT total_spent, count(*) AS n FROM person_summary GROUP BY total_spent),
+standing AS (
+  SELECT total_spent, sum(n) OVER (ORDER BY total_spent NULLS LAST) - n AS below, greatest(sum(n) OVER () - 1, 1) AS others FROM per_value)
+SELECT customer_unique_id, customer_state, customer_city, order_count, p.total_spent, avg_review_score,
+       round(CAST(below AS DOUBLE) / CAST(others AS DOUBLE), 4) AS spending_percentile,
+       year(last_order) AS order_year, monthname(last_order) AS order_month
+FROM person_summary p JOIN standing s ON p.total_spent IS NOT DISTINCT FROM s.total_spent"""
 
 CTES["category_satisfaction"] = """
 SELECT p.product_category, CAST(round(o.avg_review_score) AS INTEGER) AS review_score, count(*) AS item_count
@@ -352,21 +371,42 @@ WHERE o.avg_review_score IS NOT NULL
 GROUP BY 1, 2"""
 
 CTES["seller_performance"] = """
-SELECT s.seller_key, s.seller_id, s.seller_state,
-       count(*) AS item_count,
-       count(o.delivery_vs_estimate_days) AS delivered_item_count,
-       count(DISTINCT i.order_id) AS order_count,
-       count(DISTINCT i.product_key) AS product_count,
-       round(CAST(sum(i.price) AS DOUBLE), 2) AS total_revenue,
-       round(CAST(sum(i.freight_value) AS DOUBLE), 2) AS total_freight,
-       round(avg(o.avg_review_score), 2) AS avg_review_score,
-       round(count(*) FILTER (WHERE o.delivery_vs_estimate_days > 0)
-             / nullif(count(o.delivery_vs_estimate_days), 0), 4) AS late_rate,
-       round(avg(i.customer_seller_distance_km), 1) AS avg_distance_km
-FROM fct_order_items i
-LEFT JOIN fct_orders o ON i.order_id = o.order_id
-LEFT JOIN dim_sellers s ON i.seller_key = s.seller_key
-GROUP BY 1, 2, 3"""
+WITH volume AS (
+  SELECT seller_key, count(*) AS item_count, round(CAST(sum(price) AS DOUBLE), 2) AS total_revenue,
+         round(CAST(sum(freight_value) AS DOUBLE), 2) AS total_freight, round(avg(customer_seller_distance_km), 1) AS avg_distance_km
+  FROM fct_order_items GROUP BY seller_key),
+per_order AS (SELECT seller_key, order_id, count(*) AS lines FROM fct_order_items GROUP BY ALL),
+outcome AS (
+  SELECT seller_key, count(*) AS order_count,
+         CAST(coalesce(sum(lines) FILTER (delivery_vs_estimate_days IS NOT NULL), 0) AS BIGINT) AS delivered_item_count,
+         coalesce(sum(lines) FILTER (delivery_vs_estimate_days > 0), 0) AS late_lines,
+         round(sum(lines * avg_review_score) / sum(lines) FILTER (avg_review_score IS NOT NULL), 2) AS avg_review_score
+  FROM per_order LEFT JOIN fct_orders USING (order_id) GROUP BY seller_key),
+variety AS (SELECT seller_key, count(product_key) AS product_count FROM (SELECT DISTINCT seller_key, product_key FROM fct_order_items) GROUP BY seller_key)
+SELECT seller_key, seller_id, seller_state, item_count, delivered_item_count, order_count, product_count, total_revenue, total_freight,
+       avg_review_score,
+       round(CAST(late_lines AS DOUBLE) / nullif(delivered_item_count, 0), 4) AS late_rate,
+       avg_distance_km
+FROM volume JOIN outcome USING (seller_key) JOIN variety USING (seller_key) LEFT JOIN dim_sellers USING (seller_key)"""
+
+CTES["category_totals"] = """
+SELECT coalesce(product_category_name_english, '(uncategorised)') AS category, sum(sold) AS revenue
+FROM (SELECT product_key, sum(price) AS sold FROM fct_order_items GROUP BY product_key) JOIN dim_products USING (product_key)
+GROUP BY ALL"""
+
+CTES["category_ladder"] = """
+SELECT own.category, own.revenue, count(*) AS step, sum(up.revenue) AS reached
+FROM category_totals own JOIN category_totals up
+  ON up.revenue > own.revenue OR (up.revenue = own.revenue AND up.category <= own.category)
+GROUP BY own.category, own.revenue"""
+
+CTES["seller_places"] = """
+SELECT CAST(total_revenue AS DECIMAL(18,2)) AS sold, row_number() OVER (ORDER BY total_revenue DESC NULLS LAST, seller_key) AS place,
+       (SELECT count(*) FROM seller_performance) AS n
+FROM seller_performance"""
+
+CTES["seller_tenths"] = f"""
+SELECT {tile_sql(10, 'place', 'n')} AS decile, count(*) AS sellers, sum(sold) AS sold FROM seller_places GROUP BY 1"""
 
 # ---------------------------------------------------------------------------
 # Final SELECTs per query key.
@@ -465,14 +505,12 @@ WHERE o.delivery_vs_estimate_days IS NOT NULL AND p.product_category_name_englis
 GROUP BY 1 HAVING count(*) >= 1000 ORDER BY pct_late DESC"""
 
 FINAL["seller_late_bands_from_facts"] = f"""
-WITH seller_stats AS (
-  SELECT oi.seller_key, count(*) AS items,
-         avg(CASE WHEN o.delivery_vs_estimate_days <= 0 THEN 0 ELSE 1 END) AS late_rate
-  FROM fct_order_items oi JOIN fct_orders o ON oi.order_id = o.order_id
-  WHERE o.delivery_vs_estimate_days IS NOT NULL
-  GROUP BY 1 HAVING count(*) >= 20)
-SELECT {seller_late_sql('late_rate')} AS seller_late_band, count(*) AS sellers, CAST(sum(items) AS BIGINT) AS items
-FROM seller_stats GROUP BY 1 ORDER BY 1"""
+WITH per_order AS (SELECT seller_key, order_id, count(*) AS lines FROM fct_order_items GROUP BY ALL),
+judged AS (
+  SELECT seller_key, sum(lines) AS items, CAST(coalesce(sum(lines) FILTER (delivery_vs_estimate_days > 0), 0) AS DOUBLE) / sum(lines) AS share_late
+  FROM per_order JOIN fct_orders USING (order_id) WHERE delivery_vs_estimate_days IS NOT NULL GROUP BY seller_key)
+SELECT {seller_late_sql('share_late')} AS seller_late_band, count(*) AS sellers, CAST(sum(items) AS BIGINT) AS items
+FROM judged WHERE items >= 20 GROUP BY 1 ORDER BY 1"""
 
 FINAL["late_rate_by_month"] = """
 SELECT CAST(date_trunc('month', o.order_purchase_timestamp) AS DATE) AS month,
@@ -482,46 +520,24 @@ FROM fct_orders o WHERE o.delivery_vs_estimate_days IS NOT NULL
 GROUP BY 1 ORDER BY 1"""
 
 FINAL["category_revenue_top15"] = f"""
-WITH category_rev AS (
-  SELECT coalesce(p.product_category_name_english, '(uncategorised)') AS category, sum(oi.price) AS revenue
-  FROM fct_order_items oi JOIN dim_products p ON oi.product_key = p.product_key GROUP BY 1),
-ranked AS (
-  SELECT category, revenue,
-         row_number() OVER (ORDER BY revenue DESC, category) AS category_rank,
-         sum(revenue) OVER () AS total_rev,
-         sum(revenue) OVER (ORDER BY revenue DESC, category ROWS UNBOUNDED PRECEDING) AS cum_rev
-  FROM category_rev)
-SELECT category_rank, category, round(CAST(revenue AS DOUBLE)) AS revenue,
-       round({pct_sql('revenue', 'total_rev')}, 1) AS pct_revenue,
-       round({pct_sql('cum_rev', 'total_rev')}, 1) AS cum_pct_revenue
-FROM ranked ORDER BY category_rank LIMIT 15"""
+SELECT step AS category_rank, category, round(CAST(revenue AS DOUBLE)) AS revenue,
+       round({pct_sql('revenue', '(SELECT sum(revenue) FROM category_totals)')}, 1) AS pct_revenue,
+       round({pct_sql('reached', '(SELECT sum(revenue) FROM category_totals)')}, 1) AS cum_pct_revenue
+FROM category_ladder ORDER BY step LIMIT 15"""
 
 FINAL["seller_revenue_deciles"] = f"""
-WITH ranked AS (
-  SELECT total_revenue, ntile(10) OVER (ORDER BY total_revenue DESC NULLS LAST, seller_key) AS decile
-  FROM seller_performance),
-by_decile AS (
-  SELECT decile, count(*) AS sellers, sum(CAST(total_revenue AS DECIMAL(18,2))) AS rev FROM ranked GROUP BY decile)
-SELECT decile, sellers, round(CAST(rev AS DOUBLE)) AS revenue,
-       round({pct_sql('rev', 'sum(rev) OVER ()')}, 1) AS pct_revenue,
-       round({pct_sql('sum(rev) OVER (ORDER BY decile)', 'sum(rev) OVER ()')}, 1) AS cum_pct_revenue
-FROM by_decile ORDER BY decile"""
+SELECT decile, sellers, round(CAST(sold AS DOUBLE)) AS revenue,
+       round({pct_sql('sold', '(SELECT sum(sold) FROM seller_tenths)')}, 1) AS pct_revenue,
+       round({pct_sql('(SELECT sum(up.sold) FROM seller_tenths up WHERE up.decile <= own.decile)', '(SELECT sum(sold) FROM seller_tenths)')}, 1) AS cum_pct_revenue
+FROM seller_tenths own ORDER BY decile"""
 
 FINAL["seller_pareto_bands"] = f"""
-WITH ranked AS (
-  SELECT total_revenue,
-         row_number() OVER (ORDER BY total_revenue DESC NULLS LAST, seller_key) AS seller_rank,
-         count(*) OVER () AS n_sellers
-  FROM seller_performance)
-SELECT CASE WHEN seller_rank <= 0.01 * n_sellers THEN '1 top 1%'
-            WHEN seller_rank <= 0.05 * n_sellers THEN '2 top 5%'
-            WHEN seller_rank <= 0.10 * n_sellers THEN '3 top 10%'
-            WHEN seller_rank <= 0.20 * n_sellers THEN '4 top 20%'
-            ELSE '5 rest' END AS seller_band,
-       count(*) AS sellers,
-       round(CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE)) AS revenue,
-       round({pct_sql('sum(CAST(total_revenue AS DECIMAL(18,2)))', 'sum(sum(CAST(total_revenue AS DECIMAL(18,2)))) OVER ()')}, 1) AS pct_revenue
-FROM ranked GROUP BY 1 ORDER BY 1"""
+WITH limits(seller_band, share) AS (VALUES ('1 top 1%', 0.01), ('2 top 5%', 0.05), ('3 top 10%', 0.10), ('4 top 20%', 0.20), ('5 rest', 1.00)),
+banded AS (
+  SELECT place, sold, min(seller_band) AS seller_band FROM seller_places JOIN limits ON place <= share * n GROUP BY place, sold)
+SELECT seller_band, count(*) AS sellers, round(CAST(sum(sold) AS DOUBLE)) AS revenue,
+       round({pct_sql('sum(sold)', '(SELECT sum(sold) FROM seller_places)')}, 1) AS pct_revenue
+FROM banded GROUP BY seller_band ORDER BY seller_band"""
 
 FINAL["seller_quality_by_volume"] = f"""
 SELECT {volume_sql('item_count')} AS volume_band,
@@ -556,17 +572,10 @@ FINAL["headline_kpis"] = f"""
 SELECT count(*) AS orders, count(delivery_vs_estimate_days) AS delivered_orders,
        round(CAST(sum(total_item_price) AS DOUBLE)) AS gmv,
        round(avg(avg_review_score), 2) AS avg_review,
-       round(100.0 * avg({_LATE_OR_NULL}), 1) AS pct_late
+       round(100.0 * avg({_LATE_OR_NULL}), 1) AS pct_late,
+       round(100.0 * avg(1 - {_LATE_OR_NULL}), 1) AS pct_on_time
 FROM fct_orders"""
 
-FINAL["headline_kpis_windowed"] = f"""
-SELECT count(*) AS orders, count(delivery_vs_estimate_days) AS delivered_orders,
-       round(CAST(sum(total_item_price) AS DOUBLE)) AS gmv,
-       round(avg(avg_review_score), 2) AS avg_review,
-       round(100.0 * avg({_LATE_OR_NULL}), 1) AS pct_late
-FROM fct_orders
-WHERE order_purchase_timestamp >= TIMESTAMP '{{start}}' AND order_purchase_timestamp < TIMESTAMP '{{end}}'"""
-
 FINAL["monthly_revenue_and_review"] = """
 SELECT CAST(date_trunc('month', order_purchase_timestamp) AS DATE) AS month, count(*) AS orders,
        round(CAST(sum(total_item_price) AS DOUBLE), 2) AS revenue,
@@ -577,6 +586,16 @@ FINAL["top_sellers"] = """
 SELECT seller_id, seller_state, total_revenue, order_count, item_count
 FROM seller_performance ORDER BY total_revenue DESC NULLS LAST, seller_id LIMIT 10"""
 
+FINAL["top_sellers_by_orders"] = """
+SELECT seller_id, seller_state, total_revenue, order_count, item_count
+FROM seller_performance ORDER BY order_count DESC NULLS LAST, seller_id LIMIT 10"""
+
+FINAL["top_categories_by_orders"] = """
+SELECT coalesce(product_category_name_english, '(uncategorised)') AS category,
+       round(CAST(sum(price) AS DOUBLE), 2) AS revenue, count(DISTINCT order_id) AS orders
+FROM fct_order_items JOIN dim_products USING (product_key)
+GROUP BY 1 ORDER BY orders DESC NULLS LAST, category LIMIT 10"""
+
 FINAL["top_categories"] = """
 SELECT coalesce(p.product_category_name_english, '(uncategorised)') AS category,
        round(CAST(sum(oi.price) AS DOUBLE), 2) AS revenue,
@@ -589,7 +608,8 @@ SELECT order_status, count(*) AS orders,
        round({pct_sql('count(*)', 'sum(count(*)) OVER ()')}, 1) AS pct_orders,
        count(delivery_vs_estimate_days) AS delivered_orders,
        count(*) FILTER (WHERE delivery_vs_estimate_days > 0) AS late_orders,
-       round({pct_sql('count(*) FILTER (WHERE delivery_vs_estimate_days > 0)', 'nullif(count(delivery_vs_estimate_days), 0)')}, 1) AS pct_late
+       round({pct_sql('count(*) FILTER (WHERE delivery_vs_estimate_days > 0)', 'nullif(count(delivery_vs_estimate_days), 0)')}, 1) AS pct_late,
+       round({pct_sql('count(*) FILTER (WHERE delivery_vs_estimate_days <= 0)', 'nullif(count(delivery_vs_estimate_days), 0)')}, 1) AS pct_on_time
 FROM fct_orders GROUP BY order_status"""
 
 FINAL["late_rate_by_state"] = f"""
@@ -620,28 +640,14 @@ SELECT CASE WHEN difference > 0 THEN 'over' ELSE 'under' END AS direction, count
 FROM payment_reconciliation GROUP BY 1"""
 
 FINAL["categories_to_reach_share"] = """
-WITH category_rev AS (
-  SELECT coalesce(p.product_category_name_english, '(uncategorised)') AS category, sum(oi.price) AS revenue
-  FROM fct_order_items oi JOIN dim_products p ON oi.product_key = p.product_key GROUP BY 1),
-ranked AS (
-  SELECT row_number() OVER (ORDER BY revenue DESC, category) AS rnk,
-         count(*) OVER () AS n_categories,
-         sum(revenue) OVER () AS total_rev,
-         sum(revenue) OVER (ORDER BY revenue DESC, category ROWS UNBOUNDED PRECEDING) AS cum_rev
-  FROM category_rev)
-SELECT min(CASE WHEN cum_rev * 100 >= total_rev * 80 THEN rnk END) AS categories_needed,
-       max(n_categories) AS total_categories, 80 AS share_pct
-FROM ranked"""
+SELECT min(step) FILTER (reached * 100 >= 80 * (SELECT sum(revenue) FROM category_totals)) AS categories_needed,
+       count(*) AS total_categories, 80 AS share_pct
+FROM category_ladder"""
 
 FINAL["bottom_half_seller_share"] = f"""
-WITH ranked AS (
-  SELECT total_revenue, ntile(10) OVER (ORDER BY total_revenue DESC NULLS LAST, seller_key) AS decile
-  FROM seller_performance),
-by_decile AS (
-  SELECT decile, count(*) AS sellers, sum(CAST(total_revenue AS DECIMAL(18,2))) AS rev FROM ranked GROUP BY decile)
-SELECT CAST(sum(CASE WHEN decile > 5 THEN sellers END) AS BIGINT) AS sellers,
-       round({pct_sql('sum(CASE WHEN decile > 5 THEN rev END)', 'sum(rev)')}, 1) AS pct_revenue
-FROM by_decile"""
+SELECT CAST(sum(sellers) FILTER (decile > 5) AS BIGINT) AS sellers,
+       round({pct_sql('sum(sold) FILTER (decile > 5)', 'sum(sold)')}, 1) AS pct_revenue
+FROM seller_tenths"""
 
 
 def _sql_value(v) -> str:
@@ -685,10 +691,6 @@ def register_quality(checks) -> None:
     FINAL["dq_report"] = "\nUNION ALL\n".join(parts)
 
 
-def register_window(start: str, end: str) -> None:
-    FINAL["headline_kpis_windowed"] = FINAL["headline_kpis_windowed"].replace("{start}", start).replace("{end}", end)
-
-
 def register_review_by_category(categories) -> None:
     FINAL["review_by_category_and_lateness"] = _review_by_category_sql(categories)
 
@@ -697,34 +699,44 @@ def register_review_by_category(categories) -> None:
 _WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
-def _deps(body: str) -> list[str]:
-    return [w for w in dict.fromkeys(_WORD.findall(body)) if w in CTES]
-
-
-def with_chain(final_sql: str, exclude: tuple[str, ...] = ()) -> str:
+def with_chain(final_sql: str, ctes: dict[str, str] | None = None) -> str:
     """Prefix ``final_sql`` with every CTE it (transitively) references."""
+    ctes = CTES if ctes is None else ctes
     order: list[str] = []
     seen: set[str] = set()
 
+    def named_in(body: str) -> list[str]:
+        return [w for w in dict.fromkeys(_WORD.findall(body)) if w in ctes]
+
     def visit(name: str) -> None:
         if name in seen:
             return
         seen.add(name)
-        for d in _deps(CTES[name]):
+        for d in named_in(ctes[name]):
             if d != name:
                 visit(d)
         order.append(name)
 
-    for d in _deps(final_sql):
-        if d not in exclude:
-            visit(d)
+    for d in named_in(final_sql):
+        visit(d)
     final = final_sql.strip()
     if not order:
         return final
-    ctes = ",\n".join(f"{n} AS ({CTES[n].strip()}\n)" for n in order)
+    chain = ",\n".join(f"{n} AS ({ctes[n].strip()}\n)" for n in order)
     if final[:5].upper() == "WITH ":
-        return f"WITH {ctes},\n{final[5:]}"
-    return f"WITH {ctes}\n{final}"
+        return f"WITH {chain},\n{final[5:]}"
+    return f"WITH {chain}\n{final}"
+
+
+def windowed_query(key: str, start: str, end: str) -> str:
+    """A question on the orders placed in [start, end) and their lines only."""
+    ctes = dict(CTES)
+    ctes["every_order"], ctes["every_line"] = CTES["fct_orders"], CTES["fct_order_items"]
+    ctes["fct_orders"] = (
+        f"SELECT * FROM every_order WHERE order_purchase_timestamp >= TIMESTAMP '{start}' AND order_purchase_timestamp < TIMESTAMP '{end}'"
+    )
+    ctes["fct_order_items"] = "SELECT every_line.* FROM every_line SEMI JOIN fct_orders USING (order_id)"
+    return with_chain(FINAL[key], ctes)
 
 
 def oracle_queries() -> dict[str, str]:

@@ -210,13 +210,14 @@ def category_revenue_top15(w, top: int = 15) -> DataFrame:
         .groupBy(category_english_or_label("product_category_name_english").alias("category"))
         .agg(F.sum("price").alias("rev"))
     )
-    ranked = rank_frame(
-        rev,
-        [F.col("rev").desc(), F.col("category").asc()],
-        value="rev",
-        row_number="category_rank",
-        running_sum="cum_rev",
-        total_sum="total_rev",
+    # only the leading rows are ranked; the total comes from the aggregated frame
+    whole = Window.partitionBy(F.lit(1))
+    order = [F.col("rev").desc(), F.col("category").asc()]
+    leading = rev.withColumn("total_rev", F.sum("rev").over(whole)).orderBy(*order).limit(top)
+    ranked = leading.select(
+        "*",
+        F.row_number().over(whole.orderBy(*order)).cast("bigint").alias("category_rank"),
+        F.sum("rev").over(whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)).alias("cum_rev"),
     )
     out = ranked.select(
         "category_rank",

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.semantics import category_english_or_label, late_flag, pct, round_scaled
-from marketlens.operators.ranking import rank_frame
 from marketlens.plans.analyses import exact_avg, seller_decile_totals
 from marketlens.plans.quality import payment_reconciliation
 
@@ -31,6 +30,7 @@ def headline_kpis(w) -> DataFrame:
         round_scaled(F.sum("total_item_price").cast("double"), 0).alias("gmv"),
         round_scaled(F.avg("avg_review_score"), 2).alias("avg_review"),
         round_scaled(F.lit(100.0) * F.avg(_late_or_null()), 1).alias("pct_late"),
+        round_scaled(F.lit(100.0) * F.avg(1 - _late_or_null()), 1).alias("pct_on_time"),
     )
 
 
@@ -69,14 +69,16 @@ def delivery_status_split(w) -> DataFrame:
         F.count("delivery_vs_estimate_days").alias("delivered_orders"),
         F.count_if(F.col("delivery_vs_estimate_days") > 0).alias("late_orders"),
     )
-    total = g.agg(F.sum("orders")).scalar()
+    total = F.sum("orders").over(Window.partitionBy(F.lit(1)))  # one row a status
+    delivered = F.nullif(F.col("delivered_orders"), F.lit(0))
     return g.select(
         "order_status",
         "orders",
         round_scaled(pct(F.col("orders"), total), 1).alias("pct_orders"),
         "delivered_orders",
         "late_orders",
-        round_scaled(pct(F.col("late_orders"), F.nullif(F.col("delivered_orders"), F.lit(0))), 1).alias("pct_late"),
+        round_scaled(pct(F.col("late_orders"), delivered), 1).alias("pct_late"),
+        round_scaled(pct(F.col("delivered_orders") - F.col("late_orders"), delivered), 1).alias("pct_on_time"),
     )
 
 
@@ -140,14 +142,13 @@ def categories_to_reach_share(w, share_pct: int = 80) -> DataFrame:
         .groupBy(category_english_or_label("product_category_name_english").alias("category"))
         .agg(F.sum("price").alias("rev"))
     )
-    ranked = rank_frame(
-        rev,
-        [F.col("rev").desc(), F.col("category").asc()],
-        value="rev",
-        row_number="rank",
-        total="n_categories",
-        running_sum="cum_rev",
-        total_sum="total_rev",
+    # one row a category: the windows run over the aggregated frame
+    whole, order = Window.partitionBy(F.lit(1)), [F.col("rev").desc(), F.col("category").asc()]
+    ranked = rev.select(
+        F.row_number().over(whole.orderBy(*order)).cast("bigint").alias("rank"),
+        F.count(F.lit(1)).over(whole).alias("n_categories"),
+        F.sum("rev").over(whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)).alias("cum_rev"),
+        F.sum("rev").over(whole).alias("total_rev"),
     )
     reached = F.col("cum_rev") * 100 >= F.col("total_rev") * share_pct
     return ranked.agg(

@@ -29,19 +29,6 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.semantics import day_diff, haversine_km, surrogate_key
 
-# Largest centroid relation we broadcast: one row per five-digit zip prefix.
-GEO_BROADCAST_MAX_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the relation is proven small on the data
-    (at most ``max_rows`` rows); otherwise return it unchanged so the planner
-    chooses by runtime size.  Counting stops after ``max_rows + 1`` rows."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def fct_orders(
     stg_orders: DataFrame,
     dim_customers: DataFrame,
@@ -88,7 +75,7 @@ def fct_order_items(
     dim_customers: DataFrame,
     geo: DataFrame,
 ) -> DataFrame:
-    point = bounded_broadcast(geo.select("zip_code_prefix", "latitude", "longitude"), GEO_BROADCAST_MAX_ROWS)
+    point = geo.select("zip_code_prefix", "latitude", "longitude")
     cgeo = point.select(
         F.col("zip_code_prefix").alias("customer_zip_code_prefix"),
         F.col("latitude").alias("c_lat"),

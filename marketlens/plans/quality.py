@@ -5,7 +5,7 @@ relationship the export consumer relies on but nobody declared); the
 singular payment reconciliation is ``payment_reconciliation`` with severity
 ``warn``.  ``dq_report`` evaluates everything into one DataFrame
 ``(table_name, check_name, column_name, severity, violations)``;
-``failing_checks`` raises only for ``error`` rows, mirroring warn-vs-error.
+``assert_checks`` raises only for ``error`` rows, mirroring warn-vs-error.
 """
 
 from __future__ import annotations
@@ -155,8 +155,9 @@ class DataQualityError(RuntimeError):
 def assert_checks(report: DataFrame) -> list:
     """Raise if any error-severity check fails; return the warn rows that
     have violations (they are reported, never fatal)."""
-    failed = failing_checks(report)
+    found = report.where(F.col("violations") > 0).collect()  # at most one row a check
+    failed = [r for r in found if r.severity == "error"]
     if failed:
         lines = [f"{r.table_name}.{r.column_name} {r.check_name}: {r.violations}" for r in failed]
         raise DataQualityError("failing checks:\n" + "\n".join(lines))
-    return report.where((F.col("severity") == "warn") & (F.col("violations") > 0)).collect()
+    return [r for r in found if r.severity == "warn"]

@@ -2,7 +2,7 @@
 
 Library code never creates a session; it takes the caller's.  ``local_session``
 is for tests and the benchmark only.  ``ensure_checkpoint_dir`` reads the
-cluster's ``spark.checkpoint.dir`` and only invents one in local mode.
+cluster's ``spark.checkpoint.dir`` and invents none.
 """
 
 from __future__ import annotations
@@ -38,26 +38,17 @@ def local_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory, setting a scratch one only in local mode.
+    """The checkpoint directory named in ``spark.checkpoint.dir``.
 
-    On a cluster the directory must be shared storage named by the cluster in
-    ``spark.checkpoint.dir``; a machine-local folder would lose checkpoints
-    with the executor that wrote them, so we refuse to invent one there.
-    """
+    It must be storage that all executors share; none is invented here, as a
+    machine-local folder would lose tables with the executor that wrote them."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at shared storage "
-                "(HDFS/S3/ABFS) before running ranking jobs on a cluster"
-            )
-        configured = tempfile.mkdtemp(prefix="marketlens-ckpt-", dir="/tmp")
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -26,6 +26,10 @@ DEFAULT_PATH_TEMPLATE = "{root}/{name}.{ext}"
 DEFAULT_OVERRIDES = {"product_category_translation": "{root}/product_category_name_translation.{ext}"}
 # ---------------------------------------------------------------------------
 
+# Sources whose text can hold line breaks.  The files of all others are split
+# into tasks; convert this one to Parquet once where it is large.
+MULTILINE_SOURCES = frozenset({"order_reviews"})
+
 
 @dataclass(frozen=True)
 class SourceConfig:
@@ -33,6 +37,7 @@ class SourceConfig:
     fmt: str = "csv"
     template: str = DEFAULT_PATH_TEMPLATE
     overrides: dict[str, str] = field(default_factory=lambda: dict(DEFAULT_OVERRIDES))
+    multiline: frozenset[str] = MULTILINE_SOURCES
 
     def path(self, name: str) -> str:
         ext = "csv" if self.fmt == "csv" else self.fmt
@@ -47,11 +52,11 @@ def read_source(spark: SparkSession, name: str, cfg: SourceConfig) -> DataFrame:
         df = (
             spark.read.schema(schema)
             .option("header", True)
-            .option("multiLine", True)
+            .option("multiLine", name in cfg.multiline)  # such files can't be split
             .option("quote", '"')
             .option("escape", '"')
             .option("mode", "FAILFAST")
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
             .csv(path)
         )
     elif cfg.fmt == "parquet":

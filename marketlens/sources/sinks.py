@@ -20,10 +20,11 @@ from pyspark.sql import types as T
 
 CSV_OPTIONS = {
     "header": "true",
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",  # the fraction is kept
     "dateFormat": "yyyy-MM-dd",
     "escape": '"',
 }
+FORMATS = ("parquet", "csv")
 
 
 def _path(out_dir: str, name: str, fmt: str) -> str:
@@ -33,15 +34,16 @@ def _path(out_dir: str, name: str, fmt: str) -> str:
 def write_table(df: DataFrame, path: str, fmt: str, name: str = "table", partition_by: str | None = None) -> int:
     obs = Observation(f"export_{name}_{fmt}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if partition_by:
+        # rows of a partition value go to few tasks, by size, so that each writes few files
+        observed = observed.hint("rebalance", partition_by)
     writer = observed.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    if fmt == "parquet":
-        writer.parquet(path)
-    elif fmt == "csv":
-        writer.options(**CSV_OPTIONS).csv(path)
-    else:
-        raise ValueError(f"unsupported format: {fmt}")
+    if fmt not in FORMATS:
+        raise ValueError(f"{fmt!r} is none of {', '.join(FORMATS)}")
+    options = CSV_OPTIONS if fmt == "csv" else {}
+    writer.format(fmt).options(**options).save(path)
     return int(obs.get["rows"])
 
 
@@ -56,12 +58,10 @@ def export_marts(
     from marketlens.plans.pipeline import MART_NAMES
 
     marts = MART_NAMES if marts is None else marts
-    formats = ["parquet", "csv"] if fmt == "both" else [fmt]
+    formats = list(FORMATS) if fmt == "both" else [fmt]
     counts: dict[str, dict[str, int]] = {f: {} for f in formats}
     spark = w.spark
     for f in formats:
-        if log:
-            log(f"Exporting {len(marts)} marts to {f} in {out_dir}/")
         for name in marts:
             if f == "csv" and "parquet" in formats:
                 source = spark.read.parquet(_path(out_dir, name, "parquet"))
@@ -70,7 +70,7 @@ def export_marts(
             n = write_table(source, _path(out_dir, name, f), f, name)
             counts[f][name] = n
             if log:
-                log(f"  {n:>9,}  {name}.{f}")
+                log(f"{_path(out_dir, name, f)}: {n} rows")
     return counts
 
 

@@ -79,15 +79,18 @@ _MEMO_ATTR = "_marketlens_testbed_plans"
 def testbed_sources(spark: SparkSession, sf_dir: str, reuse: bool = True) -> dict[str, DataFrame]:
     """The nine sources as lazy DataFrames over the test tables.
 
-    The plans (not data) are memoised per session and directory: building
+    The plans (not data) are memoised per session and list of files: building
     them costs thousands of JVM round trips, and every query of a session
-    would otherwise rebuild the identical plan.  Execution still reads the
-    tables each time.
+    would otherwise rebuild the identical plan.  Files that are added later
+    make another list, and so another plan; execution reads the tables each
+    time.
     """
-    key = sf_dir.rstrip("/")
+    folder = sf_dir.rstrip("/")
+    files = sorted(f for t in read_tables(spark, folder).values() for f in t.inputFiles())
+    key = (folder, *files)
     memo = spark.__dict__.setdefault(_MEMO_ATTR, {}) if reuse else {}
     if key not in memo:
-        memo[key] = _build_testbed_sources(spark, key)
+        memo[key] = _build_testbed_sources(spark, folder)
     return dict(memo[key])
 
 

@@ -7,7 +7,7 @@ from marketlens.sources.sinks import export_marts, read_export
 
 
 def test_csv_keeps_zip_text_and_multiline_quotes(spark, scratch):
-    cfg = SourceConfig(root=scratch, fmt="csv")
+    cfg = SourceConfig(root=scratch, fmt="csv", multiline=frozenset({"customers"}))
     with open(cfg.path("customers"), "w") as f:
         f.write("customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n")
         f.write('c1,u1,01037,"sao ""paulo""",SP\n')
@@ -127,3 +127,48 @@ def test_registered_views_run_analysis_sql(warehouse):
     )
     got = sorted(tuple(r) for r in sql.collect())
     assert got == sorted(tuple(r) for r in A.late_rate_by_month(warehouse).collect())
+
+
+def test_csv_keeps_fractions_of_a_second(spark, scratch):
+    import datetime as dt
+
+    from marketlens.sources.sinks import read_export, write_table
+
+    times = [dt.datetime(2020, 1, 2, 10, 0, 0, 123456), dt.datetime(2020, 1, 2, 10, 0, 0), None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "i int, t timestamp_ntz")
+    assert write_table(df, f"{scratch}/x.csv", "csv") == 3
+    back = read_export(spark, scratch, "x", "csv", df.schema)
+    assert sorted((r.i, r.t) for r in back.collect() if r.t) == list(enumerate(times))[:2]
+
+
+def test_large_csv_is_split_but_reviews_keep_line_breaks(spark, warehouse, scratch):
+    from marketlens.sources.readers import SourceConfig, read_source
+
+    cfg = SourceConfig(root=scratch, fmt="csv")
+    warehouse.sources["order_items"].coalesce(1).write.option("header", True).csv(cfg.path("order_items"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        items = read_source(spark, "order_items", cfg)
+        assert items.rdd.getNumPartitions() > 1 and items.count() == warehouse.sources["order_items"].count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    header = warehouse.sources["order_reviews"].columns
+    with open(cfg.path("order_reviews"), "w") as f:
+        f.write(",".join(header) + "\n" + 'r1,o1,5,"title","one\ntwo ""quoted""",2020-01-01 00:00:00,2020-01-02 00:00:00.5\n')
+    (row,) = read_source(spark, "order_reviews", cfg).collect()
+    assert row.review_comment_message == 'one\ntwo "quoted"' and row.review_answer_timestamp.microsecond == 500000
+
+
+def test_stored_order_fact_has_few_files_a_month(spark, warehouse, scratch):
+    from marketlens.plans.pipeline import write_marts
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        write_marts(warehouse, scratch)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    stored = spark.read.parquet(f"{scratch}/fct_orders")
+    months = stored.select("purchase_month").distinct().count()
+    assert len(stored.inputFiles()) <= 2 * months
