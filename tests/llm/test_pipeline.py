@@ -84,11 +84,7 @@ def test_entry_imports_without_the_subpackage(scratch):
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     copy = f"{scratch}/copy"
     shutil.copytree(f"{root}/marketlens", f"{copy}/marketlens", ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    for name in ("__spark_entry__.py", "twins"):
-        source = f"{root}/{name}"
-        if os.path.isdir(source):
-            shutil.copytree(source, f"{copy}/{name}", ignore=shutil.ignore_patterns("__pycache__"))
-        else:
-            shutil.copy(source, copy) if os.path.exists(source) else None
+    for name in ("__spark_entry__.py", "duckdb_twins.py"):
+        shutil.copy(f"{root}/{name}", copy)
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) >= 54 and not any(x.startswith('op1_') for x in q); e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env={**os.environ, "PYTHONPATH": copy}, timeout=120)
