@@ -140,29 +140,29 @@ JOIN region ON n_regionkey = r_regionkey"""
 
 CTES["raw_products"] = """
 SELECT CAST(p_partkey AS VARCHAR) AS product_id,
-       CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE p_type END AS product_category_name,
-       CAST(NULL AS BIGINT) AS product_name_lenght,
-       CAST(NULL AS BIGINT) AS product_description_lenght,
-       CAST(NULL AS BIGINT) AS product_photos_qty,
+       CASE WHEN p_partkey % 97 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN p_type ELSE p_type || '_' || (p_size % 5) END AS product_category_name,
+       length(p_name) AS product_name_lenght,
+       200 + p_partkey % 1801 AS product_description_lenght,
+       1 + p_partkey % 6 AS product_photos_qty,
        CAST(CASE WHEN p_partkey % 89 = 0 THEN NULL ELSE p_size * 250 END AS BIGINT) AS product_weight_g,
-       CAST(NULL AS BIGINT) AS product_length_cm,
-       CAST(NULL AS BIGINT) AS product_height_cm,
-       CAST(NULL AS BIGINT) AS product_width_cm
+       10 + p_partkey % 91 AS product_length_cm,
+       2 + p_partkey % 53 AS product_height_cm,
+       CASE WHEN p_partkey % 89 <> 0 THEN 6 + p_partkey % 71 END AS product_width_cm
 FROM part"""
 
 CTES["raw_translation"] = """
-SELECT DISTINCT p_type AS product_category_name, lower(p_type) AS product_category_name_english
-FROM part WHERE p_type <> 'SMALL'"""
+SELECT DISTINCT name AS product_category_name, lower(name) AS product_category_name_english
+FROM (SELECT CASE WHEN p_partkey % 3 = 0 THEN p_type ELSE p_type || '_' || (p_size % 5) END AS name FROM part WHERE p_type <> 'SMALL')"""
 
 CTES["raw_reviews"] = """
 SELECT CAST(order_no * 10 + k AS VARCHAR) AS review_id,
        CAST(order_no AS VARCHAR) AS order_id,
        CAST(1 + (order_no * 31 + k * 3) % 5 AS BIGINT) AS review_score,
-       CAST(NULL AS VARCHAR) AS review_comment_title,
-       CAST(NULL AS VARCHAR) AS review_comment_message,
-       CAST(NULL AS TIMESTAMP) AS review_creation_date,
-       CAST(NULL AS TIMESTAMP) AS review_answer_timestamp
-FROM (SELECT o_orderkey AS order_no, unnest([0, 1]) AS k FROM orders WHERE o_orderkey % 10 <> 0) r
+       CASE WHEN order_no % 3 = 0 THEN 'title ' || (order_no % 17) END AS review_comment_title,
+       CASE WHEN order_no % 4 <> 0 THEN 'first line' || chr(10) || '"second", ' || order_no END AS review_comment_message,
+       o_orderdate + to_days(CAST(20 + order_no % 9 AS INTEGER)) AS review_creation_date,
+       o_orderdate + to_days(CAST(30 + k AS INTEGER)) + to_hours(CAST(order_no % 24 AS INTEGER)) AS review_answer_timestamp
+FROM (SELECT o_orderkey AS order_no, o_orderdate, unnest([0, 1]) AS k FROM orders WHERE o_orderkey % 10 <> 0) r
 WHERE k = 0 OR order_no % 13 = 0"""
 
 CTES["pay_cents"] = """
@@ -650,6 +650,18 @@ SELECT CAST(sum(sellers) FILTER (decile > 5) AS BIGINT) AS sellers,
 FROM seller_tenths"""
 
 
+_MARTS = {
+    "dim_customers": "customer_key", "dim_products": "product_key", "dim_sellers": "seller_key", "fct_orders": "order_key",
+    "fct_order_items": "order_item_key", "customer_rfm": "customer_unique_id", "customer_satisfaction": "customer_unique_id",
+    "category_satisfaction": "product_category", "seller_performance": "seller_key",
+}
+FINAL["mart_export_report"] = "\nUNION ALL\n".join(
+    f"SELECT '{m}' AS mart, '{f}' AS format, count(*) AS n_rows, count(DISTINCT {k}) AS n_keys FROM {m}"
+    for m, k in _MARTS.items()
+    for f in ("parquet", "csv")
+)
+
+
 def _sql_value(v) -> str:
     return _q(v) if isinstance(v, str) else repr(v)
 

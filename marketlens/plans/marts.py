@@ -111,22 +111,39 @@ def seller_performance(fct_order_items: DataFrame, fct_orders: DataFrame, dim_se
         "order_id", "seller_key", "product_key", "price", "freight_value", "customer_seller_distance_km"
     )
     orders = fct_orders.select("order_id", "delivery_vs_estimate_days", "avg_review_score")
-    d = F.col("delivery_vs_estimate_days")
-    per_seller = (
-        items.join(orders, "order_id", "left")
-        .groupBy("seller_key")
+    d, score, lines = F.col("delivery_vs_estimate_days"), F.col("avg_review_score"), F.col("lines")
+    # lines are partitioned by order, so this needs no exchange; one row a seller
+    # and order is left, and no distinct count multiplies the lines
+    per_order = (
+        items.groupBy("seller_key", "order_id")
         .agg(
-            F.count(F.lit(1)).alias("item_count"),
-            F.count(d).alias("delivered_item_count"),
-            F.countDistinct("order_id").alias("order_count"),
-            F.countDistinct("product_key").alias("product_count"),
-            round_scaled(F.sum("price").cast("double"), 2).alias("total_revenue"),
-            round_scaled(F.sum("freight_value").cast("double"), 2).alias("total_freight"),
-            round_scaled(F.avg("avg_review_score"), 2).alias("avg_review_score"),
-            round_scaled(F.try_divide(F.count_if(d > 0), F.nullif(F.count(d), F.lit(0))), 4).alias("late_rate"),
-            round_scaled(F.avg("customer_seller_distance_km"), 1).alias("avg_distance_km"),
+            F.count(F.lit(1)).alias("lines"),
+            F.sum("price").alias("price"),
+            F.sum("freight_value").alias("freight"),
+            F.sum("customer_seller_distance_km").alias("km"),
+            F.count("customer_seller_distance_km").alias("routes"),
         )
+        .join(orders, "order_id", "left")
     )
+    delivered = F.coalesce(F.sum(F.when(d.isNotNull(), lines)), F.lit(0))
+    late = F.coalesce(F.sum(F.when(d > 0, lines)), F.lit(0))
+    volume = per_order.groupBy("seller_key").agg(
+        F.sum("lines").alias("item_count"),
+        delivered.alias("delivered_item_count"),
+        F.count(F.lit(1)).alias("order_count"),
+        round_scaled(F.sum("price").cast("double"), 2).alias("total_revenue"),
+        round_scaled(F.sum("freight").cast("double"), 2).alias("total_freight"),
+        round_scaled(F.try_divide(F.sum(lines * score), F.sum(F.when(score.isNotNull(), lines))), 2).alias("avg_review_score"),
+        round_scaled(F.try_divide(late, F.nullif(delivered, F.lit(0))), 4).alias("late_rate"),
+        round_scaled(F.try_divide(F.sum("km"), F.sum("routes")), 1).alias("avg_distance_km"),
+    )
+    variety = (
+        items.select("seller_key", "product_key")
+        .distinct()
+        .groupBy(F.col("seller_key").alias("_key"))
+        .agg(F.count("product_key").alias("product_count"))
+    )
+    per_seller = volume.join(variety, F.col("seller_key").eqNullSafe(F.col("_key"))).drop("_key")
     sellers = dim_sellers.select("seller_key", "seller_id", "seller_state")
     return per_seller.join(sellers, "seller_key", "left").select(
         "seller_key",

@@ -162,9 +162,17 @@ def _build_testbed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFr
     )
 
     pk = F.col("p_partkey")
+    # a third of the parts keep the type alone, the others have one of five kinds of it
+    category = F.when(pk % 3 == 0, F.col("p_type")).otherwise(F.concat_ws("_", "p_type", (F.col("p_size") % 5).cast("string")))
     products = t["part"].select(
         pk.cast("string").alias("product_id"),
-        F.when(pk % 97 == 0, F.lit(None)).otherwise(F.col("p_type")).alias("product_category_name"),
+        F.when(pk % 97 != 0, category).alias("product_category_name"),
+        F.length("p_name").cast("bigint").alias("product_name_lenght"),
+        (200 + pk % 1801).alias("product_description_lenght"),
+        (1 + pk % 6).alias("product_photos_qty"),
+        (10 + pk % 91).alias("product_length_cm"),
+        (2 + pk % 53).alias("product_height_cm"),
+        F.when(pk % 89 != 0, 6 + pk % 71).alias("product_width_cm"),
         F.when(pk % 89 == 0, F.lit(None))
         .otherwise(F.col("p_size") * 250)
         .cast("bigint")
@@ -175,8 +183,8 @@ def _build_testbed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFr
         t["part"]
         .where(F.col("p_type") != "SMALL")
         .select(
-            F.col("p_type").alias("product_category_name"),
-            F.lower("p_type").alias("product_category_name_english"),
+            category.alias("product_category_name"),
+            F.lower(category).alias("product_category_name_english"),
         )
         .distinct()
     )
@@ -184,12 +192,18 @@ def _build_testbed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFr
     reviews = (
         t["orders"]
         .where(k % 10 != 0)
-        .select(k.alias("order_no"), F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
+        .select(k.alias("order_no"), "o_orderdate", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
         .where((F.col("k") == 0) | (F.col("order_no") % 13 == 0))
         .select(
             (F.col("order_no") * 10 + F.col("k")).cast("string").alias("review_id"),
             F.col("order_no").cast("string").alias("order_id"),
             (1 + (F.col("order_no") * 31 + F.col("k") * 3) % 5).cast("bigint").alias("review_score"),
+            F.when(F.col("order_no") % 3 == 0, F.concat(F.lit("title "), F.col("order_no") % 17)).alias("review_comment_title"),
+            F.when(F.col("order_no") % 4 != 0, F.concat(F.lit("first line\n\"second\", "), F.col("order_no"))).alias(
+                "review_comment_message"
+            ),
+            (F.col("o_orderdate") + _days(20 + F.col("order_no") % 9)).alias("review_creation_date"),
+            (F.col("o_orderdate") + _days(30 + F.col("k")) + _hours(F.col("order_no") % 24)).alias("review_answer_timestamp"),
         )
     )
 
