@@ -31,7 +31,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.session import checkpoint_root, ensure_checkpoint_dir
+from marketlens.session import checkpoint_root, ensure_checkpoint_dir, track_scratch
 
 _PID = "__rk_pid"
 _POS = "__rk_pos"
@@ -76,7 +76,7 @@ def _ranged(df: DataFrame, order: list[Column], num_partitions: int | None) -> D
         )
         # Written as a Parquet table in the checkpoint folder: the counting
         # pass then reads the range id column only.
-        path = f"{checkpoint_root(df.sparkSession)}/ranked-{uuid.uuid4().hex}"
+        path = track_scratch(df.sparkSession, f"{checkpoint_root(df.sparkSession)}/ranked-{uuid.uuid4().hex}")
         ranged.write.parquet(path)
         return df.sparkSession.read.parquet(path)
     finally:
@@ -177,8 +177,8 @@ def global_percent_rank(
 
     * With a unique ``tie`` column the rows themselves are ranked once on
       ``(key, tie)`` (written once, so the upstream runs once); the first row
-      number per key is a partial-aggregated ``min`` and is joined back on the
-      key (null-safe; AQE splits a hot key on the row side).
+      number per key is a ``min`` over one row per key and range, and is joined
+      back on range and key (null-safe), so a hot key is never in one task.
     * Without one, rows are counted per distinct key (partial aggregation
       absorbs hot keys), the distinct keys are ranked with a running count,
       and the rank is joined back on the key.
@@ -191,14 +191,16 @@ def global_percent_rank(
         return c.desc_nulls_last() if nulls_last else c.desc_nulls_first()
 
     if tie is not None:
-        rn, n, first = "__rk_prn", "__rk_pn", "__rk_first"
-        ranked = rank_frame(df, [ordered(kcol), F.col(tie).asc()], row_number=rn, total=n, **kw)
-        firsts = ranked.groupBy(kcol.alias(_VAL)).agg(F.min(rn).alias(first))
-        joined = ranked.join(firsts, kcol.eqNullSafe(F.col(_VAL)), "inner")
-        pr = F.when(F.col(n) <= 1, F.lit(0.0)).otherwise(
-            (F.col(first) - 1).cast("double") / (F.col(n) - 1).cast("double")
-        )
-        return joined.withColumn(out, pr).drop(_VAL, rn, n, first)
+        first, pid = "__rk_first", "__rk_in"
+        ranged = _with_offsets(_ranged(df, [ordered(kcol), F.col(tie).asc()], kw.get("num_partitions")), None)
+        # one row a key and range, then one a key; rows meet their rank by range
+        # and key, so a value that many rows share stays spread over its ranges
+        local = ranged.groupBy(F.col(_PID).alias(pid), kcol.alias(_VAL)).agg(F.min(F.col(_OFF) + F.col(_POS)).alias(first))
+        whole = local.groupBy(F.col(_VAL).alias("__rk_key")).agg(F.min(first).alias(first))
+        spread = local.drop(first).join(whole, F.col(_VAL).eqNullSafe(F.col("__rk_key"))).drop("__rk_key")
+        joined = ranged.join(spread, (F.col(_PID) == F.col(pid)) & kcol.eqNullSafe(F.col(_VAL)))
+        pr = F.when(F.col(_N) <= 1, F.lit(0.0)).otherwise(F.col(first).cast("double") / (F.col(_N) - 1).cast("double"))
+        return joined.select(*df.columns, pr.alias(out))
 
     per_key = df.groupBy(kcol.alias(_VAL)).agg(F.count(F.lit(1)).alias(_CNT))
     ranked = rank_frame(

@@ -282,11 +282,11 @@ def materialize(w: Warehouse, names=None, root: str | None = None) -> Warehouse:
     """
     import uuid
 
-    from marketlens.session import checkpoint_root
+    from marketlens.session import checkpoint_root, track_scratch
     from marketlens.sources.sinks import write_table
 
     wanted = set(MODEL_ORDER if names is None else names)
-    base = root or f"{checkpoint_root(w.spark)}/marketlens-tables-{uuid.uuid4().hex[:12]}"
+    base = root or track_scratch(w.spark, f"{checkpoint_root(w.spark)}/marketlens-tables-{uuid.uuid4().hex[:12]}")
     stored: dict[str, DataFrame] = dict(w._stored)
     for name in MODEL_ORDER:
         if name not in wanted or name in stored:
@@ -306,8 +306,12 @@ def build(w: Warehouse, mart_dir: str, export_dir: str | None = None, fmt: str =
     from marketlens.plans.quality import assert_checks, dq_report
     from marketlens.sources.sinks import export_marts
 
+    from marketlens.session import clear_scratch, scratch_mark
+
+    mark = scratch_mark(w.spark)
     counts = write_marts(w, mart_dir)
     stored = Warehouse.from_marts(w.spark, mart_dir, sources=w.sources)
     warnings = assert_checks(dq_report(stored, materialize_models=False))
     exported = export_marts(stored, export_dir, fmt=fmt, log=None) if export_dir else {}
+    clear_scratch(w.spark, mark)  # the run's own intermediate tables; the marts are stored by now
     return {"marts": counts, "warnings": [r.asDict() for r in warnings], "exported": exported}

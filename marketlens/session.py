@@ -59,6 +59,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/")
 
 
+def track_scratch(spark: SparkSession, path: str) -> str:
+    """Remember a folder of intermediate tables for ``clear_scratch``."""
+    spark.sparkContext.__dict__.setdefault("_marketlens_scratch", []).append(path)
+    return path
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """How many intermediate folders there are by now."""
+    return len(spark.sparkContext.__dict__.get("_marketlens_scratch", []))
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the intermediate tables written since a mark (or all); call it
+    once no result that reads them is needed.  Returns how many folders went."""
+    paths = spark.sparkContext.__dict__.get("_marketlens_scratch", [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    gone = paths[since:]
+    del paths[since:]
+    for path in gone:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(gone)
+
+
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of source data.
 

@@ -91,10 +91,15 @@ def test_csv_extract_end_to_end(warehouse, scratch):
 def test_build_runs_marts_checks_and_export(warehouse, scratch):
     from marketlens.plans.pipeline import MART_NAMES, build
 
+    from marketlens.session import scratch_mark
+
+    before = scratch_mark(warehouse.spark)
     out = build(warehouse, f"{scratch}/marts", export_dir=f"{scratch}/exports", fmt="csv")
     assert set(out["marts"]) == set(MART_NAMES)
     assert [w["check_name"] for w in out["warnings"]] == ["assert_payment_matches_order_value"]
     assert out["exported"]["csv"]["fct_orders"] == out["marts"]["fct_orders"]
+    assert scratch_mark(warehouse.spark) == before  # its intermediate tables are gone
+    assert warehouse.spark.read.parquet(f"{scratch}/marts/customer_rfm").count() == out["marts"]["customer_rfm"]
 
 
 def test_parquet_extract_end_to_end(warehouse, scratch):
