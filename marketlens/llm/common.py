@@ -10,7 +10,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.session import checkpoint_root
+from marketlens.session import checkpoint_root, track_scratch
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -32,8 +32,9 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    """A new folder name under the shared checkpoint folder; ``clear_scratch``
+    of ``marketlens.session`` deletes such folders when they are done with."""
+    return track_scratch(spark, f"{checkpoint_root(spark)}/llm-{name}-{uuid.uuid4().hex}")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
