@@ -14,14 +14,17 @@ doc_id.
 
 Equal texts are put together first, so a text with many copies is one text in
 all that follows.  In a group of up to ``SMALL`` texts with an equal tuple all
-are compared.  In a larger one each is compared with the ``LEADERS`` texts that
-share most tuples with others, and with its predecessor by length, so a group
-makes a fixed number of pairs a text.  Near copies of one text differ from it
-by their own edits and from each other by the edits of both, so texts that link
-to any of the group link to its leaders as well; texts of different origin meet
-in other groups, as each is in ``SKETCHES`` of them.  The tests compare the
-classes with those of all pairs.  Links stay on the cluster, and components are
-found by repeated star contraction, written to the shared folder each round.
+are compared.  In a larger one each is first compared with the ``LEADERS`` texts
+that share most tuples with others, and with its predecessor by length; this
+joins most near copies of one text at a fixed number of pairs a text.  What is
+left are groups whose texts lie in several components.  Their texts are compared
+exactly (``open_pairs``): under one order of all shingles, with those of a single
+component first and then the rarest, two texts of the wanted similarity share one
+of their first shingles, so every pair across components that may be a link is
+tested, and no pair without such a shingle is made.  A text of which more than a
+fifth is found in its own component alone needs no comparison at all.  Links stay
+on the cluster, and components are found by repeated star contraction, written to
+the shared folder each round.
 
 Texts of fewer than ``K`` words have one k-mer, all their words; texts without
 words (also null) are equal.  Rows without doc_id are left out; repeated rows
@@ -39,6 +42,7 @@ from . import symbols as sy
 from .common import document_texts, ship_package, stored
 
 K, TAKE, SKETCHES, SIMILARITY, SMALL, LEADERS, RUN = 5, 2, 12, 0.8, 5, 2, 100_000
+GROUP = ["sketch", "value"]
 _POS = np.uint64((1 << 20) - 1)
 _TOP = np.uint64(2**64 - 1)
 _SEEDS = np.random.default_rng(4711).integers(1, 2**63, SKETCHES, dtype=np.uint64)
@@ -252,42 +256,80 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def links(docs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def links(docs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Verified links (a, b) between the representatives in ``texts`` (rep,
-    text_key, n_words, tuples)."""
+    text_key, n_words, tuples); with them the members of the large groups and
+    the word hashes of all texts in groups, for ``open_pairs``."""
     members = texts.where("n_words > 0").select("rep", "text_key", "n_words", F.posexplode("tuples").alias("sketch", "value"))
-    sizes = members.groupBy("sketch", "value").agg(F.count("*").alias("size")).where("size > 1")
-    group = ["sketch", "value"]
-    members = stored(members.join(sizes, group), "groups")
+    sizes = members.groupBy(*GROUP).agg(F.count("*").alias("size")).where("size > 1")
+    members = stored(members.join(sizes, GROUP), "groups")
     involved = members.groupBy("rep").agg(F.first("text_key").alias("text_key"))
     words = stored(_word_texts(docs, involved), "words")
     fits = F.least("n", "m") >= F.greatest("n", "m") * (similarity - 1e-9)
     small = members.where(F.col("size") <= SMALL)
-    one = small.select(*group, F.col("rep").alias("a"), F.col("n_words").alias("n"))
-    two = small.select(*group, F.col("rep").alias("b"), F.col("n_words").alias("m"))
-    pairs = one.join(two, group).where("a < b").where(fits).select("a", "b").distinct()
-    found = [stored(_verified(pairs, words, similarity), "links").where("linked").select("a", "b")]
-    large = members.where(F.col("size") > SMALL).select(*group, "rep", "n_words", "size")
-    # the text that shares most tuples with others is nearest to all: near copies of
-    # one text differ from it by their own edits, from each other by both texts' edits
+    one = small.select(*GROUP, F.col("rep").alias("a"), F.col("n_words").alias("n"))
+    two = small.select(*GROUP, F.col("rep").alias("b"), F.col("n_words").alias("m"))
+    pairs = one.join(two, GROUP).where("a < b").where(fits).select("a", "b")
+    large = members.where(F.col("size") > SMALL).select(*GROUP, "rep", "n_words", "size")
     common = members.groupBy("rep").agg(F.sum("size").alias("common"))
-    best = Window.partitionBy(*group).orderBy(F.desc("common"), "rep")
+    best = Window.partitionBy(*GROUP).orderBy(F.desc("common"), "rep")
     first = large.join(common, "rep").withColumn("place", F.row_number().over(best)).where(F.col("place") <= LEADERS)
-    first = first.select(*group, F.col("rep").alias("a"), F.col("n_words").alias("n"))
-    led = large.join(first, group).where(F.col("a") != F.col("rep")).withColumn("m", F.col("n_words")).where(fits)
+    first = first.select(*GROUP, F.col("rep").alias("a"), F.col("n_words").alias("n"))
+    led = large.join(first, GROUP).where(F.col("a") != F.col("rep")).withColumn("m", F.col("n_words")).where(fits)
     part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / RUN))  # runs of bounded length
-    by_length = Window.partitionBy(*group, part).orderBy("n_words", "rep")
+    by_length = Window.partitionBy(*GROUP, part).orderBy("n_words", "rep")
     chained = large.select(F.lag("rep").over(by_length).alias("a"), "rep").where("a is not null")
-    pairs = led.select("a", "rep").unionByName(chained).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
-    found.append(stored(_verified(pairs.distinct(), words, similarity), "links").where("linked").select("a", "b"))
-    return _union(found).distinct()
+    near = led.select("a", "rep").unionByName(chained).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
+    return _linked(pairs.unionByName(near).distinct(), words, similarity), large, words
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def _linked(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    return stored(_verified(pairs, words, similarity), "links").where("linked").select("a", "b")
+
+
+def open_pairs(large: DataFrame, roots: DataFrame, words: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs (a, b) of texts of large groups, in different components (``roots``:
+    node, root), that may have the shingle similarity: all that have it, and
+    few others."""
+    rooted = large.select(*GROUP, "rep").join(roots, F.col("rep") == F.col("node"), "left")
+    rooted = stored(rooted.select(*GROUP, "rep", F.coalesce("root", "rep").alias("root")), "rooted")
+    several = rooted.groupBy(*GROUP).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    waiting = rooted.join(several.select(*GROUP), GROUP, "left_semi").select("rep", "root").distinct()
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingles(np.frombuffer(w.as_buffer(), "<u4")).view(np.int64) for w in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))], ["rep", "root", "grams"])
+
+    grams = words.join(waiting, "rep").select("rep", "root", "words").mapInArrow(run, "rep long, root long, grams array<long>")
+    grams = stored(grams, "grams").withColumn("n", F.size("grams"))
+    each = grams.select("rep", "root", "n", F.explode("grams").alias("gram"))
+    shared = each.groupBy("gram").agg(F.count("*").alias("texts"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    met = each.join(shared.where("lo < hi").select("gram", "texts"), "gram")
+    # the order of all shingles: those of one component, then by number of texts, then by hash
+    met = met.groupBy("rep", "root", "n").agg(F.array_sort(F.collect_list(F.struct("texts", "gram"))).alias("met"))
+    own = F.col("n") - F.size("met")
+    first = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1  # so many first shingles must meet
+    met = met.withColumn("own", own).withColumn("first", (first - own).cast("int")).where("first > 0")
+    ahead = met.select("rep", "root", "n", "own", F.posexplode(F.slice("met", F.lit(1), F.col("first"))).alias("place", "x"))
+    # ``rest``: shingles from this one on, the most that can be common where it is the first in common
+    ahead = ahead.select(F.col("x.gram").alias("gram"), "rep", "root", "n", (F.col("n") - F.col("own") - F.col("place")).alias("rest"))
+    ahead = stored(ahead, "ahead")
+    one = ahead.select("gram", *(F.col(c).alias(f"a_{c}") for c in ("rep", "root", "n", "rest")))
+    two = ahead.select("gram", *(F.col(c).alias(f"b_{c}") for c in ("rep", "root", "n", "rest")))
+    enough = F.least("a_rest", "b_rest") >= (F.col("a_n") + F.col("b_n")) * (similarity / (1 + similarity)) - 1e-6
+    pairs = one.join(two, "gram").where((F.col("a_rep") < F.col("b_rep")) & (F.col("a_root") != F.col("b_root")) & enough)
+    return pairs.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
+
+
+def linked_components(docs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, root) of the representatives that have a link."""
+    found, large, words = links(docs, texts, similarity)
+    roots = components(found)
+    more = _linked(open_pairs(large, roots, words, similarity), words, similarity)
+    if more.isEmpty():
+        return roots
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -298,7 +340,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     signed = stored(signatures(docs), "signatures")
     texts = signed.groupBy("text_key").agg(F.min("doc_id").alias("rep"), F.first("n_words").alias("n_words"), F.first("tuples").alias("tuples"))
     texts = stored(texts, "texts")
-    roots = components(links(docs, texts, similarity))
+    roots = linked_components(docs, texts, similarity)
     named = texts.select("text_key", "rep").join(roots, F.col("rep") == F.col("node"), "left")
     named = named.select("text_key", F.coalesce("root", "rep").alias("class_id"))
     return signed.select("doc_id", "text_key").join(named, "text_key").select(

@@ -96,6 +96,48 @@ def test_classes_match_all_pairs(spark, near_docs):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(brute_classes(near_docs).values()))
 
 
+def test_chains_in_large_groups(spark):
+    """Texts of a large group that link to their neighbours in a chain, but not
+    to the group's leaders, beside texts that only share a passage."""
+    rng = random.Random(8)
+    word = lambda: rng.choice("abcdefghijkl") + str(rng.randrange(3000))
+    passage = [word() for _ in range(150)]
+    texts = []
+    for _ in range(3):
+        w = [word() for _ in range(100)]
+        for place in range(0, 100, 4):
+            texts.append(" ".join(passage + w))
+            w = list(w)
+            w[place : place + 4] = [word() for _ in range(4)]
+    texts += [" ".join(passage + [word() for _ in range(rng.choice([30, 100]))]) for _ in range(40)]
+    rng.shuffle(texts)
+    docs = list(enumerate(texts))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    assert {r.doc_id: r.class_id for r in om.classes(frame).collect()} == brute_classes(docs)
+
+
+def test_open_pairs_hold_every_similar_pair(spark):
+    """All texts in one large group, each its own component: no pair of the
+    wanted shingle similarity is missing."""
+    rng = random.Random(4)
+    base = [rng.randrange(1, 2**32) for _ in range(120)]
+    words = []
+    for i in range(60):
+        w = list(base[: rng.choice([60, 100, 120])])
+        for _ in range(rng.randrange(9)):
+            w[rng.randrange(len(w))] = rng.randrange(1, 2**32)
+        words.append((i, np.array(w, "<u4")))
+    words += [(60, np.array([5], "<u4")), (61, np.array([5, 6], "<u4"))]
+    large = spark.createDataFrame([(0, 1, i) for i, _ in words], "sketch int, value long, rep long")
+    texts = spark.createDataFrame([(i, bytearray(w.tobytes())) for i, w in words], "rep long, words binary")
+    roots = spark.createDataFrame([(1, 0)], "node long, root long")
+    sets = {i: set(om.shingles(w).tolist()) for i, w in words}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])} - {(0, 1)}
+    got = {(r.a, r.b) for r in om.open_pairs(large, roots, texts).collect()}
+    assert len(want) > 50 and want <= got and (0, 1) not in got
+    assert om.open_pairs(large.limit(0), roots, texts.limit(0)).count() == 0
+
+
 def test_occurrences_and_order_matter():
     h = np.arange(1, 41, dtype=np.uint64) * np.uint64(977)
     one = om.sketches(symbols.mix(h), np.array([0, 40]))
