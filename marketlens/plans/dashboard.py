@@ -170,23 +170,24 @@ def bottom_half_seller_share(w) -> DataFrame:
 def purchase_window(w, start: str, end: str):
     """A ``Warehouse`` whose facts keep only orders placed in [start, end).
 
-    On stored marts the order fact is partitioned by purchase month; the
-    matching month predicate is added so the scan reads only the months in
+    On stored marts both facts are partitioned by purchase month; the
+    matching month predicate is added so the scans read only the months in
     the window (``PartitionFilters``), then the exact timestamp filter
-    applies.
+    applies (to lines by a semi join with the orders).
     """
     from marketlens.plans.pipeline import PARTITION_COLUMN, Warehouse
 
     ts = F.col("order_purchase_timestamp")
     in_window = (ts >= F.lit(start).cast("timestamp_ntz")) & (ts < F.lit(end).cast("timestamp_ntz"))
-    raw = w._partitioned.get("fct_orders")
-    if raw is not None:
-        m = F.col(PARTITION_COLUMN)
-        months = (m >= F.trunc(F.lit(start).cast("date"), "month")) & (m <= F.lit(end).cast("date"))
-        fo = raw.where(months & in_window).drop(PARTITION_COLUMN)
-    else:
-        fo = w.fct_orders.where(in_window)
-    foi = w.fct_order_items.join(fo.select("order_id"), "order_id", "left_semi")
+    m = F.col(PARTITION_COLUMN)
+    months = (m >= F.trunc(F.lit(start).cast("date"), "month")) & (m <= F.lit(end).cast("date"))
+
+    def fact(name):
+        raw = w._partitioned.get(name)
+        return w.relation(name) if raw is None else raw.where(months).drop(PARTITION_COLUMN)
+
+    fo = fact("fct_orders").where(in_window)
+    foi = fact("fct_order_items").join(fo.select("order_id"), "order_id", "left_semi")
     # Keep stored dimensions; every mart is rebuilt from the filtered facts.
     stored = {k: v for k, v in w._stored.items() if k.startswith("dim_")}
     stored.update({"fct_orders": fo, "fct_order_items": foi})

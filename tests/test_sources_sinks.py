@@ -45,20 +45,25 @@ def test_export_both_formats_round_trip(warehouse, scratch):
 
 
 def test_stored_marts_prune_months_and_match_lazy(warehouse, scratch):
-    from marketlens.plans.dashboard import headline_kpis, purchase_window
+    from marketlens.plans.dashboard import headline_kpis, purchase_window, top_categories
     from marketlens.plans.pipeline import Warehouse, write_marts
 
     counts = write_marts(warehouse, scratch)
-    assert counts["fct_orders"] == warehouse.fct_orders.count()
     stored = Warehouse.from_marts(warehouse.spark, scratch)
-    assert stored.fct_orders.columns == warehouse.fct_orders.columns
+    for name in ("fct_orders", "fct_order_items"):
+        assert counts[name] == warehouse.relation(name).count()
+        assert stored.relation(name).columns == warehouse.relation(name).columns
+    assert stored.fct_order_items.exceptAll(warehouse.fct_order_items).count() == 0
     lazy = purchase_window(warehouse, "1997-01-01", "1999-01-01")
     pruned = purchase_window(stored, "1997-01-01", "1999-01-01")
     plan = pruned.fct_orders._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(purchase_month" in plan
     pushed = plan[plan.index("PushedFilters: ["):]
     assert "GreaterThanOrEqual(order_purchase_timestamp" in pushed.split("]")[0]
+    lines = pruned.fct_order_items._jdf.queryExecution().executedPlan().toString()
+    assert lines.count("PartitionFilters: [isnotnull(purchase_month") == 2
     assert headline_kpis(pruned).collect() == headline_kpis(lazy).collect()
+    assert top_categories(pruned).collect() == top_categories(lazy).collect()
     assert stored.customer_rfm.exceptAll(warehouse.customer_rfm).count() == 0
 
 
@@ -166,7 +171,7 @@ def test_large_csv_is_split_but_reviews_keep_line_breaks(spark, warehouse, scrat
     assert row.review_comment_message == 'one\ntwo "quoted"' and row.review_answer_timestamp.microsecond == 500000
 
 
-def test_stored_order_fact_has_few_files_a_month(spark, warehouse, scratch):
+def test_stored_facts_have_few_files_a_month(spark, warehouse, scratch):
     from marketlens.plans.pipeline import write_marts
 
     old = spark.conf.get("spark.sql.shuffle.partitions")
@@ -175,6 +180,7 @@ def test_stored_order_fact_has_few_files_a_month(spark, warehouse, scratch):
         write_marts(warehouse, scratch)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-    stored = spark.read.parquet(f"{scratch}/fct_orders")
-    months = stored.select("purchase_month").distinct().count()
-    assert len(stored.inputFiles()) <= 2 * months
+    for name in ("fct_orders", "fct_order_items"):
+        stored = spark.read.parquet(f"{scratch}/{name}")
+        months = stored.select("purchase_month").distinct().count()
+        assert len(stored.inputFiles()) <= 2 * months
