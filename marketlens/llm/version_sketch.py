@@ -1,8 +1,10 @@
 """Document fingerprints that can be subtracted: invertible Bloom lookup tables.
 
-DataFrame functions only.  A paragraph is a line, cut after its sentences that
-end in one of a few letters (a cut that only the text nearby decides); the
-digests of a text's distinct paragraphs are its set.  Each digest goes into
+DataFrame functions only.  A paragraph is a line, cut after each of its
+sentences; a stretch of more than ``LONG`` characters without such an end is
+cut after about one word in ``LONG_WORDS``, chosen by the word's hash (a cut
+that only the text nearby decides).  The digests of a text's distinct
+paragraphs are its set.  Each digest goes into
 three cells of a table, one in each third; a cell keeps the number of digests,
 their exclusive-or and that of their check hashes.  Subtracting the table of
 another version cancels what both have; peeling then recovers the differing
@@ -30,12 +32,17 @@ from pyspark.sql import functions as F
 from .common import document_texts, partitions, stored
 
 CELLS, ROUNDS, ROOM = 24, 6, 2.5
-PARAGRAPH_END = "\n|(?<=[a-e][.!?]) "
+PARAGRAPH_END = "\n|(?<=[.!?]) "
+LONG, LONG_WORDS = 16384, 64
 
 
 def digests(text: Column) -> Column:
     """Distinct 64-bit digests of the paragraphs that are not blank."""
-    parts = F.filter(F.split(text, PARAGRAPH_END), lambda p: F.btrim(p) != "")
+    ends = lambda w: F.pmod(F.xxhash64(w), F.lit(LONG_WORDS)) == 0
+    marked = lambda p: F.array_join(F.transform(F.split(p, " "), lambda w: F.concat(w, F.when(ends(w), "\n").otherwise(" "))), "")
+    cut = lambda p: F.when(F.length(p) > LONG, F.split(marked(p), "\n")).otherwise(F.array(p))
+    parts = F.flatten(F.transform(F.split(text, PARAGRAPH_END), cut))
+    parts = F.filter(parts, lambda p: F.btrim(p) != "")
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
@@ -113,7 +120,8 @@ def fingerprints(rows: DataFrame) -> DataFrame:
 
 def differences(pairs: DataFrame, salt: int) -> DataFrame:
     """Peel the difference of two tables a row of ``pairs`` (row, kind, a, b,
-    cells).  Returns row, kind, found (recovered digests), done."""
+    cells).  Returns row, kind, found (recovered digests), done; pairs whose
+    tables cancel altogether have no row.  Empty cells are left out."""
     signed = F.flatten(
         F.array(
             F.transform("a", lambda d: F.struct(d.alias("key"), F.lit(1).alias("n"))),
@@ -121,18 +129,16 @@ def differences(pairs: DataFrame, salt: int) -> DataFrame:
         )
     )
     group = ["row", "kind", "cells", "cell"]
-    dealt = pairs.repartition(8 * partitions(pairs.sparkSession), "row").select("row", "kind", "cells", F.explode_outer(signed).alias("x"))
+    dealt = pairs.repartition(8 * partitions(pairs.sparkSession), "row").select("row", "kind", "cells", F.explode(signed).alias("x"))
     zero = F.lit(0).cast("long")
-    key = F.coalesce(F.col("x.key"), zero)
-    # a pair of empty sets keeps one empty cell, so that it has a result
+    key = F.col("x.key")
     table = dealt.select(
-        "row", "kind", "cells", key.alias("key"),
-        F.when(F.col("x.key").isNull(), zero).otherwise(_check(F.col("x.key"))).alias("check"),
-        F.coalesce(F.col("x.n"), F.lit(0)).cast("long").alias("n"),
+        "row", "kind", "cells", key.alias("key"), _check(key).alias("check"), F.col("x.n").cast("long").alias("n"),
         F.explode(_places(key, F.col("cells"), salt)).alias("cell"),
     )
     table = table.groupBy(*group).agg(F.sum("n").alias("n"), F.expr("bit_xor(key)").alias("key"), F.expr("bit_xor(check)").alias("check"))
-    table = table.withColumn("found", zero)
+    rest = (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0)
+    table = table.where(rest).withColumn("found", zero)
     third = F.floor(F.col("cells") / 3)
     for i in range(ROUNDS):
         pure = (F.floor(F.col("cell") / third) == i % 3) & (F.abs("n") == 1) & (F.col("check") == _check(F.col("key")))
@@ -145,8 +151,7 @@ def differences(pairs: DataFrame, salt: int) -> DataFrame:
         rows = table.select("row", "kind", "cells", F.explode(events).alias("e")).select("row", "kind", "cells", "e.*")
         table = rows.groupBy(*group).agg(
             F.sum("n").alias("n"), F.expr("bit_xor(key)").alias("key"), F.expr("bit_xor(check)").alias("check"), F.sum("found").alias("found")
-        )
-    rest = (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0)
+        ).where(rest | (F.col("found") != 0))
     return table.groupBy("row", "kind").agg(F.sum("found").alias("found"), (~F.max(rest)).alias("done"))
 
 
@@ -173,10 +178,10 @@ def likenesses(rows: DataFrame) -> DataFrame:
     found = peeled.groupBy("row").agg(*(F.max(F.when(F.col("kind") == k, F.col("found"))).alias(f"d_{k}") for k in ("edited", "next")))
 
     def near(k):
-        both = F.col("own") + F.col(k)
-        return F.when(both == 0, F.lit(1.0)).otherwise((both - F.col(f"d_{k}")) / (both + F.col(f"d_{k}")))
+        both, d = F.col("own") + F.col(k), F.coalesce(f"d_{k}", F.lit(0))
+        return F.when(both == 0, F.lit(1.0)).otherwise((both - d) / (both + d))
 
-    return sizes.join(found, "row").select("row", near("edited").alias("near_edited"), near("next").alias("near_next"))
+    return sizes.join(found, "row", "left").select("row", near("edited").alias("near_edited"), near("next").alias("near_next"))
 
 
 def fingerprint_report(docs: DataFrame) -> DataFrame:

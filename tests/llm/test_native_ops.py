@@ -129,3 +129,23 @@ def test_fingerprints_of_few_rows(spark, empty):
     rows = spark.createDataFrame([(1, None), (1, None), (2, "x"), (2, "y"), (None, "z")], "doc_id long, text string")
     got = version_sketch.fingerprint_report(rows).collect()
     assert sorted(r.doc_id for r in got) == [1, 1, 2, 2] and all(0 <= r.near_edited <= 1 for r in got)
+
+
+def test_paragraphs_end_after_every_sentence(spark):
+    """Sentences that end in capitals, digits, other letters or scripts are
+    paragraphs too; a long stretch without an end is cut by its words."""
+    rng = random.Random(6)
+    ends = ["s.", "Z!", "7.", "é?", "ж.", ").", "a."]
+    sentence = lambda: " ".join(str(rng.randrange(10**6)) for _ in range(5)) + rng.choice(ends)
+    docs = [(i, " ".join(sentence() for _ in range(30))) for i in range(20)]
+    got = version_sketch.fingerprint_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    ordered = sorted(docs, reverse=True)
+    split = lambda t: {p for p in re.split(r"(?<=[.!?]) ", t) if p.strip()}
+    for i, (d, t) in enumerate(ordered):
+        edited = t[: len(t) - len(t) // 3] + ordered[(i + 1) % len(ordered)][1][: len(t) // 3]
+        a, b = split(t), split(edited)
+        (r,) = (r for r in got if r.doc_id == d)
+        assert r.near_edited == pytest.approx(len(a & b) / len(a | b)) and r.near_edited > 0.3
+    words = [(i, " ".join(str(rng.randrange(10**6)) for _ in range(4000))) for i in range(3)]
+    for r in version_sketch.fingerprint_report(spark.createDataFrame(words, "doc_id long, text string")).collect():
+        assert 0.3 < r.near_edited < 0.7 and r.near_next < 0.1
