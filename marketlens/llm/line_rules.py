@@ -4,7 +4,7 @@ Base figures come from the text itself (see ``base_figures``).  The method then
 looks across documents: lines are normalised and hashed, and for each host (the
 ``source`` column) the distinct documents with a line are counted; exact copies
 of a text count once, so that a copied text does not condemn its own lines.  A
-line of at most ``LINE_CHARS`` characters found in more than the larger of
+line, of any length, found in more than the larger of
 ``LINE_DOCS`` documents and ``LINE_SHARE`` of the host's documents is removed.
 A document is rejected if less than ``KEPT_SHARE`` of its characters in lines
 is left.
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-LINE_DOCS, LINE_SHARE, LINE_CHARS, KEPT_SHARE = 20, 0.005, 200, 0.3
+LINE_DOCS, LINE_SHARE, KEPT_SHARE = 20, 0.005, 0.3
+LINE_CHARS = float("inf")  # lines of every length count
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
 _SPACES = "[\\x20\\x09-\\x0D]+"
 _BLANK = " \t\n\x0b\f\r"
@@ -52,8 +53,8 @@ def _from(values: Column, skipped: int) -> Column:
 
 def base_figures(docs: DataFrame) -> DataFrame:
     """doc_id, source, text_hash, n_words, word_chars, n_symbols, n_dup_lines,
-    windows (hashes; null where no window repeats) and lines (length of each
-    line with a word, and the hash of short ones)."""
+    windows (hashes; null where no window repeats) and lines (hash and
+    length of each line with a word)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     out = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -78,10 +79,7 @@ def base_figures(docs: DataFrame) -> DataFrame:
         F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.col("windows")).alias("windows"),
         F.transform(
             "all_lines",
-            lambda x: F.struct(
-                F.when(F.length(x) <= LINE_CHARS, F.xxhash64(line(x))).alias("line"),  # longer ones are never removed
-                F.length(x).alias("chars"),
-            ),
+            lambda x: F.struct(F.xxhash64(line(x)).alias("line"), F.length(x).alias("chars")),
         ).alias("lines"),
     )
 
@@ -101,8 +99,7 @@ def frequent_lines(base: DataFrame) -> DataFrame:
     """(source, line) above the limits, null sources as the empty string."""
     host = F.coalesce(F.col("source"), F.lit("")).alias("host")
     texts = base.select(host, "text_hash", "lines").dropDuplicates(["host", "text_hash"])
-    short = F.filter("lines", lambda x: x["chars"] <= LINE_CHARS)
-    lines = texts.select("host", F.explode(F.array_distinct(F.transform(short, lambda x: x["line"]))).alias("line"))
+    lines = texts.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
     counts = lines.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > LINE_DOCS)
     hosts = texts.groupBy("host").agg(F.count("*").alias("n_texts"))
     return counts.join(hosts, "host").where(F.col("n") > LINE_SHARE * F.col("n_texts")).select("host", "line")
@@ -114,8 +111,7 @@ def verdicts(docs: DataFrame) -> DataFrame:
     key = ["doc_id", "text_hash"]
     host = F.coalesce(F.col("source"), F.lit("")).alias("host")
     own = base.select(*key, host, "lines").dropDuplicates([*key, "host"])
-    short = F.filter("lines", lambda x: x["chars"] <= LINE_CHARS)
-    own = own.select(*key, "host", F.explode(short).alias("x")).select(*key, "host", "x.line", "x.chars")
+    own = own.select(*key, "host", F.explode("lines").alias("x")).select(*key, "host", "x.line", "x.chars")
     own = own.groupBy(*key, "host", "line").agg(F.sum("chars").alias("chars"))
     removed = (
         own.join(frequent_lines(base), ["host", "line"])

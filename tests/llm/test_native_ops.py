@@ -149,3 +149,11 @@ def test_paragraphs_end_after_every_sentence(spark):
     words = [(i, " ".join(str(rng.randrange(10**6)) for _ in range(4000))) for i in range(3)]
     for r in version_sketch.fingerprint_report(spark.createDataFrame(words, "doc_id long, text string")).collect():
         assert 0.3 < r.near_edited < 0.7 and r.near_next < 0.1
+
+
+def test_long_lines_count(spark):
+    """A passage of one line longer than 200 characters in many documents."""
+    passage = " ".join(f"word{i}" for i in range(60))
+    docs = [(i, f"{passage}\nx{i}", "a") for i in range(30)]
+    rows = line_rules.judged(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()
+    assert len(passage) > 200 and all(r.removed_chars == len(passage) and not r.kept and not r.base_failed for r in rows)
