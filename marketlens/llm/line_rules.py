@@ -7,7 +7,8 @@ of a text count once, so that a copied text does not condemn its own lines.  A
 line, of any length, found in more than the larger of
 ``LINE_DOCS`` documents and ``LINE_SHARE`` of the host's documents is removed.
 A document is rejected if less than ``KEPT_SHARE`` of its characters in lines
-is left.
+is left; the texts of the others lose these lines (with their line break), all
+other lines stay as they are and in order.
 
 A line may be in a third of all documents: lines are counted with map-side
 partial sums, and the join of documents' lines with removed lines is an
@@ -53,16 +54,20 @@ def _from(values: Column, skipped: int) -> Column:
 
 def base_figures(docs: DataFrame) -> DataFrame:
     """doc_id, source, text_hash, n_words, word_chars, n_symbols, n_dup_lines,
-    windows (hashes; null where no window repeats) and lines (hash and
-    length of each line with a word)."""
+    windows (hashes; null where no window repeats) and lines (hash,
+    length and place among all lines, from 1, of each line with a word)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     out = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         text.alias("text"),
         words_of(text).alias("words"),
-        F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(_BLANK)) != "").alias("all_lines"),
+        F.filter(
+            F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("x"), (i + 1).alias("at"))),
+            lambda line: F.btrim(line["x"], F.lit(_BLANK)) != "",
+        ).alias("placed"),
     )
+    out = out.withColumn("all_lines", F.transform("placed", lambda x: x["x"]))
     out = out.withColumn("quads", quad_hashes(F.col("words")))
     # 8 words can only repeat where 4 do; most texts need no more than that
     some = F.size(F.array_distinct("quads")) < F.size("quads")
@@ -78,8 +83,8 @@ def base_figures(docs: DataFrame) -> DataFrame:
         (F.size("all_lines") - F.size(F.array_distinct("all_lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.col("windows")).alias("windows"),
         F.transform(
-            "all_lines",
-            lambda x: F.struct(F.xxhash64(line(x)).alias("line"), F.length(x).alias("chars")),
+            "placed",
+            lambda p: F.struct(F.xxhash64(line(p["x"])).alias("line"), F.length(p["x"]).alias("chars"), p["at"].alias("at")),
         ).alias("lines"),
     )
 
@@ -106,17 +111,18 @@ def frequent_lines(base: DataFrame) -> DataFrame:
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_hash, host and all figures."""
+    """One row per row of ``docs``: doc_id, text_hash, host, all figures and
+    removed_at (places of the removed lines in order, null for none)."""
     base = stored(base_figures(docs), "line-base")
     key = ["doc_id", "text_hash"]
     host = F.coalesce(F.col("source"), F.lit("")).alias("host")
     own = base.select(*key, host, "lines").dropDuplicates([*key, "host"])
-    own = own.select(*key, "host", F.explode("lines").alias("x")).select(*key, "host", "x.line", "x.chars")
-    own = own.groupBy(*key, "host", "line").agg(F.sum("chars").alias("chars"))
+    own = own.select(*key, "host", F.explode("lines").alias("x")).select(*key, "host", "x.line", "x.chars", "x.at")
+    own = own.groupBy(*key, "host", "line").agg(F.sum("chars").alias("chars"), F.collect_list("at").alias("at"))
     removed = (
         own.join(frequent_lines(base), ["host", "line"])
         .groupBy(*key, "host")
-        .agg(F.sum("chars").alias("removed_chars"))
+        .agg(F.sum("chars").alias("removed_chars"), F.array_sort(F.flatten(F.collect_list("at"))).alias("removed_at"))
     )
     zero = F.lit(0).cast("long")
     out = (
@@ -132,23 +138,53 @@ def verdicts(docs: DataFrame) -> DataFrame:
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
 
 
-def judged(docs: DataFrame) -> DataFrame:
+def without_lines(text: Column, at: Column) -> Column:
+    """``text`` without the lines at these places (ascending, from 1)."""
+    lines = F.split(text, "\n")
+    before = F.concat(F.array(F.lit(0)), at)
+    after = F.concat(at, F.array(F.size(lines) + 1))
+    runs = F.zip_with(before, after, lambda a, b: F.slice(lines, a + 1, b - a - 1))
+    return F.when(at.isNull(), text).otherwise(F.array_join(F.flatten(runs), "\n"))
+
+
+def _marked(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``docs`` as a struct ``_row``, joined with the verdicts on their texts."""
+    own = [F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))), F.coalesce(F.col("source").cast("string"), F.lit(""))]
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), *(c.alias(k) for c, k in zip(own, ["doc_id", "text_hash", "host"])))
+    key = ["doc_id", "text_hash", "host"]
+    return rows.join(found.dropDuplicates(key), key, how)
+
+
+def judged(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, kept, line_chars, removed_chars."""
-    return verdicts(docs).select(
+    base_failed, kept, line_chars, removed_chars; with ``with_text`` also
+    kept_text, the text without the removed lines (null where not kept)."""
+    figures = [
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "line_chars", "removed_chars",
-    )
+    ]
+    found = verdicts(docs)
+    if not with_text:
+        return found.select(*figures)
+    text = without_lines(F.coalesce("_row.text", F.lit("")), F.col("removed_at"))
+    return _marked(docs.select("doc_id", "text", "source"), found, "inner").select(*figures, F.when(F.col("kept"), text).alias("kept_text"))
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their columns.  Where
-    rows share a doc_id, each text is judged by itself."""
-    kept = verdicts(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("host").alias("_host"))
-    marked = docs.select(
-        "*",
-        F.col("doc_id").cast("long").alias("_id"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"),
-        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("_host"),
-    )
-    return marked.join(kept, ["_id", "_hash", "_host"], "left_semi").select(*docs.columns)
+    """The rows of ``docs`` that the rules keep, with their columns; ``text`` is
+    without the removed lines, and ``n_chars``, if there is one, is counted anew
+    where lines went.  Where rows share a doc_id, each text is judged by itself."""
+    rows = _marked(docs, verdicts(docs).where("kept").select("doc_id", "text_hash", "host", "removed_at"), "inner")
+    gone = F.col("removed_at")
+    types = dict(docs.dtypes)
+
+    def column(name: str) -> Column:
+        old = F.col("_row").getField(name)
+        if name == "text":
+            return without_lines(old, gone).alias(name)
+        if name == "n_chars":
+            left = F.length(without_lines(F.col("_row.text"), gone)).cast(types[name])
+            return F.when(gone.isNull(), old).otherwise(left).alias(name)
+        return old.alias(name)
+
+    return rows.select(*map(column, docs.columns))

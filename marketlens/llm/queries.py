@@ -50,7 +50,7 @@ def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_rules.judged(_documents(spark, sf_dir))
+    return line_rules.judged(_documents(spark, sf_dir), with_text=True)
 
 
 def op8_version_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:

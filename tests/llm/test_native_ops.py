@@ -157,3 +157,21 @@ def test_long_lines_count(spark):
     docs = [(i, f"{passage}\nx{i}", "a") for i in range(30)]
     rows = line_rules.judged(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()
     assert len(passage) > 200 and all(r.removed_chars == len(passage) and not r.kept and not r.base_failed for r in rows)
+
+
+def test_frequent_lines_leave_the_text(spark):
+    """Removed lines go from text and n_chars; all else stays in order."""
+    rng = random.Random(9)
+    docs, want = [], {}
+    for i in range(30):
+        own = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(3)]
+        kept = [own[0], "", own[1], "  ", own[2], ""]
+        docs.append((i, "\n".join(["Menu | home", *kept[:3], " menu |  HOME ", *kept[3:], "Menu | home"]), "a", 7))
+        want[i] = "\n".join(kept)
+    docs.append((99, "\n" + want[3] + " z\n", "a", 7))
+    want[99] = docs[-1][1]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, n_chars int")
+    got = line_rules.kept_documents(frame)
+    assert got.dtypes == frame.dtypes
+    assert {r.doc_id: (r.text, r.n_chars) for r in got.collect()} == {d: (t, 7 if d == 99 else len(t)) for d, t in want.items()}
+    assert {r.doc_id: r.kept_text for r in line_rules.judged(frame, with_text=True).collect()} == want
