@@ -4,8 +4,8 @@ Base figures come from the text itself (see ``base_figures``).  The method then
 looks across documents: lines are normalised and hashed, and for each host (the
 ``source`` column) the distinct documents with a line are counted; exact copies
 of a text count once, so that a copied text does not condemn its own lines.  A
-line, of any length, found in more than the larger of
-``LINE_DOCS`` documents and ``LINE_SHARE`` of the host's documents is removed.
+line, of any length, found in more than ``LINE_DOCS`` of a host's distinct documents is removed,
+whatever the size of the host.
 A document is rejected if less than ``KEPT_SHARE`` of its characters in lines
 is left; the texts of the others lose these lines (with their line break), all
 other lines stay as they are and in order.
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-LINE_DOCS, LINE_SHARE, KEPT_SHARE = 20, 0.005, 0.3
+LINE_DOCS, KEPT_SHARE = 20, 0.3
+LINE_SHARE = 0.0  # no share of the host: its other documents don't matter
 LINE_CHARS = float("inf")  # lines of every length count
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
 _SPACES = "[\\x20\\x09-\\x0D]+"
@@ -101,13 +102,11 @@ def repeated_words(base: DataFrame) -> DataFrame:
 
 
 def frequent_lines(base: DataFrame) -> DataFrame:
-    """(source, line) above the limits, null sources as the empty string."""
+    """(source, line) above the limit, null sources as the empty string."""
     host = F.coalesce(F.col("source"), F.lit("")).alias("host")
     texts = base.select(host, "text_hash", "lines").dropDuplicates(["host", "text_hash"])
     lines = texts.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
-    counts = lines.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > LINE_DOCS)
-    hosts = texts.groupBy("host").agg(F.count("*").alias("n_texts"))
-    return counts.join(hosts, "host").where(F.col("n") > LINE_SHARE * F.col("n_texts")).select("host", "line")
+    return lines.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > LINE_DOCS).select("host", "line")
 
 
 def verdicts(docs: DataFrame) -> DataFrame:

@@ -175,3 +175,11 @@ def test_frequent_lines_leave_the_text(spark):
     assert got.dtypes == frame.dtypes
     assert {r.doc_id: (r.text, r.n_chars) for r in got.collect()} == {d: (t, 7 if d == 99 else len(t)) for d, t in want.items()}
     assert {r.doc_id: r.kept_text for r in line_rules.judged(frame, with_text=True).collect()} == want
+
+
+def test_limit_holds_at_every_host_size(spark):
+    """21 documents with a line lose it, however many others the host has."""
+    body = "concat_ws(' ', transform(sequence(1, 25), x -> concat('w', id * 100 + x)))"
+    docs = spark.range(5000).selectExpr("id as doc_id", f"if(id < 21, concat('Menu | home\\n', {body}), {body}) as text", "'a' as source")
+    rows = line_rules.judged(docs).where("doc_id < 21").collect()
+    assert len(rows) == 21 and all(r.removed_chars == 11 and r.kept for r in rows)
