@@ -13,9 +13,12 @@ matches never cross documents.
    their names, merge in the remaining suffixes by their first symbol and the
    rank of the next.  Then prefixes of neighbouring suffixes are compared.
 
-Partitions are sorted in batches of whole anchors of about ``BATCH`` bytes, so
-a task's memory is bounded by that and by its largest anchor; anchors with many
-contents were cut into single windows beforehand and never come here.
+Partitions are sorted in batches of whole anchors of about ``BATCH`` bytes.
+Anchors with many contents in a sample were cut into single windows beforehand.
+Of all others the bytes still to be compared are counted; those of an anchor
+with more than ``BATCH`` don't come here but are compared window by window, by
+128-bit hashes, spread over all tasks.  So a task's memory is bounded by
+``BATCH``, whatever the sample missed.
 
 Null texts count as empty, rows without doc_id are left out, an empty table
 gives an empty result, and extra columns are ignored.  If a doc_id occurs in
@@ -40,9 +43,20 @@ WIDTH, GRAM = 100, 40
 BATCH = 1 << 18
 
 
+def _triples(a: np.ndarray, b: np.ndarray, c: np.ndarray, bits: int) -> np.ndarray:
+    """Codes in the order of the triples, of values below 2**bits; where three
+    don't fit into 63 bits, the last two are replaced by their rank."""
+    if 3 * bits <= 63:
+        return (a << 2 * bits) | (b << bits) | c
+    if bits > 31:
+        raise ValueError("suffix_array: lengths and values must be below 2**31 - 3")
+    low = np.unique((b << bits) | c, return_inverse=True)[1]
+    return (a << len(low).bit_length()) | low
+
+
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Suffix array of an integer sequence (values >= 1), difference cover
-    modulo 3, all steps vectorised.  Lengths and values below 2**21 - 3."""
+    modulo 3, all steps vectorised.  Lengths and values below 2**31 - 3."""
     n = len(text)
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: text[i:].tolist()), np.int64)
@@ -51,7 +65,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     bits = max(int(t.max()).bit_length(), (n + 3).bit_length())
     sample = np.concatenate([np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)])
     n1 = len(range(1, n + (n % 3 == 1), 3))
-    triple = (t[sample] << 2 * bits) | (t[sample + 1] << bits) | t[sample + 2]
+    triple = _triples(t[sample], t[sample + 1], t[sample + 2], bits)
     order = np.argsort(triple, kind="stable")
     new = np.ones(len(order), np.int64)
     new[1:] = triple[order][1:] != triple[order][:-1]
@@ -70,8 +84,9 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     one = sorted_sample[sorted_sample % 3 == 1]
     two = sorted_sample[sorted_sample % 3 == 2]
     before = np.searchsorted((t[one] << bits) | rank[one + 1], rest_key)
-    key2 = (t[two] << 2 * bits) | (t[two + 1] << bits) | rank[two + 2]
-    before = before + np.searchsorted(key2, (t[rest] << 2 * bits) | (t[rest + 1] << bits) | rank[rest + 2])
+    both = np.concatenate([two, rest])
+    key2 = _triples(t[both], t[both + 1], rank[both + 2], bits)
+    before = before + np.searchsorted(key2[: len(two)], key2[len(two) :])
     out = np.full(len(sample) + len(rest), -1, np.int64)
     out[before + np.arange(len(rest))] = rest
     out[out < 0] = sorted_sample
@@ -172,6 +187,24 @@ def _sorted_spans(strings: DataFrame, width: int) -> DataFrame:
     return dealt.mapInArrow(sort, "doc_id long, start long, end long")
 
 
+def _wide_anchors(found: DataFrame, width: int) -> DataFrame:
+    """Anchors with more than BATCH bytes still to be compared."""
+    size = F.sum(F.col("n_windows").cast("long") + width)
+    return found.where(F.col("kind") == KIND_OPEN).groupBy("anchor").agg(size.alias("size")).where(F.col("size") > BATCH).select("anchor")
+
+
+def _window_spans(strings: DataFrame, width: int) -> DataFrame:
+    """Spans of repeated windows among the strings, one by one by their hash."""
+    begins = F.sequence(F.lit(1), F.length("bytes") - (width - 1))
+    hashes = F.transform(begins, lambda i: F.md5(F.substring("bytes", i, width)))
+    windows = strings.select("doc_id", "start", F.posexplode(hashes).alias("at", "h"))
+    windows = stored(windows.select("h", "doc_id", (F.col("start") + F.col("at")).alias("start")), "byte-windows")
+    place = F.struct("doc_id", "start")
+    first = windows.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("n")).where(F.col("n") > 1)
+    later = windows.join(first, "h").where(place != F.col("first"))
+    return later.select("doc_id", "start", (F.col("start") + width).alias("end"))
+
+
 def duplicate_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """Byte spans (doc_id, start, end) that are covered by a repeated string;
     they may touch or overlap.  ``docs`` has doc_id and text without nulls."""
@@ -181,8 +214,13 @@ def duplicate_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
     copies = found.where(F.col("kind") == KIND_COPY).select(
         "doc_id", "start", (F.col("start") + F.col("n_windows") - 1 + width).alias("end")
     )
-    sorted_ = stored(_sorted_spans(_open_strings(docs, found, width), width), "byte-spans")
-    return copies.unionByName(sorted_)
+    wide = stored(_wide_anchors(found, width), "wide-anchors")
+    if wide.isEmpty():
+        return copies.unionByName(stored(_sorted_spans(_open_strings(docs, found, width), width), "byte-spans"))
+    narrow = _open_strings(docs, found.join(wide, "anchor", "left_anti"), width)
+    sorted_ = stored(_sorted_spans(narrow, width), "byte-spans")
+    single = _window_spans(_open_strings(docs, found.join(wide, "anchor", "left_semi"), width), width)
+    return copies.unionByName(sorted_).unionByName(stored(single, "byte-wide-spans"))
 
 
 def union_of(spans) -> list[tuple[int, int]]:

@@ -101,3 +101,26 @@ def test_text_output_keeps_the_rest(spark):
     rows = spark.createDataFrame([(1, a), (2, "start " + a + " end")], "doc_id long, text string")
     got = {r.doc_id: r.kept_text for r in suffix_dedup.removal_report(rows, with_text=True).collect()}
     assert got == {1: a, 2: "start  end"}
+
+
+def test_suffix_array_of_large_values():
+    """Three values that don't fit into 63 bits together."""
+    rng = np.random.default_rng(3)
+    for low, high in ((2**30, 2**30 + 4), (1, 2**30)):
+        t = rng.integers(low, high, 200)
+        assert suffix_dedup.suffix_array(t).tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
+
+
+def test_no_large_anchor_reaches_one_task(frame, corpus, monkeypatch):
+    """Anchors above BATCH are compared by single windows, with equal results."""
+    seen, sort = [], suffix_dedup._sorted_spans
+
+    def watched(strings, width):
+        sizes = strings.selectExpr("anchor", "length(bytes) as n").groupBy("anchor").sum("n").collect()
+        seen.extend(r[1] for r in sizes)
+        return sort(strings, width)
+
+    monkeypatch.setattr(suffix_dedup, "BATCH", 400)
+    monkeypatch.setattr(suffix_dedup, "_sorted_spans", watched)
+    assert removed_bytes(frame) == brute_bytes(corpus, 100)
+    assert seen and max(seen) <= 400
