@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_model, line_rules, order_minhash, packing, quality_trees, rlz_dedup, suffix_dedup, token_store, url_filter, version_sketch
+from . import bpe_model, line_rules, order_minhash, packing, quality_trees, rlz_dedup, run_grammar, suffix_dedup, token_store, url_filter, version_sketch
 
 URL_RULES = [
     url_filter.Rule("allow", "org", "/"),
@@ -69,10 +69,31 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(pages, URL_RULES, listed)
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; with h the crc32 of the id as text and g = h div 10, in
+    texts of n words with h % 10 = 0 each word i from a = g % n on becomes word
+    a + (i - a) % p of the text, where p = 1 + (n - a) div (3 + g % 8)."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    cut = docs.select("doc_id", text.alias("text"), F.floor(h / 10).alias("g"), words.alias("words"))
+    n = F.size("words")
+    placed = cut.withColumn("a", F.col("g") % F.nullif(n, F.lit(0)))
+    placed = placed.withColumn("p", F.expr("1 + (size(words) - a) div (3 + g % 8)"))
+    a, p = F.col("a"), F.col("p")
+    repeated = F.transform("words", lambda w, i: F.when(i < a, w).otherwise(F.get(F.col("words"), (a + (i - a) % p).cast("int"))))
+    return placed.select("doc_id", F.when(n > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_grammar.run_report(with_planted_runs(_documents(spark, sf_dir)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_suffix_array, op2_lempel_ziv, op3_token_store, op4_order_minhash, op5_packing,
         op6_quality_trees, op7_line_rules, op8_version_sketch, op9_byte_bpe, op10_url_filter,
+        op11_recompression_runs,
     )
     return {f.__name__: f for f in found}
 
