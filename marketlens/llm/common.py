@@ -50,6 +50,19 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def split_words(texts):
+    """Words ``[^\\x20\\x09-\\x0D]+`` of an Arrow array of texts, one after
+    another, and the bounds of each text's words among them."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    split = pc.ascii_split_whitespace(texts)
+    flat = split.flatten()
+    real = pc.greater(pc.binary_length(flat), 0)
+    edges = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    return flat.filter(real), edges[split.offsets.to_numpy() - split.offsets[0].as_py()]
+
+
 def document_texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` as long and ``text`` with null as empty; other columns go.
 

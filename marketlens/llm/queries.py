@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_model, line_rules, order_minhash, packing, quality_trees, rlz_dedup, run_grammar, suffix_dedup, token_store, url_filter, version_sketch
+from . import bpe_model, kneser_ney, line_rules, order_minhash, packing, quality_trees, rlz_dedup, run_grammar, suffix_dedup, token_store, url_filter, version_sketch
 
 URL_RULES = [
     url_filter.Rule("allow", "org", "/"),
@@ -89,11 +89,15 @@ def op11_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_grammar.run_report(with_planted_runs(_documents(spark, sf_dir)))
 
 
+def op12_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.score_report(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_suffix_array, op2_lempel_ziv, op3_token_store, op4_order_minhash, op5_packing,
         op6_quality_trees, op7_line_rules, op8_version_sketch, op9_byte_bpe, op10_url_filter,
-        op11_recompression_runs,
+        op11_recompression_runs, op12_kneser_ney,
     )
     return {f.__name__: f for f in found}
 

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import ship_package, split_words
 from .piece_cache import text_blocks
 
 #: a run is at least so long, and at least so many times its period
@@ -204,12 +204,7 @@ def sequence_runs(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.
 def _text_runs(texts: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array, pa.Array]:
     """Words, word counts, runs (lists of start, length, period) and the texts
     without repeats, of one block of texts."""
-    split = pc.ascii_split_whitespace(texts)  # blank and \x09-\x0D
-    flat = split.flatten()
-    real = pc.greater(pc.binary_length(flat), 0)
-    edges = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
-    bounds = edges[split.offsets.to_numpy() - split.offsets[0].as_py()]
-    flat = flat.filter(real)
+    flat, bounds = split_words(texts)
     sizes = np.diff(bounds)
     words = flat.dictionary_encode().indices.to_numpy().astype(np.int64)
     start, length, period = sequence_runs(words, sizes)
