@@ -3,12 +3,15 @@
 Tokens are the words of a text (A-Z in lower case; separated by blank and
 \\x09-\\x0D) and one end mark; the first token follows a begin mark.
 
-* Counting: each block of texts emits its distinct pairs with their number, so
-  a frequent word or pair sends one row a block.  Spark groups the pairs by
-  shards of their 64-bit key; each shard is stored as a sorted array of keys
-  with the counts beside it.  Out of the same pass come each word's number of
-  occurrences, of words before it and of words after it (once, twice, ...),
-  which Spark adds up and stores by shards of the word's hash alike.
+* Counting: Spark adds up the words of all blocks of texts by shards of their
+  64-bit hash; each shard is stored as a sorted array of hashes with the counts
+  beside it, and a word's number is its place in all shards.  Each block then
+  packs its distinct pairs of numbers with their counts into one compressed row
+  a shard of the pairs' hash, so a frequent word or pair adds one entry a block
+  and no shard gets more than its share.  The pairs of a shard are added up and
+  stored as a sorted array of hashes (one to one, so exact) with the counts.
+  Out of the same pass come, for each word, the numbers of different words
+  before and after it, added up by shards of words.
 * Probabilities: absolute discounts for counts 1, 2 and 3 or more, from the
   counts of counts; what they take goes to the next lower order.  A word alone
   is weighted by the number of different words before it, and interpolated with
@@ -21,7 +24,7 @@ The files lie under ``spark.checkpoint.dir``, which must be a folder that all
 workers can open by its path (a mounted one; other stores are refused).  A
 shard is written under a name of its own and then renamed, so repeated tasks
 leave whole files.  Shards follow ``spark.sql.shuffle.partitions``: a task
-holds one of them in memory.  Words and pairs are told apart by 64-bit hashes.
+holds one of them in memory.  Words are told apart by 64-bit hashes.
 
 Null and empty texts are an end mark alone.  Repeated rows count as often as
 they occur.  Rows without doc_id are scored and, in ``train``, counted like
@@ -45,11 +48,11 @@ from pyspark.sql import functions as F
 from .common import partitions, scratch_path, ship_package, split_words
 from .piece_cache import text_blocks
 
-#: bytes of text that are counted or scored together
-BLOCK = 1 << 23
+#: bytes of text that are counted, or scored, together
+COUNTED = 1 << 25
+SCORED = 1 << 23
 #: marks that are no words
 _BEGIN, _END = b"", b" "
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 #: discounts where the counts of counts give none (a corpus too small or too even)
 _PLAIN_DISCOUNTS = (0.5, 1.0, 1.5)
 
@@ -81,15 +84,42 @@ class _Block:
         self.before[1:] = self.token[:-1]
         self.before[np.append(0, self.ends[:-1])[: len(self.ends)]] = begin
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct pairs (places of both words), their number, and each token's pair."""
+    def pairs(self, each: bool = False):
+        """Distinct pairs (places of both words), their number; with ``each``
+        also each token's pair."""
         n = len(self.words)
-        pairs, which, counts = np.unique(self.before * n + self.token, return_inverse=True, return_counts=True)
-        return pairs // n, pairs % n, counts, which
+        pairs, *more = np.unique(self.before * n + self.token, return_inverse=each, return_counts=True)
+        return pairs // n, pairs % n, *more[::-1]
 
-    def keys(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """The pair's key; with the first word's hash it gives the second's."""
-        return self.words[token] + self.words[before] * _MIX
+
+def _pair_keys(before: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Two numbers of words as one."""
+    return before.astype(np.uint64) << np.uint64(32) | token.astype(np.uint64)
+
+
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    """A hash of 64-bit numbers, one to one."""
+    for shift, factor in ((31, 0x9E3779B97F4A7C15), (29, 0xD6E8FEB86659FD93)):
+        keys = (keys ^ keys >> np.uint64(shift)) * np.uint64(factor)
+    return keys ^ keys >> np.uint64(32)
+
+
+def _pack(columns: list[np.ndarray]) -> bytes:
+    """Columns of numbers, the first one ascending, as compressed bytes: its
+    steps and the others, byte by byte of all rows."""
+    import zstandard
+
+    rows = np.stack([np.diff(columns[0], prepend=columns[0].dtype.type(0)).view("<i8"), *(c.astype("<i8") for c in columns[1:])])
+    planes = rows.view(np.uint8).reshape(len(rows), -1, 8).transpose(0, 2, 1)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpack(data: bytes, width: int) -> list[np.ndarray]:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(width, 8, -1)
+    rows = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[:, :, 0]
+    return [np.cumsum(rows[0].view(np.uint64)), *rows[1:]]
 
 
 def _sums(groups: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
@@ -108,7 +138,7 @@ def _folder(uri: str) -> str:
 def _write_columns(folder: str, name: str, columns: list[np.ndarray]) -> None:
     """Columns of one length in one file: a head of their number, length and
     widths in bytes, then each column, at a multiple of eight bytes."""
-    columns = [columns[0], *(c.astype(np.min_scalar_type(int(c.max(initial=0)))) for c in columns[1:])]
+    columns = [c if c.dtype == np.uint64 else c.astype(np.min_scalar_type(int(c.max(initial=0)))) for c in columns]
     os.makedirs(folder, exist_ok=True)
     own = os.path.join(folder, f".{name}.{uuid.uuid4().hex}")
     with open(own, "wb") as f:
@@ -133,11 +163,12 @@ def _open_columns(folder: str, name: str) -> list[np.ndarray]:
     return out
 
 
-def _look_up(folder: str, kind: str, shards: int, keys: np.ndarray, width: int) -> np.ndarray:
-    """The columns beside each key, 0 where it is unknown; one row a column."""
+def _look_up(folder: str, kind: str, shards: int, keys: np.ndarray, width: int, beside: str = "") -> np.ndarray:
+    """The columns beside each key (of a second file too, if named), 0 where it
+    is unknown; one row a column.  The last row is the place in the shard, from 1."""
     order = np.argsort(keys)
     keys = keys[order]
-    out = np.zeros((width, len(keys)), np.int64)
+    out = np.zeros((width + 1, len(keys)), np.int64)
     cuts = np.searchsorted(_shard_of(keys, shards), np.arange(shards + 1))
     for shard in np.flatnonzero(np.diff(cuts)):
         a, b = cuts[shard], cuts[shard + 1]
@@ -145,45 +176,59 @@ def _look_up(folder: str, kind: str, shards: int, keys: np.ndarray, width: int)
         if columns:
             place = np.minimum(np.searchsorted(columns[0], keys[a:b]), len(columns[0]) - 1)
             known = columns[0][place] == keys[a:b]
-            for row, c in zip(out, columns[1:]):
+            for row, c in zip(out, columns[1:] + (_open_columns(folder, f"{beside}-{shard}") if beside else [])):
                 row[a:b] = np.where(known, c[place], 0)
+            out[-1, a:b] = np.where(known, place + 1, 0)
     back = np.empty_like(out)
     back[:, order] = out
     return back
 
 
 # -- counting ----------------------------------------------------------------------
-_PAIR_ROWS = "shard int, key long, before long, n long"
-#: of a word: occurrences, different words before it, after it, of these after it once to four times
-_FIGURES = ("occurs", "left", "right", "right_1", "right_2", "right_3", "right_4")
-_WORD_ROWS = "shard int, word long, " + ", ".join(f"{c} long" for c in _FIGURES)
-#: of a shard of words, to be added up
-_TOTALS = ("vocabulary", "tokens", "lefts", "left_1", "left_2", "left_3", "left_4", "right_1", "right_2", "right_3", "right_4")
+_WORDS = "shard int, word long, n long"
+_PACKED = "shard int, data binary"
+_SIZES = "shard int, words long, vocabulary long, tokens long"
+#: of a shard of words, to be added up: of words by different words before them
+#: (once to four times), of pairs by their number (once to four times)
+_TOTALS = ("lefts", "left_1", "left_2", "left_3", "left_4", "right_1", "right_2", "right_3", "right_4")
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
-def _shard_frames(batches):
-    """(shard, other columns as numpy arrays) of rows that are sorted by shard."""
-    waiting = []
+def _batch(schema: str, *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _names(schema))
+
+
+def _by_shard(batches):
+    """(shard, its rows of each batch) of rows that are sorted by shard."""
+    shard, waiting = None, []
     for batch in batches:
-        shard = batch.column(0).to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+        all_of = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(all_of)) + 1).tolist(), len(all_of)]
         for a, b in zip(cuts, cuts[1:]):
-            if a == b:
-                continue
-            if waiting and waiting[0][0] != shard[a]:
-                yield waiting[0][0], [np.concatenate(c) for c in zip(*(x[1] for x in waiting))]
+            if a < b and all_of[a] != shard and waiting:
+                yield shard, waiting
                 waiting = []
-            waiting.append((int(shard[a]), [batch.column(k)[a:b].to_numpy() for k in range(1, batch.num_columns)]))
+            if a < b:
+                shard = int(all_of[a])
+                waiting.append(batch.slice(a, b - a))
     if waiting:
-        yield waiting[0][0], [np.concatenate(c) for c in zip(*(x[1] for x in waiting))]
+        yield shard, waiting
 
 
-def _batch(schema: list[str], columns: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema)
+def _packed_by_shard(shards: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """One packed row a shard."""
+    order = np.argsort(shards, kind="stable")
+    sorted_shards, columns = shards[order], [c[order] for c in columns]
+    cuts = [0, *(np.flatnonzero(np.diff(sorted_shards)) + 1).tolist(), len(order)]
+    spans = [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+    return _batch(_PACKED, pa.array([int(sorted_shards[a]) for a, _ in spans], pa.int32()), pa.array([_pack([c[a:b] for c in columns]) for a, b in spans], pa.binary()))
 
 
-def _names(schema: str) -> list[str]:
-    return [c.split()[0] for c in schema.split(", ")]
+def _unpacked(rows: list[pa.RecordBatch], width: int) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*(_unpack(x, width) for r in rows for x in r.column(1).to_pylist()))]
 
 
 @dataclass(frozen=True)
@@ -192,8 +237,13 @@ class PairModel:
 
     folder: str
     shards: int
+    starts: tuple  # of each shard, the words before it
     totals: dict
 
+    def numbers(self, words: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Numbers of words, from 1, by their hash and place in the shard; 0 for unknown ones."""
+        return np.where(places > 0, np.array(self.starts)[_shard_of(words, self.shards)] + places, 0)
+
     def _discounts(self, kind: str) -> np.ndarray:
         """Discounts of counts 0, 1, 2 and 3 or more."""
         n = [self.totals[f"{kind}_{i}"] for i in (1, 2, 3, 4)]
@@ -217,11 +267,12 @@ class PairModel:
     def logs(self, block: _Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """log10 of each token's probability, of its base probability, and its
         occurrences in the training texts."""
-        occurs, left, right, once, twice = _look_up(self.folder, "words", self.shards, block.words, 5)
+        occurs, left, right, once, twice, place = _look_up(self.folder, "words", self.shards, block.words, 5, "figures")
+        number = self.numbers(block.words, place)
         after = occurs.copy()  # a word is followed as often as it occurs, the begin mark once a text
         after[-1] = occurs[-2]
-        before, token, _, which = block.pairs()
-        (n,) = _look_up(self.folder, "pairs", self.shards, block.keys(before, token), 1)
+        before, token, _, which = block.pairs(each=True)
+        n, _ = _look_up(self.folder, "pairs", self.shards, _mixed(_pair_keys(number[before], number[token])), 1)
         d = self._discounts("right")
         single = self.unigram(left)
         spare = (d[1] * once + d[2] * twice + d[3] * (right - once - twice))[before]
@@ -238,57 +289,84 @@ def train(docs: DataFrame) -> PairModel:
     spark = docs.sparkSession
     ship_package(spark)
     shards = 1 << max(4, (4 * partitions(spark) - 1).bit_length())
-    folder = _folder(scratch_path(spark, "pair-model"))
+    folder, together = _folder(scratch_path(spark, "pair-model")), COUNTED
 
-    def count(batches):
+    def words(batches):
         for batch in batches:
-            for a, b in text_blocks(batch.column(0), BLOCK):
+            for a, b in text_blocks(batch.column(0), together):
                 block = _Block(batch.column(0)[a:b])
-                before, token, counts, _ = block.pairs()
-                keys = block.keys(before, token)
-                yield _batch(_names(_PAIR_ROWS), [_shard_of(keys, shards), keys.view(np.int64), block.words[before].view(np.int64), counts])
-
-    def store_pairs(batches):
-        for shard, (key, before, n) in _shard_frames(batches):
-            key, before = key.view(np.uint64), before.view(np.uint64)
-            order = np.argsort(key)
-            _write_columns(folder, f"pairs-{shard}", [key[order], n[order]])
-            words, place = np.unique(np.concatenate([before, key - before * _MIX]), return_inverse=True)
-            first, second, size = place[: len(key)], place[len(key) :], len(words)
-            one = np.ones(len(key))
-            figures = [_sums(second, size, n), _sums(second, size, one), _sums(first, size, one)]
-            figures += [_sums(first, size, n == k) for k in (1, 2, 3, 4)]
-            yield _batch(_names(_WORD_ROWS), [_shard_of(words, shards), words.view(np.int64), *figures])
+                counts = np.bincount(block.token, minlength=len(block.words))
+                yield _batch(_WORDS, _shard_of(block.words, shards), block.words.view(np.int64), counts)
 
     def store_words(batches):
-        for shard, (word, *figures) in _shard_frames(batches):
+        for shard, rows in _by_shard(batches):
+            word, n = (np.concatenate([r.column(k).to_numpy() for r in rows]) for k in (1, 2))
             order = np.argsort(word.view(np.uint64))
-            occurs, left, right, *after = (c[order] for c in figures)
-            _write_columns(folder, f"words-{shard}", [word.view(np.uint64)[order], occurs, left, right, *after[:2]])
-            totals = [(occurs > 0).sum(), occurs.sum(), left.sum(), *((left == k).sum() for k in (1, 2, 3, 4)), *(c.sum() for c in after)]
-            yield _batch(list(_TOTALS), [np.array([int(x)], np.int64) for x in totals])
-
-    def added(rows: DataFrame, key: list[str], values: tuple[str, ...]) -> DataFrame:
-        sums = [F.sum(c).alias(c) for c in values]
-        return rows.repartition("shard").groupBy("shard", *key).agg(*sums).sortWithinPartitions("shard")
+            _write_columns(folder, f"words-{shard}", [word.view(np.uint64)[order], n[order]])
+            yield _batch(_SIZES, pa.array([shard], pa.int32()), [len(word)], [int((n > 0).sum())], [int(n.sum())])
 
     texts = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    pairs = added(texts.mapInArrow(count, _PAIR_ROWS), ["key", "before"], ("n",))
-    words = added(pairs.mapInArrow(store_pairs, _WORD_ROWS), ["word"], _FIGURES)
-    totals = words.mapInArrow(store_words, ", ".join(f"{c} long" for c in _TOTALS))
-    found = totals.agg(*[F.sum(c).alias(c) for c in _TOTALS]).first().asDict()
-    return PairModel(folder, shards, {k: v or 0 for k, v in found.items()})
+    counted = texts.mapInArrow(words, _WORDS).repartition("shard").groupBy("shard", "word").agg(F.sum("n").alias("n"))
+    found = counted.sortWithinPartitions("shard").mapInArrow(store_words, _SIZES).collect()  # a row a shard
+    sizes = np.zeros(shards, np.int64)
+    for r in found:
+        sizes[r.shard] = r.words
+    if sizes.sum() >= 1 << 32:
+        raise ValueError("more words than 32 bits can number")
+    starts = (np.cumsum(sizes) - sizes).tolist()
+    totals = {"vocabulary": sum(r.vocabulary for r in found), "tokens": sum(r.tokens for r in found)}
+    model = PairModel(folder, shards, tuple(starts), totals)
+
+    def pairs(batches):
+        for batch in batches:
+            for a, b in text_blocks(batch.column(0), together):
+                block = _Block(batch.column(0)[a:b])
+                number = model.numbers(block.words, _look_up(folder, "words", shards, block.words, 1)[-1])
+                before, token, n = block.pairs()
+                keys = _pair_keys(number[before], number[token])
+                order = np.argsort(keys)
+                yield _packed_by_shard(_shard_of(_mixed(keys[order]), shards), [keys[order], n[order]])
+
+    def store_pairs(batches):
+        for shard, rows in _by_shard(batches):
+            some, counts = _unpacked(rows, 2)
+            keys, place = np.unique(some, return_inverse=True)
+            n = _sums(place, len(keys), counts)
+            hashes = _mixed(keys)
+            order = np.argsort(hashes)
+            _write_columns(folder, f"pairs-{shard}", [hashes[order], n[order]])
+            ends = np.concatenate([keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)])
+            number, place = np.unique(ends, return_inverse=True)
+            first, second = place[: len(keys)], place[len(keys) :]
+            figures = [np.bincount(second, minlength=len(number)), np.bincount(first, minlength=len(number))]
+            figures += [np.bincount(first[n == k], minlength=len(number)) for k in (1, 2, 3, 4)]
+            yield _packed_by_shard(np.searchsorted(starts, number.astype(np.int64) - 1, side="right") - 1, [number, *figures])
+
+    def store_figures(batches):
+        for shard, rows in _by_shard(batches):
+            number, *some = _unpacked(rows, 7)
+            place = number.astype(np.int64) - 1 - starts[shard]
+            left, right, *times = (_sums(place, sizes[shard], c) for c in some)
+            _write_columns(folder, f"figures-{shard}", [left, right, *times[:2]])
+            sums = [left.sum(), *((left == k).sum() for k in (1, 2, 3, 4)), *(c.sum() for c in times)]
+            yield _batch(", ".join(f"{c} long" for c in _TOTALS), *([int(x)] for x in sums))
+
+    stored = texts.mapInArrow(pairs, _PACKED).repartition("shard").sortWithinPartitions("shard").mapInArrow(store_pairs, _PACKED)
+    figures = stored.repartition("shard").sortWithinPartitions("shard").mapInArrow(store_figures, ", ".join(f"{c} long" for c in _TOTALS))
+    sums = figures.agg(*[F.sum(c).alias(c) for c in _TOTALS]).first().asDict()
+    return PairModel(folder, shards, tuple(starts), totals | {k: v or 0 for k, v in sums.items()})
 
 
 def scored(docs: DataFrame, model: PairModel) -> DataFrame:
     """One row a document: doc_id, n_tokens, n_known (tokens that the training
     texts have), base_score, score and perplexity (10 to the minus score a token)."""
     ship_package(docs.sparkSession)
+    together = SCORED
     schema = "doc_id long, n_tokens long, n_known long, base_score double, score double, perplexity double"
 
     def run(batches):
         for batch in batches:
-            for a, b in text_blocks(batch.column(1), BLOCK):
+            for a, b in text_blocks(batch.column(1), together):
                 block = _Block(batch.column(1)[a:b])
                 logs, base, occurs = model.logs(block)
                 begin = np.append(0, block.ends[:-1])

@@ -23,7 +23,10 @@ class Plain:
         self.follow, self.spare = {}, {}
         for (v, _), c in self.pairs.items():
             self.follow.setdefault(v, []).append(c)
+        self.total = sum(self.words.values())
+        self.lefts = sum(self.left.values())
         self.d2, self.d1 = self.discounts(self.pairs.values()), self.discounts(self.left.values())
+        self.spare1 = sum(self.d1[min(c, 3)] for c in self.left.values())
 
     @staticmethod
     def discounts(counts):
@@ -38,8 +41,7 @@ class Plain:
     def p1(self, w):
         if not self.words:
             return 1
-        spare = sum(self.d1[min(c, 3)] for c in self.left.values())
-        return (self.left[w] - self.d1[min(self.left[w], 3)] + spare / (len(self.words) + 1)) / sum(self.left.values())
+        return (self.left[w] - self.d1[min(self.left[w], 3)] + self.spare1 / (len(self.words) + 1)) / self.lefts
 
     def p2(self, v, w):
         if v not in self.follow:
@@ -50,8 +52,9 @@ class Plain:
         return (c - self.d2[min(c, 3)] + spare * self.p1(w)) / total
 
     def row(self, t):
-        total = sum(self.words.values())
-        base = sum(math.log10((self.words[w] + 1) / (total + len(self.words) + 1)) for w in t)
+        total = self.total
+        size = total + len(self.words) + 1
+        base = sum(math.log10((self.words[w] + 1) / size) for w in t)
         return len(t), sum(self.words[w] > 0 for w in t), base, sum(math.log10(self.p2(v, w)) for v, w in zip(["begin", *t], t))
 
 
@@ -61,7 +64,6 @@ def held(doc_id):
 
 def compare(got, docs, learned):
     model = Plain([tokens(t) for t in learned])
-    model.p1 = (lambda f, memo: lambda w: memo[w] if w in memo else memo.setdefault(w, f(w)))(model.p1, {})
     assert len(got) == len(docs)
     want = sorted((d if d is not None else -1, *model.row(tokens(t))) for d, t in docs)
     for g, w in zip(sorted((r.doc_id if r.doc_id is not None else -1, r.n_tokens, r.n_known, r.base_score, r.score) for r in got), want):
@@ -80,7 +82,8 @@ def test_query_like_plain_model(spark):
 
 def test_odd_rows(spark, frame, corpus, empty, monkeypatch):
     """Small blocks; null, empty and repeated texts, null ids, clashing names, no rows."""
-    monkeypatch.setattr(kneser_ney, "BLOCK", 3000)
+    monkeypatch.setattr(kneser_ney, "COUNTED", 3000)
+    monkeypatch.setattr(kneser_ney, "SCORED", 2000)
     more = [(None, "THE the É"), (1000, "the x"), (1000, "the x")]
     docs = frame.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
     docs = docs.selectExpr("*", "1 as score", "'a' as shard", "2 as key")
@@ -105,3 +108,12 @@ def test_probabilities_add_up(spark, frame, corpus):
 def test_other_stores_are_refused():
     with pytest.raises(ValueError, match="mounted"):
         kneser_ney._folder("hdfs://host/folder")
+
+
+def test_packed_columns():
+    rng = np.random.default_rng(4)
+    keys = np.unique(rng.integers(0, 2**64, 500, np.uint64))
+    counts = rng.integers(1, 2**40, len(keys))
+    back = kneser_ney._unpack(kneser_ney._pack([keys, counts]), 2)
+    assert (back[0] == keys).all() and (back[1] == counts).all()
+    assert len(np.unique(kneser_ney._mixed(np.arange(100_000, dtype=np.uint64)))) == 100_000
