@@ -288,7 +288,7 @@ def train(docs: DataFrame) -> PairModel:
     """Count the texts and store the model."""
     spark = docs.sparkSession
     ship_package(spark)
-    shards = 1 << max(4, (4 * partitions(spark) - 1).bit_length())
+    shards = 1 << max(4, (partitions(spark) - 1).bit_length())
     folder, together = _folder(scratch_path(spark, "pair-model")), COUNTED
 
     def words(batches):
