@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_model, kneser_ney, line_rules, order_minhash, packing, quality_trees, rlz_dedup, run_grammar, suffix_dedup, token_store, url_filter, version_sketch
+from . import bpe_model, kneser_ney, line_rules, order_minhash, packing, quality_trees, rlz_dedup, run_grammar, spelling, suffix_dedup, token_store, url_filter, version_sketch
 
 URL_RULES = [
     url_filter.Rule("allow", "org", "/"),
@@ -93,11 +94,27 @@ def op12_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score_report(_documents(spark, sf_dir))
 
 
+def with_typos(doc_id: int, runs: list[str]) -> list[str]:
+    """Each run without its code point h % length where 97 divides h, the crc32
+    of ``<doc_id>:<run>``."""
+    seed = zlib.crc32(f"{doc_id}:".encode())
+    out = []
+    for run in runs:
+        h = zlib.crc32(run.encode(), seed)
+        at = h % len(run)
+        out.append(run if h % 97 else run[:at] + run[at + 1 :])
+    return out
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_report(_documents(spark, sf_dir), with_typos)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_suffix_array, op2_lempel_ziv, op3_token_store, op4_order_minhash, op5_packing,
         op6_quality_trees, op7_line_rules, op8_version_sketch, op9_byte_bpe, op10_url_filter,
-        op11_recompression_runs, op12_kneser_ney,
+        op11_recompression_runs, op12_kneser_ney, op13_spelling_variants,
     )
     return {f.__name__: f for f in found}
 
