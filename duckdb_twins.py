@@ -361,14 +361,12 @@ SELECT customer_unique_id, customer_state, customer_city, order_count, p.total_s
 FROM person_summary p JOIN standing s ON p.total_spent IS NOT DISTINCT FROM s.total_spent"""
 
 CTES["category_satisfaction"] = """
-SELECT p.product_category, CAST(round(o.avg_review_score) AS INTEGER) AS review_score, count(*) AS item_count
-FROM fct_order_items i
-JOIN fct_orders o ON i.order_id = o.order_id
-JOIN (SELECT product_key,
-             coalesce(product_category_name_english, product_category_name, '(uncategorised)') AS product_category
-      FROM dim_products) p ON i.product_key = p.product_key
-WHERE o.avg_review_score IS NOT NULL
-GROUP BY 1, 2"""
+WITH marks AS (
+  SELECT order_id, CAST(round(avg_review_score) AS INTEGER) AS review_score FROM fct_orders WHERE avg_review_score IS NOT NULL),
+sold AS (SELECT product_key, review_score, sum(lines) AS lines FROM baskets JOIN marks USING (order_id) GROUP BY ALL)
+SELECT coalesce(product_category_name_english, product_category_name, '(uncategorised)') AS product_category,
+       review_score, CAST(sum(lines) AS BIGINT) AS item_count
+FROM sold JOIN dim_products USING (product_key) GROUP BY ALL"""
 
 CTES["seller_performance"] = """
 WITH volume AS (
@@ -438,71 +436,60 @@ SELECT segment, count(*) AS customers,
        round({pct_sql('sum(CAST(monetary AS DECIMAL(18,2)))', 'sum(sum(CAST(monetary AS DECIMAL(18,2)))) OVER ()')}, 1) AS pct_revenue
 FROM customer_rfm GROUP BY segment ORDER BY revenue DESC"""
 
-FINAL["review_by_delivery_bucket"] = f"""
-SELECT {delivery_bucket_sql('delivery_vs_estimate_days')} AS delivery_bucket,
-       count(*) AS orders, round(avg(avg_review_score), 2) AS avg_score
-FROM fct_orders
-WHERE avg_review_score IS NOT NULL AND delivery_vs_estimate_days IS NOT NULL
-GROUP BY 1 ORDER BY 1"""
+# What became of each delivered order, and each order's lines by product and route.
+CTES["outcomes"] = """
+  SELECT order_id, delivery_vs_estimate_days AS days, avg_review_score AS score FROM fct_orders
+  WHERE delivery_vs_estimate_days IS NOT NULL"""
 
-_IPO = """FROM fct_order_items oi
-JOIN dim_products p ON oi.product_key = p.product_key
-JOIN fct_orders o ON oi.order_id = o.order_id"""
+CTES["baskets"] = """
+  SELECT order_id, product_key, customer_seller_distance_km AS km, count(*) AS lines FROM fct_order_items GROUP BY ALL"""
 
+CTES["product_outcomes"] = """
+  SELECT product_key, days, score, sum(lines) AS lines FROM baskets JOIN outcomes USING (order_id) GROUP BY ALL"""
 
-def _review_by_category_sql(categories) -> str:
-    cats = ", ".join(_q(c) for c in categories)
+
+def _late_share(weight: str) -> str:
+    return f"round(100.0 * (CAST(coalesce(sum({weight}) FILTER (days > 0), 0) AS DOUBLE) / sum({weight})), 1)"
+
+
+def _scores_by(key: str, name: str, source: str, condition: str = "TRUE") -> str:
+    """Lines and their mean score by a key and lateness, of reviewed orders."""
     return f"""
-SELECT p.product_category_name_english AS category,
-       {late_bucket_sql('o.delivery_vs_estimate_days')} AS bucket,
-       count(*) AS items, round(avg(o.avg_review_score), 2) AS avg_score
-{_IPO}
-WHERE o.avg_review_score IS NOT NULL AND o.delivery_vs_estimate_days IS NOT NULL
-  AND p.product_category_name_english IN ({cats})
-GROUP BY 1, 2 ORDER BY 1, 2"""
-
-
-FINAL["review_by_weight_and_lateness"] = f"""
-SELECT {weight3_sql('p.product_weight_g')} AS weight_band,
-       {late_bucket_sql('o.delivery_vs_estimate_days')} AS bucket,
-       count(*) AS items, round(avg(o.avg_review_score), 2) AS avg_score
-{_IPO}
-WHERE o.avg_review_score IS NOT NULL AND o.delivery_vs_estimate_days IS NOT NULL AND p.product_weight_g IS NOT NULL
-GROUP BY 1, 2 ORDER BY 1, 2"""
-
-FINAL["review_by_distance_and_lateness"] = f"""
-SELECT {distance_sql('oi.customer_seller_distance_km')} AS distance_band,
-       {late_bucket_sql('fo.delivery_vs_estimate_days')} AS bucket,
-       count(*) AS items, round(avg(fo.avg_review_score), 2) AS avg_score
-FROM fct_order_items oi JOIN fct_orders fo ON oi.order_id = fo.order_id
-WHERE fo.avg_review_score IS NOT NULL AND fo.delivery_vs_estimate_days IS NOT NULL
-  AND oi.customer_seller_distance_km IS NOT NULL
-GROUP BY 1, 2 ORDER BY 1, 2"""
-
-FINAL["late_rate_by_distance"] = f"""
-SELECT {distance_sql('oi.customer_seller_distance_km')} AS distance_band,
-       count(*) AS items,
-       round(avg(oi.customer_seller_distance_km)) AS avg_km,
-       round(100.0 * avg(CASE WHEN o.delivery_vs_estimate_days <= 0 THEN 0 ELSE 1 END), 1) AS pct_late
-FROM fct_order_items oi JOIN fct_orders o ON oi.order_id = o.order_id
-WHERE o.delivery_vs_estimate_days IS NOT NULL AND oi.customer_seller_distance_km IS NOT NULL
-GROUP BY 1 ORDER BY 1"""
+SELECT {key} AS {name}, {late_bucket_sql('days')} AS bucket,
+       CAST(sum(lines) AS BIGINT) AS items, round(sum(score * lines) / sum(lines), 2) AS avg_score
+FROM {source} WHERE score IS NOT NULL AND {condition}
+GROUP BY ALL ORDER BY ALL"""
 
-FINAL["late_rate_by_weight"] = f"""
-SELECT {weight4_sql('p.product_weight_g')} AS weight_band,
-       count(*) AS items,
-       round(100.0 * avg(CASE WHEN o.delivery_vs_estimate_days <= 0 THEN 0 ELSE 1 END), 1) AS pct_late
-{_IPO}
-WHERE o.delivery_vs_estimate_days IS NOT NULL AND p.product_weight_g IS NOT NULL
-GROUP BY 1 ORDER BY 1"""
 
-FINAL["late_rate_by_category"] = f"""
-SELECT p.product_category_name_english AS category,
-       count(*) AS items,
-       round(100.0 * avg(CASE WHEN o.delivery_vs_estimate_days <= 0 THEN 0 ELSE 1 END), 1) AS pct_late
-{_IPO}
-WHERE o.delivery_vs_estimate_days IS NOT NULL AND p.product_category_name_english IS NOT NULL
-GROUP BY 1 HAVING count(*) >= 1000 ORDER BY pct_late DESC"""
+def _late_by(key: str, name: str, source: str, condition: str, more: str = "") -> str:
+    return f"""
+SELECT {key} AS {name}, CAST(sum(lines) AS BIGINT) AS items, {more}{_late_share('lines')} AS pct_late
+FROM {source} WHERE {condition} GROUP BY 1"""
+
+
+_PRODUCTS = "product_outcomes JOIN dim_products USING (product_key)"
+_ROUTES = "baskets JOIN outcomes USING (order_id)"
+
+FINAL["review_by_delivery_bucket"] = f"""
+SELECT {delivery_bucket_sql('days')} AS delivery_bucket, count(score) AS orders, round(sum(score) / count(score), 2) AS avg_score
+FROM outcomes WHERE score IS NOT NULL GROUP BY ALL ORDER BY ALL"""
+
+
+def _review_by_category_sql(categories) -> str:
+    listed = ", ".join(_q(c) for c in categories)
+    return _scores_by("product_category_name_english", "category", _PRODUCTS, f"product_category_name_english IN ({listed})")
+
+
+FINAL["review_by_weight_and_lateness"] = _scores_by(weight3_sql("product_weight_g"), "weight_band", _PRODUCTS, "product_weight_g IS NOT NULL")
+FINAL["review_by_distance_and_lateness"] = _scores_by(distance_sql("km"), "distance_band", _ROUTES, "km IS NOT NULL")
+FINAL["late_rate_by_distance"] = (
+    _late_by(distance_sql("km"), "distance_band", _ROUTES, "km IS NOT NULL", "round(sum(km * lines) / sum(lines)) AS avg_km, ") + " ORDER BY 1"
+)
+FINAL["late_rate_by_weight"] = _late_by(weight4_sql("product_weight_g"), "weight_band", _PRODUCTS, "product_weight_g IS NOT NULL") + " ORDER BY 1"
+FINAL["late_rate_by_category"] = (
+    _late_by("product_category_name_english", "category", _PRODUCTS, "product_category_name_english IS NOT NULL")
+    + " HAVING sum(lines) >= 1000 ORDER BY pct_late DESC"
+)
 
 FINAL["seller_late_bands_from_facts"] = f"""
 WITH per_order AS (SELECT seller_key, order_id, count(*) AS lines FROM fct_order_items GROUP BY ALL),
@@ -512,12 +499,12 @@ judged AS (
 SELECT {seller_late_sql('share_late')} AS seller_late_band, count(*) AS sellers, CAST(sum(items) AS BIGINT) AS items
 FROM judged WHERE items >= 20 GROUP BY 1 ORDER BY 1"""
 
-FINAL["late_rate_by_month"] = """
-SELECT CAST(date_trunc('month', o.order_purchase_timestamp) AS DATE) AS month,
-       count(*) AS orders,
-       round(100.0 * avg(CASE WHEN o.delivery_vs_estimate_days <= 0 THEN 0 ELSE 1 END), 1) AS pct_late
-FROM fct_orders o WHERE o.delivery_vs_estimate_days IS NOT NULL
-GROUP BY 1 ORDER BY 1"""
+FINAL["late_rate_by_month"] = f"""
+SELECT month, CAST(sum(orders) AS BIGINT) AS orders, {_late_share('orders')} AS pct_late
+FROM (
+  SELECT CAST(date_trunc('month', order_purchase_timestamp) AS DATE) AS month, days, count(*) AS orders
+  FROM outcomes JOIN fct_orders USING (order_id) GROUP BY ALL)
+GROUP BY month ORDER BY month"""
 
 FINAL["category_revenue_top15"] = f"""
 SELECT step AS category_rank, category, round(CAST(revenue AS DOUBLE)) AS revenue,
@@ -661,6 +648,10 @@ FINAL["mart_export_report"] = "\nUNION ALL\n".join(
     for f in ("parquet", "csv")
 )
 
+FINAL["mart_refresh_report"] = "\nUNION ALL\n".join(
+    f"SELECT '{b}' AS build, '{m}' AS mart, count(*) AS n_rows, count(*) AS n_stored FROM {m}" for b in ("previous", "current") for m in _MARTS
+)
+
 
 def _sql_value(v) -> str:
     return _q(v) if isinstance(v, str) else repr(v)

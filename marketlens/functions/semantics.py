@@ -84,11 +84,6 @@ def late_flag(delivery_vs_estimate_days: Column | str) -> Column:
     return F.when(d <= 0, F.lit(0)).otherwise(F.lit(1))
 
 
-def money(c: Column | str) -> Column:
-    """Money is exact ``DECIMAL(18,2)`` inside the pipeline."""
-    return _col(c).cast("decimal(18,2)")
-
-
 def category_with_fallback(english: Column | str, portuguese: Column | str) -> Column:
     """English name, else the untranslated name, else the uncategorised label."""
     return F.coalesce(_col(english), _col(portuguese), F.lit(UNCATEGORISED))

@@ -1,6 +1,6 @@
 """The seventeen business questions, each a function of the ``Warehouse``.
 
-Conventions (shared with the SQL twins in ``marketlens.oracle``):
+Conventions (shared with the SQL twins in ``duckdb_twins``):
 
 * percentages are ``100.0 * part / whole`` in double, then ``round_scaled``;
 * money totals are summed as exact decimals and turned into double at the
@@ -91,19 +91,39 @@ def review_by_delivery_bucket(w) -> DataFrame:
     ).orderBy("delivery_bucket")
 
 
-def _items_products_orders(w) -> DataFrame:
-    oi = w.fct_order_items.select("order_id", "product_key", "customer_seller_distance_km")
-    p = w.dim_products.select("product_key", "product_category_name_english", "product_weight_g")
-    o = w.fct_orders.select("order_id", "delivery_vs_estimate_days", "avg_review_score")
-    return oi.join(p, "product_key").join(o, "order_id")
-
-
 def _items_orders(w) -> DataFrame:
-    oi = w.fct_order_items.select("order_id", "seller_key", "customer_seller_distance_km")
+    """Lines with their order's lateness and score; the stored facts are
+    bucketed alike by ``order_id``, so there they meet without an exchange."""
+    oi = w.fct_order_items.select("order_id", "product_key", "seller_key", "customer_seller_distance_km")
     o = w.fct_orders.select("order_id", "delivery_vs_estimate_days", "avg_review_score")
     return oi.join(o, "order_id")
 
 
+def _by_product(w, lines: DataFrame, *keys: Column) -> DataFrame:
+    """Lines counted per product (and ``keys``), then given the product's
+    columns: only the counts move to the products, not the lines."""
+    counted = lines.groupBy("product_key", *keys).agg(
+        F.count(F.lit(1)).alias("items"),
+        F.sum("avg_review_score").alias("score_sum"),
+        F.sum(late_flag("delivery_vs_estimate_days")).alias("late"),
+    )
+    p = w.dim_products.select("product_key", "product_category_name_english", "product_weight_g")
+    return counted.join(p, "product_key")
+
+
+def _score_of_products(df: DataFrame, *keys: Column) -> DataFrame:
+    out = df.groupBy(*keys).agg(
+        F.sum("items").cast("bigint").alias("items"),
+        round_scaled(F.try_divide(F.sum("score_sum"), F.sum("items").cast("double")), 2).alias("avg_score"),
+    )
+    return out.orderBy(*out.columns[: len(keys)])
+
+
+def _pct_late_of_products() -> Column:
+    rate = F.try_divide(F.sum("late").cast("double"), F.sum("items").cast("double"))
+    return round_scaled(F.lit(100.0) * rate, 1).alias("pct_late")
+
+
 def _score_by(df: DataFrame, *keys: Column) -> DataFrame:
     out = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("items"),
@@ -113,23 +133,17 @@ def _score_by(df: DataFrame, *keys: Column) -> DataFrame:
 
 
 def review_by_category_and_lateness(w, categories: tuple[str, ...] = DEFAULT_CONTROL_CATEGORIES) -> DataFrame:
-    df = _reviewed_delivered(_items_products_orders(w)).where(
+    bucket = bands.late_bucket("delivery_vs_estimate_days").alias("bucket")
+    df = _by_product(w, _reviewed_delivered(_items_orders(w)), bucket).where(
         F.col("product_category_name_english").isin(list(categories))
     )
-    return _score_by(
-        df,
-        F.col("product_category_name_english").alias("category"),
-        bands.late_bucket("delivery_vs_estimate_days").alias("bucket"),
-    )
+    return _score_of_products(df, F.col("product_category_name_english").alias("category"), F.col("bucket"))
 
 
 def review_by_weight_and_lateness(w) -> DataFrame:
-    df = _reviewed_delivered(_items_products_orders(w)).where(F.col("product_weight_g").isNotNull())
-    return _score_by(
-        df,
-        bands.weight_band_3("product_weight_g").alias("weight_band"),
-        bands.late_bucket("delivery_vs_estimate_days").alias("bucket"),
-    )
+    bucket = bands.late_bucket("delivery_vs_estimate_days").alias("bucket")
+    df = _by_product(w, _reviewed_delivered(_items_orders(w)), bucket).where(F.col("product_weight_g").isNotNull())
+    return _score_of_products(df, bands.weight_band_3("product_weight_g").alias("weight_band"), F.col("bucket"))
 
 
 def review_by_distance_and_lateness(w) -> DataFrame:
@@ -158,22 +172,20 @@ def late_rate_by_distance(w) -> DataFrame:
 
 
 def late_rate_by_weight(w) -> DataFrame:
-    df = _items_products_orders(w).where(
-        F.col("delivery_vs_estimate_days").isNotNull() & F.col("product_weight_g").isNotNull()
-    )
+    lines = _items_orders(w).where(F.col("delivery_vs_estimate_days").isNotNull())
+    df = _by_product(w, lines).where(F.col("product_weight_g").isNotNull())
     return (
         df.groupBy(bands.weight_band_4("product_weight_g").alias("weight_band"))
-        .agg(F.count(F.lit(1)).alias("items"), _pct_late())
+        .agg(F.sum("items").cast("bigint").alias("items"), _pct_late_of_products())
         .orderBy("weight_band")
     )
 
 
 def late_rate_by_category(w, min_items: int = 1000) -> DataFrame:
-    df = _items_products_orders(w).where(
-        F.col("delivery_vs_estimate_days").isNotNull() & F.col("product_category_name_english").isNotNull()
-    )
+    lines = _items_orders(w).where(F.col("delivery_vs_estimate_days").isNotNull())
+    df = _by_product(w, lines).where(F.col("product_category_name_english").isNotNull())
     g = df.groupBy(F.col("product_category_name_english").alias("category")).agg(
-        F.count(F.lit(1)).alias("items"), _pct_late()
+        F.sum("items").cast("bigint").alias("items"), _pct_late_of_products()
     )
     return g.where(F.col("items") >= min_items).orderBy(F.col("pct_late").desc())
 

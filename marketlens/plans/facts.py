@@ -12,14 +12,9 @@ Join order is chosen for the shuffle budget, not copied from the SQL text:
   partitioned on ``order_id``, which the order-fact join downstream reuses.
   Left joins on unique keys re-associate freely, so the result equals the
   original six-way left-join chain.
-* The zip centroid relation is broadcast behind a size check: its key is a
-  five-digit prefix, so it should never exceed 100,000 rows; the check
-  (``limit(bound + 1).count()``, cheap on a zip-grain aggregate) confirms it
-  on the actual data, and beyond the bound the join is left to the planner
-  (AQE broadcast by runtime size, else a shuffle join).  Product and seller
-  dimensions are always left to AQE, which broadcasts them only when their
-  runtime size is under the threshold and otherwise shuffles (skew-split if
-  a hot product or seller holds a large share of lines).
+* All of these are plain joins: AQE broadcasts a side when its runtime size is
+  under the threshold, and otherwise shuffles (skew-split if a hot product or
+  seller holds a large share of lines).
 """
 
 from __future__ import annotations
@@ -29,6 +24,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.semantics import day_diff, haversine_km, surrogate_key
 
+
 def fct_orders(
     stg_orders: DataFrame,
     dim_customers: DataFrame,
@@ -74,7 +70,9 @@ def fct_order_items(
     stg_orders: DataFrame,
     dim_customers: DataFrame,
     geo: DataFrame,
+    month: str | None = None,
 ) -> DataFrame:
+    """The line fact; with ``month`` also the order's purchase month, under that name."""
     point = geo.select("zip_code_prefix", "latitude", "longitude")
     cgeo = point.select(
         F.col("zip_code_prefix").alias("customer_zip_code_prefix"),
@@ -86,11 +84,12 @@ def fct_order_items(
         F.col("latitude").alias("s_lat"),
         F.col("longitude").alias("s_lng"),
     )
+    months = [F.trunc("order_purchase_timestamp", "month").alias(month)] if month else []
     order_point = (
-        stg_orders.select("order_id", "customer_id")
+        stg_orders.select("order_id", "customer_id", *months)
         .join(dim_customers.select("customer_id", "customer_zip_code_prefix"), "customer_id", "left")
         .join(cgeo, "customer_zip_code_prefix", "left")
-        .select("order_id", "c_lat", "c_lng")
+        .select("order_id", "c_lat", "c_lng", *([month] if month else []))
     )
     seller_point = (
         dim_sellers.select("seller_id", "seller_key", "seller_zip_code_prefix")
@@ -114,4 +113,5 @@ def fct_order_items(
         haversine_km(F.col("c_lat"), F.col("c_lng"), F.col("s_lat"), F.col("s_lng")).alias(
             "customer_seller_distance_km"
         ),
+        *([month] if month else []),
     )

@@ -35,12 +35,7 @@ def int_order_reviews_aggregated(stg_reviews: DataFrame) -> DataFrame:
 
 
 def int_geolocation_deduped(stg_geo: DataFrame) -> DataFrame:
-    """One centroid per zip prefix.
-
-    Size bound: a prefix is five digits, so this relation never exceeds
-    100,000 rows (~5 MB) no matter how large the input grows — which is what
-    makes broadcasting it in the item fact safe.
-    """
+    """One centroid per zip prefix."""
     return stg_geo.groupBy(F.col("geolocation_zip_code_prefix").alias("zip_code_prefix")).agg(
         F.avg("geolocation_lat").alias("latitude"),
         F.avg("geolocation_lng").alias("longitude"),

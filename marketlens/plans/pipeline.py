@@ -7,8 +7,9 @@ an analysis therefore produces one Catalyst plan that spans the whole
 upstream chain, the same way views are inlined into a query.
 
 For production runs, ``write_marts`` materialises the marts as Parquet (the
-"table" materialisation) and ``Warehouse.from_marts`` reads them back, so
-analyses start from stored marts instead of recomputing the facts.
+"table" materialisation, versioned: ``sources.mart_store``) and
+``Warehouse.from_marts`` reads the newest version back, so analyses start from
+stored marts instead of recomputing the facts.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketlens.plans import dims, facts, intermediate, marts, staging
 from marketlens.sources.readers import SourceConfig, read_sources
@@ -39,6 +41,8 @@ MART_NAMES = (
 # the order), so date-window questions prune whole directories at the scan.
 PARTITION_COLUMN = "purchase_month"
 PARTITIONED_MARTS = ("fct_orders", "fct_order_items")
+# ... and bucketed alike by their common key, so they meet without an exchange.
+BUCKET_COLUMN = "order_id"
 
 # Every relation of the model graph in dependency order.
 MODEL_ORDER = (
@@ -83,11 +87,18 @@ class Warehouse:
         return cls(spark, read_sources(spark, cfg))
 
     @classmethod
-    def from_marts(cls, spark: SparkSession, mart_dir: str, sources: dict[str, DataFrame] | None = None) -> "Warehouse":
+    def from_marts(
+        cls, spark: SparkSession, mart_dir: str, sources: dict[str, DataFrame] | None = None, version: int | None = None
+    ) -> "Warehouse":
+        """The published marts under ``mart_dir``: the newest version, or the given one."""
+        from marketlens.sources.mart_store import MartStore
+
+        store = MartStore(spark, mart_dir)
+        manifest = store.manifest(version)  # one manifest for all tables
         stored, partitioned = {}, {}
         for m in MART_NAMES:
-            df = spark.read.parquet(f"{mart_dir.rstrip('/')}/{m}")
-            if PARTITION_COLUMN in df.columns:
+            df = store.read(m, manifest)
+            if manifest["marts"][m]["partition_by"]:
                 partitioned[m] = df
                 df = df.drop(PARTITION_COLUMN)
             stored[m] = df
@@ -182,18 +193,25 @@ class Warehouse:
 
     @cached_property
     def fct_order_items(self) -> DataFrame:
-        return self._mart(
-            "fct_order_items",
-            lambda: facts.fct_order_items(
-                self.stg_order_items,
-                self.dim_products,
-                self.dim_sellers,
-                self.stg_orders,
-                self.dim_customers,
-                self.int_geolocation_deduped,
-            ),
+        return self._mart("fct_order_items", self._build_order_items)
+
+    def _build_order_items(self, month: str | None = None) -> DataFrame:
+        return facts.fct_order_items(
+            self.stg_order_items,
+            self.dim_products,
+            self.dim_sellers,
+            self.stg_orders,
+            self.dim_customers,
+            self.int_geolocation_deduped,
+            month=month,
         )
 
+    def with_month(self, name: str) -> DataFrame:
+        """A fact with the purchase month of the order, built from the sources."""
+        if name == "fct_orders":
+            return self.fct_orders.select("*", F.trunc("order_purchase_timestamp", "month").alias(PARTITION_COLUMN))
+        return self._build_order_items(month=PARTITION_COLUMN)
+
     # -- marts -------------------------------------------------------------
     @cached_property
     def customer_rfm(self) -> DataFrame:
@@ -247,42 +265,26 @@ def write_marts(w: Warehouse, mart_dir: str) -> dict[str, int]:
 
     Marts are written in dependency order and each later mart is built from
     the already written ones, so lineage is cut at every table and a lost
-    executor only costs the table being written.  Returns row counts.
+    executor only costs the table being written.  The new version is published
+    when all marts are written; a refresh that fails leaves the marts as they
+    were (``sources.mart_store``).  Returns row counts.
 
-    The facts are stored by purchase month.  Lines take the month of their
-    order, an ``order_id`` being unique among orders (the check suite tests it);
-    lines without an order, or whose order has no purchase time, have none.
+    The facts are stored by purchase month and bucketed by ``order_id``.  Lines
+    take the month of their order; lines without an order, or whose order has no
+    purchase time, have none.
     """
-    from marketlens.sources.sinks import write_table
+    from marketlens.sources.mart_store import Build, MartStore
 
-    counts: dict[str, int] = {}
     stored: dict[str, DataFrame] = {}
-    partitioned: dict[str, DataFrame] = {}
-    for name in MART_NAMES:
-        current = Warehouse(w.spark, w.sources, stored, partitioned)
-        path = f"{mart_dir.rstrip('/')}/{name}"
-        df = current.relation(name)
-        if name in PARTITIONED_MARTS:
-            df = _with_month(df, partitioned.get("fct_orders"))
-            counts[name] = write_table(df, path, "parquet", name, partition_by=PARTITION_COLUMN)
-            partitioned[name] = w.spark.read.parquet(path)
-            stored[name] = partitioned[name].drop(PARTITION_COLUMN)
-        else:
-            counts[name] = write_table(df, path, "parquet", name)
-            stored[name] = w.spark.read.parquet(path)
-    return counts
-
-
-def _with_month(fact: DataFrame, orders: DataFrame | None) -> DataFrame:
-    """``fact`` with the purchase month: its own, or that of its order in the
-    stored order fact.  The line fact comes partitioned by ``order_id``, so the
-    join moves only the orders."""
-    from pyspark.sql import functions as F
-
-    if "order_purchase_timestamp" in fact.columns:
-        return fact.select("*", F.trunc("order_purchase_timestamp", "month").alias(PARTITION_COLUMN))
-    months = orders.groupBy("order_id").agg(F.min(PARTITION_COLUMN).alias(PARTITION_COLUMN))
-    return fact.join(months, "order_id", "left").select(*fact.columns, PARTITION_COLUMN)
+    with Build(MartStore(w.spark, mart_dir)) as build:
+        for name in MART_NAMES:
+            current = Warehouse(w.spark, w.sources, stored)
+            if name in PARTITIONED_MARTS:
+                df = build.write(name, current.with_month(name), PARTITION_COLUMN, BUCKET_COLUMN)
+                stored[name] = df.drop(PARTITION_COLUMN)
+            else:
+                stored[name] = build.write(name, current.relation(name))
+    return {name: entry["rows"] for name, entry in build.marts.items()}
 
 
 def materialize(w: Warehouse, names=None, root: str | None = None) -> Warehouse:

@@ -90,7 +90,9 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024**2) ->
     about the size of the input) lands near ``target_partition_bytes`` per
     partition; AQE then coalesces small partitions and splits skewed ones.
     The ranking range count follows the person/seller grain, which is a
-    small fraction of the input.  Apply with ``spark.conf.set`` or pass to
+    small fraction of the input.  A stored fact has one file a bucket and
+    month: with buckets of 64 MB for each of a hundred months, files stay large
+    enough at any size.  Apply with ``spark.conf.set`` or pass to
     the session builder; ``spark.checkpoint.dir`` must still name shared
     storage.
     """
@@ -104,4 +106,5 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024**2) ->
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024**2),
         "marketlens.ranking.partitions": str(max(8, shuffle // 8)),
+        "marketlens.store.buckets": str(max(8, int(input_bytes) // (100 * 64 * 1024**2))),
     }

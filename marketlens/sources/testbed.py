@@ -3,7 +3,7 @@
 The test data is a different star schema (orders / lineitem / part /
 supplier / customer / nation / region) without payments, reviews or
 geolocation.  This adapter derives them with integer arithmetic only, so the
-Spark form here and the SQL form in ``marketlens.oracle`` give identical rows.
+Spark form here and the SQL form in ``duckdb_twins`` give identical rows.
 
 Everything is a DataFrame transformation over the whole tables: joins on keys,
 one aggregation (payments), one per-order window (line renumbering) and
@@ -13,6 +13,8 @@ computed as integers and emitted as strings, as the source schemas require.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -76,18 +78,32 @@ def _items_numeric(t: dict[str, DataFrame]) -> DataFrame:
 _MEMO_ATTR = "_marketlens_testbed_plans"
 
 
+def table_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Folder and digest of names, sizes and times of all files of the tables."""
+    digest = hashlib.sha256()
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for table in TESTBED_TABLES:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+        files = path.getFileSystem(conf).listFiles(path, True)
+        found = []
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        digest.update(repr(sorted(found)).encode())
+    return sf_dir, digest.hexdigest()
+
+
 def testbed_sources(spark: SparkSession, sf_dir: str, reuse: bool = True) -> dict[str, DataFrame]:
     """The nine sources as lazy DataFrames over the test tables.
 
-    The plans (not data) are memoised per session and list of files: building
+    The plans (not data) are memoised per session and state of the files: building
     them costs thousands of JVM round trips, and every query of a session
-    would otherwise rebuild the identical plan.  Files that are added later
-    make another list, and so another plan; execution reads the tables each
-    time.
+    would otherwise rebuild the identical plan.  Files that are added, changed
+    or gone make another key, and so another plan; execution reads the tables
+    each time.  The files are listed by the file system; no table is opened.
     """
     folder = sf_dir.rstrip("/")
-    files = sorted(f for t in read_tables(spark, folder).values() for f in t.inputFiles())
-    key = (folder, *files)
+    key = table_state(spark, folder)
     memo = spark.__dict__.setdefault(_MEMO_ATTR, {}) if reuse else {}
     if key not in memo:
         memo[key] = _build_testbed_sources(spark, folder)

@@ -94,7 +94,7 @@ def test_csv_extract_end_to_end(warehouse, scratch):
 
 
 def test_build_runs_marts_checks_and_export(warehouse, scratch):
-    from marketlens.plans.pipeline import MART_NAMES, build
+    from marketlens.plans.pipeline import MART_NAMES, Warehouse, build
 
     from marketlens.session import scratch_mark
 
@@ -104,7 +104,7 @@ def test_build_runs_marts_checks_and_export(warehouse, scratch):
     assert [w["check_name"] for w in out["warnings"]] == ["assert_payment_matches_order_value"]
     assert out["exported"]["csv"]["fct_orders"] == out["marts"]["fct_orders"]
     assert scratch_mark(warehouse.spark) == before  # its intermediate tables are gone
-    assert warehouse.spark.read.parquet(f"{scratch}/marts/customer_rfm").count() == out["marts"]["customer_rfm"]
+    assert Warehouse.from_marts(warehouse.spark, f"{scratch}/marts").customer_rfm.count() == out["marts"]["customer_rfm"]
 
 
 def test_parquet_extract_end_to_end(warehouse, scratch):
@@ -171,16 +171,20 @@ def test_large_csv_is_split_but_reviews_keep_line_breaks(spark, warehouse, scrat
     assert row.review_comment_message == 'one\ntwo "quoted"' and row.review_answer_timestamp.microsecond == 500000
 
 
-def test_stored_facts_have_few_files_a_month(spark, warehouse, scratch):
+def test_stored_facts_have_one_file_a_bucket_and_month(spark, warehouse, scratch):
     from marketlens.plans.pipeline import write_marts
+    from marketlens.sources.mart_store import BUCKETS_CONF, MartStore
 
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    settings = {"spark.sql.shuffle.partitions": "32", BUCKETS_CONF: "2"}
+    old = {k: spark.conf.get(k, None) for k in settings}
     try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
         write_marts(warehouse, scratch)
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     for name in ("fct_orders", "fct_order_items"):
-        stored = spark.read.parquet(f"{scratch}/{name}")
+        stored = MartStore(spark, scratch).read(name)
         months = stored.select("purchase_month").distinct().count()
         assert len(stored.inputFiles()) <= 2 * months
