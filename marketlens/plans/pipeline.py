@@ -299,7 +299,6 @@ def materialize(w: Warehouse, names=None, root: str | None = None) -> Warehouse:
     import uuid
 
     from marketlens.session import checkpoint_root, track_scratch
-    from marketlens.sources.sinks import write_table
 
     wanted = set(MODEL_ORDER if names is None else names)
     base = root or track_scratch(w.spark, f"{checkpoint_root(w.spark)}/marketlens-tables-{uuid.uuid4().hex[:12]}")
@@ -309,7 +308,7 @@ def materialize(w: Warehouse, names=None, root: str | None = None) -> Warehouse:
             continue
         current = Warehouse(w.spark, w.sources, stored)
         path = f"{base}/{name}"
-        write_table(current.relation(name), path, "parquet", name)
+        current.relation(name).write.mode("overwrite").parquet(path)
         stored[name] = w.spark.read.parquet(path)
     return Warehouse(w.spark, w.sources, stored)
 

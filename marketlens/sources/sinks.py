@@ -8,12 +8,18 @@
   from the written Parquet, so the mart is computed once and the second
   write does not depend on cached blocks that a lost executor would take
   with it.
-* Parquet keeps every type (timestamps, decimals, text keys and zip
-  prefixes); CSV readers must re-apply the schema — ``read_export`` does.
+* Beside each table lies ``<name>.<fmt>.schema.json``: its schema, rows and, for
+  each column, the number of values and an order-independent checksum, gathered
+  by the same ``Observation``.  ``read_export`` takes the types of a CSV from
+  there and fails on bad rows; ``verify_export`` reads the table and compares.
+* CSV is lossless: white space is kept, nulls and empty texts stay apart, and a
+  table whose texts hold line breaks is read back as such (then unsplit).
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +29,9 @@ CSV_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",  # the fraction is kept
     "dateFormat": "yyyy-MM-dd",
     "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "lineSep": "\n",
 }
 FORMATS = ("parquet", "csv")
 
@@ -31,20 +40,66 @@ def _path(out_dir: str, name: str, fmt: str) -> str:
     return f"{out_dir.rstrip('/')}/{name}.{fmt}"
 
 
-def write_table(df: DataFrame, path: str, fmt: str, name: str = "table", partition_by: str | None = None) -> int:
-    obs = Observation(f"export_{name}_{fmt}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
-        # rows of a partition value go to few tasks, by size, so that each writes few files
-        observed = observed.hint("rebalance", partition_by)
-    writer = observed.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
+class ExportMismatch(RuntimeError):
+    """A stored export does not hold what was written."""
+
+
+def _figures(df: DataFrame) -> list:
+    """Aggregates over a table: rows, and for column i its values (``v<i>``) and
+    the sum of their 64-bit hashes (``s<i>``), whatever the rows' order."""
+    out = [F.count(F.lit(1)).alias("rows")]
+    for i, name in enumerate(df.columns):
+        c = F.col(f"`{name}`")
+        out += [F.count(c).alias(f"v{i}"), F.coalesce(F.sum(F.when(c.isNotNull(), F.xxhash64(c).cast("decimal(38,0)"))), F.lit(0).cast("decimal(38,0)")).alias(f"s{i}")]
+    return out
+
+
+def column_checksums(df: DataFrame) -> DataFrame:
+    """One row a column: column_name, n_rows, n_values and the checksum."""
+    columns = [F.struct(F.lit(c).alias("column_name"), F.col("rows").alias("n_rows"), F.col(f"v{i}").alias("n_values"), F.col(f"s{i}").alias("checksum")) for i, c in enumerate(df.columns)]
+    return df.agg(*_figures(df)).select(F.explode(F.array(*columns)).alias("c")).select("c.*")
+
+
+def write_table(df: DataFrame, path: str, fmt: str, name: str = "table") -> int:
+    """Write a table and, beside it, its schema file; returns the rows."""
     if fmt not in FORMATS:
         raise ValueError(f"{fmt!r} is none of {', '.join(FORMATS)}")
-    options = CSV_OPTIONS if fmt == "csv" else {}
-    writer.format(fmt).options(**options).save(path)
-    return int(obs.get["rows"])
+    texts = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    breaks = F.coalesce(F.max(F.greatest(F.lit(False), *[F.coalesce(c.rlike("[\r\n]"), F.lit(False)) for c in texts])), F.lit(False)) if texts else F.max(F.lit(False))
+    obs = Observation(f"export_{name}_{fmt}")
+    observed = df.observe(obs, *_figures(df), breaks.alias("breaks"))
+    observed.write.mode("overwrite").format(fmt).options(**(CSV_OPTIONS if fmt == "csv" else {})).save(path)
+    found = obs.get
+    columns = {c: {"values": int(found[f"v{i}"]), "checksum": str(found[f"s{i}"])} for i, c in enumerate(df.columns)}
+    _write_text(df.sparkSession, f"{path}.schema.json", json.dumps({
+        "schema": df.schema.jsonValue(), "rows": int(found["rows"]), "columns": columns, "line_breaks": bool(found["breaks"]),
+    }, indent=1))
+    return int(found["rows"])
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _hadoop_path(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def export_marts(
@@ -74,12 +129,41 @@ def export_marts(
     return counts
 
 
+def export_entry(spark: SparkSession, out_dir: str, name: str, fmt: str) -> dict | None:
+    """What the schema file of an exported table says; None without one."""
+    text = _read_text(spark, f"{_path(out_dir, name, fmt)}.schema.json")
+    return None if text is None else json.loads(text)
+
+
 def read_export(
     spark: SparkSession, out_dir: str, name: str, fmt: str = "parquet", schema: T.StructType | None = None
 ) -> DataFrame:
+    """An exported table.  A CSV's types come from its schema file, or from
+    ``schema``; a row that does not fit them fails the read."""
     path = _path(out_dir, name, fmt)
     if fmt == "parquet":
         return spark.read.parquet(path)
+    entry = export_entry(spark, out_dir, name, fmt)
     if schema is None:
-        raise ValueError("CSV exports carry no types: pass the mart schema")
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+        if entry is None:
+            raise ValueError("CSV carries no types, and there is no schema file: pass the mart schema")
+        schema = T.StructType.fromJson(entry["schema"])
+    # an unquoted empty field takes this value, and is null; a quoted one is an empty text
+    options = CSV_OPTIONS | {"nullValue": "\u0000", "mode": "FAILFAST", "enforceSchema": "false", "multiLine": str(bool(entry and entry["line_breaks"])).lower()}
+    return spark.read.schema(schema).options(**options).csv(path)
+
+
+def verify_export(spark: SparkSession, out_dir: str, name: str, fmt: str = "parquet") -> int:
+    """Read an exported table and compare it with its schema file, column by
+    column; returns the rows, raises ``ExportMismatch`` where they differ."""
+    entry = export_entry(spark, out_dir, name, fmt)
+    if entry is None:
+        raise ExportMismatch(f"{name}.{fmt} has no schema file")
+    back = read_export(spark, out_dir, name, fmt)
+    if back.schema.simpleString() != T.StructType.fromJson(entry["schema"]).simpleString():
+        raise ExportMismatch(f"{name}.{fmt}: columns or types differ: {back.schema.simpleString()}")
+    found = {r.column_name: r for r in column_checksums(back).collect()}  # a row a column
+    wrong = [c for c, e in entry["columns"].items() if (found[c].n_rows, found[c].n_values, str(found[c].checksum)) != (entry["rows"], e["values"], e["checksum"])]
+    if wrong:
+        raise ExportMismatch(f"{name}.{fmt}: {', '.join(wrong)} differ")
+    return entry["rows"]

@@ -188,3 +188,48 @@ def test_stored_facts_have_one_file_a_bucket_and_month(spark, warehouse, scratch
         stored = MartStore(spark, scratch).read(name)
         months = stored.select("purchase_month").distinct().count()
         assert len(stored.inputFiles()) <= 2 * months
+
+
+def test_export_is_provable(spark, scratch):
+    """Odd texts, types and nulls come back from CSV as they were, with the
+    types of the schema file; any change is noticed."""
+    import datetime as dt
+    from decimal import Decimal
+
+    import pytest
+
+    from marketlens.sources.sinks import ExportMismatch, export_entry, read_export, verify_export, write_table
+
+    rows = [
+        (1, " a ", 0.1, Decimal("1.10"), dt.datetime(2020, 1, 2, 3, 4, 5, 600), dt.date(2020, 1, 2)),
+        (2, "", 1e-300, Decimal("-2.00"), None, None),
+        (3, None, None, None, dt.datetime(1970, 1, 1), dt.date(1, 1, 1)),
+        (4, 'x "y", \\ z', -0.0, Decimal("0.00"), None, None),
+        (5, "two\nlines\r\n", 1 / 3, None, None, None),
+        (5, "two\nlines\r\n", 1 / 3, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "i long, t string, d double, m decimal(18,2), ts timestamp_ntz, day date").repartition(3)
+    for fmt in ("parquet", "csv"):
+        assert write_table(df, f"{scratch}/odd.{fmt}", fmt) == 6 == verify_export(spark, scratch, "odd", fmt)
+        back = read_export(spark, scratch, "odd", fmt)
+        assert back.dtypes == df.dtypes
+        assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+    entries = [export_entry(spark, scratch, "odd", f) for f in ("parquet", "csv")]
+    assert entries[0] == entries[1] and entries[0]["line_breaks"]
+    # the same number of rows and keys, one value changed
+    wrong = df.selectExpr("i", "t", "if(i = 2, 2e-300, d) as d", "m", "ts", "day")
+    path = f"{scratch}/odd.csv"
+    note = export_entry(spark, scratch, "odd", "csv")
+    write_table(wrong, path, "csv")
+    from marketlens.sources import sinks
+
+    import json
+
+    sinks._write_text(spark, f"{path}.schema.json", json.dumps(note))
+    with pytest.raises(ExportMismatch, match="d differ"):
+        verify_export(spark, scratch, "odd", "csv")
+    sinks._write_text(spark, f"{path}.schema.json", json.dumps(note | {"schema": df.selectExpr("i", "cast(t as long) t", "d", "m", "ts", "day").schema.jsonValue()}))
+    with pytest.raises(Exception):  # a text where the schema says number
+        read_export(spark, scratch, "odd", "csv").collect()
+    with pytest.raises(ExportMismatch, match="no schema file"):
+        verify_export(spark, scratch, "nothing", "csv")
