@@ -12,7 +12,11 @@ other lines stay as they are and in order.
 
 A line may be in a third of all documents: lines are counted with map-side
 partial sums, and the join of documents' lines with removed lines is an
-equi-join that adaptive execution splits where it is skewed.
+equi-join that adaptive execution splits where it is skewed.  Rows are written
+once with their figures and line hashes (and their columns, where texts are
+wanted); from then on only hashes and the places of removed lines travel.  These
+places are broadcast if they take at most ``BROADCAST_BYTES``, as counted before,
+and else meet the rows in a shuffled join; the rows are the same.
 
 Null texts count as empty and fail the base rules; a null source is a host of
 its own; rows without doc_id are left out; repeated rows all stay; an empty
@@ -27,8 +31,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 LINE_DOCS, KEPT_SHARE = 20, 0.3
-LINE_SHARE = 0.0  # no share of the host: its other documents don't matter
-LINE_CHARS = float("inf")  # lines of every length count
+BROADCAST_BYTES = 32 << 20
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
 _SPACES = "[\\x20\\x09-\\x0D]+"
 _BLANK = " \t\n\x0b\f\r"
@@ -53,14 +56,20 @@ def _from(values: Column, skipped: int) -> Column:
     return F.slice(values, F.lit(skipped + 1), F.greatest(F.size(values), F.lit(1)))
 
 
-def base_figures(docs: DataFrame) -> DataFrame:
-    """doc_id, source, text_hash, n_words, word_chars, n_symbols, n_dup_lines,
-    windows (hashes; null where no window repeats) and lines (hash,
-    length and place among all lines, from 1, of each line with a word)."""
+def base_figures(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """row (a number of its own), given (struct of these columns), text_key (hash
+    of host and text), doc_id, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, line_chars and lines (hash of host and line, length and
+    place among all lines, from 1, of each line with a word)."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    host = F.col("source").cast("string")
+    host = F.xxhash64(host.isNull(), F.coalesce(host, F.lit("")))
+    given = [F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in columns)).alias("given")] if columns else []
     out = docs.where(F.col("doc_id").isNotNull()).select(
+        F.monotonically_increasing_id().alias("row"),
+        *given,
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("source").cast("string").alias("source"),
+        host.alias("host"),
         text.alias("text"),
         words_of(text).alias("words"),
         F.filter(
@@ -73,65 +82,66 @@ def base_figures(docs: DataFrame) -> DataFrame:
     # 8 words can only repeat where 4 do; most texts need no more than that
     some = F.size(F.array_distinct("quads")) < F.size("quads")
     out = out.withColumn("windows", F.when(some, window_hashes(F.col("quads"))))
+    some = F.size(F.array_distinct("windows")) < F.size("windows")
+    placed = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("at")))
+    out = out.withColumn("sorted", F.when(some, F.sort_array(placed))).withColumn("again", repeated_places(F.col("sorted")))
     line = lambda x: F.lower(F.regexp_replace(F.btrim(x, F.lit(_BLANK)), _SPACES, " "))
     return out.select(
+        "row",
+        *(["given"] if columns else []),
         "doc_id",
-        "source",
-        F.xxhash64("text").alias("text_hash"),
+        F.xxhash64("host", "text").alias("text_key"),
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("text", "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         (F.size("all_lines") - F.size(F.array_distinct("all_lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.col("windows")).alias("windows"),
+        F.coalesce(covered_words(F.col("again")), F.lit(0).cast("long")).alias("n_repeat_words"),
+        F.length(F.array_join("all_lines", "")).cast("long").alias("line_chars"),
         F.transform(
             "placed",
-            lambda p: F.struct(F.xxhash64(line(p["x"])).alias("line"), F.length(p["x"]).alias("chars"), p["at"].alias("at")),
+            lambda p: F.struct(F.xxhash64("host", line(p["x"])).alias("line"), F.length(p["x"]).alias("chars"), p["at"].alias("at")),
         ).alias("lines"),
     )
 
 
-def repeated_words(base: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n_repeat_words of the documents with a repeated window."""
-    key = ["doc_id", "text_hash"]
-    windows = base.where(F.col("windows").isNotNull()).select(*key, F.posexplode("windows").alias("place", "h"))
-    found = windows.groupBy(*key, "h").agg(F.collect_set("place").alias("places")).where(F.size("places") > 1)
-    places = found.groupBy(*key).agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("at"))
-    following = F.slice("at", F.lit(2), F.size("at"))
-    covered = F.zip_with("at", following, lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW))))
-    return places.select(*key, F.aggregate(covered, F.lit(0).cast("long"), lambda s, x: s + x).alias("n_repeat_words"))
+def repeated_places(windows: Column) -> Column:
+    """Ascending places of the windows (h, at), sorted, whose hash a neighbour has too."""
+    same = F.zip_with(windows, _from(windows, 1), lambda a, b: F.coalesce(a["h"] == b["h"], F.lit(False)))
+    before = F.concat(F.array(F.lit(False)), same)
+    either = F.zip_with(windows, F.zip_with(same, before, lambda a, b: a | F.coalesce(b, F.lit(False))), lambda w, d: F.when(d, w["at"]))
+    return F.sort_array(F.filter(either, lambda at: at.isNotNull()))
+
+
+def covered_words(at: Column) -> Column:
+    """Words covered by windows at these ascending places."""
+    covered = F.zip_with(at, _from(at, 1), lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW))))
+    return F.aggregate(covered, F.lit(0).cast("long"), lambda s, x: s + F.coalesce(x, F.lit(0)))
 
 
 def frequent_lines(base: DataFrame) -> DataFrame:
-    """(source, line) above the limit, null sources as the empty string."""
-    host = F.coalesce(F.col("source"), F.lit("")).alias("host")
-    texts = base.select(host, "text_hash", "lines").dropDuplicates(["host", "text_hash"])
-    lines = texts.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
-    return lines.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > LINE_DOCS).select("host", "line")
-
-
-def verdicts(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_hash, host, all figures and
-    removed_at (places of the removed lines in order, null for none)."""
-    base = stored(base_figures(docs), "line-base")
-    key = ["doc_id", "text_hash"]
-    host = F.coalesce(F.col("source"), F.lit("")).alias("host")
-    own = base.select(*key, host, "lines").dropDuplicates([*key, "host"])
-    own = own.select(*key, "host", F.explode("lines").alias("x")).select(*key, "host", "x.line", "x.chars", "x.at")
-    own = own.groupBy(*key, "host", "line").agg(F.sum("chars").alias("chars"), F.collect_list("at").alias("at"))
-    removed = (
-        own.join(frequent_lines(base), ["host", "line"])
-        .groupBy(*key, "host")
-        .agg(F.sum("chars").alias("removed_chars"), F.array_sort(F.flatten(F.collect_list("at"))).alias("removed_at"))
-    )
-    zero = F.lit(0).cast("long")
-    out = (
-        base.withColumn("host", host)
-        .join(repeated_words(base), key, "left")
-        .join(removed, [*key, "host"], "left")
-        .withColumn("n_repeat_words", F.coalesce("n_repeat_words", zero))
-        .withColumn("removed_chars", F.coalesce("removed_chars", zero))
-        .withColumn("line_chars", F.aggregate("lines", zero, lambda s, x: s + x["chars"]))
-    )
+    """Hashes (of host and line) above the limit."""
+    texts = base.select("text_key", F.array_distinct(F.transform("lines", lambda x: x["line"])).alias("lines"))
+    lines = texts.dropDuplicates(["text_key"]).select(F.explode("lines").alias("line"))
+    return lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") > LINE_DOCS).select("line")
+
+
+def removed_lines(base: DataFrame) -> DataFrame:
+    """row, removed_chars and removed_at (places in order) of the rows with a
+    frequent line; broadcast where small."""
+    own = base.select("row", F.inline("lines"))
+    found = own.join(frequent_lines(base), "line").groupBy("row")
+    found = found.agg(F.sum("chars").alias("removed_chars"), F.sort_array(F.collect_list("at")).alias("removed_at"))
+    found = stored(found, "line-removed")
+    n_rows, n_places = found.agg(F.count("*"), F.coalesce(F.sum(F.size("removed_at")), F.lit(0))).first()
+    return F.broadcast(found) if 80 * n_rows + 4 * n_places <= BROADCAST_BYTES else found
+
+
+def verdicts(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per row of ``docs``: its ``columns`` as struct ``given``, doc_id,
+    all figures and removed_at (places of the removed lines in order, null for none)."""
+    base = stored(base_figures(docs, columns), "line-base")
+    out = base.drop("lines", "text_key").join(removed_lines(base.drop("given")), "row", "left")
+    out = out.withColumn("removed_chars", F.coalesce("removed_chars", F.lit(0).cast("long")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     depleted = (F.col("line_chars") - F.col("removed_chars")) < KEPT_SHARE * F.col("line_chars")
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
@@ -146,14 +156,6 @@ def without_lines(text: Column, at: Column) -> Column:
     return F.when(at.isNull(), text).otherwise(F.array_join(F.flatten(runs), "\n"))
 
 
-def _marked(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """``docs`` as a struct ``_row``, joined with the verdicts on their texts."""
-    own = [F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))), F.coalesce(F.col("source").cast("string"), F.lit(""))]
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), *(c.alias(k) for c, k in zip(own, ["doc_id", "text_hash", "host"])))
-    key = ["doc_id", "text_hash", "host"]
-    return rows.join(found.dropDuplicates(key), key, how)
-
-
 def judged(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, line_chars, removed_chars; with ``with_text`` also
@@ -162,27 +164,26 @@ def judged(docs: DataFrame, with_text: bool = False) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "line_chars", "removed_chars",
     ]
-    found = verdicts(docs)
     if not with_text:
-        return found.select(*figures)
-    text = without_lines(F.coalesce("_row.text", F.lit("")), F.col("removed_at"))
-    return _marked(docs.select("doc_id", "text", "source"), found, "inner").select(*figures, F.when(F.col("kept"), text).alias("kept_text"))
+        return verdicts(docs, []).select(*figures)
+    text = without_lines(F.coalesce("given.text", F.lit("")), F.col("removed_at"))
+    return verdicts(docs, ["text"]).select(*figures, F.when(F.col("kept"), text).alias("kept_text"))
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns; ``text`` is
     without the removed lines, and ``n_chars``, if there is one, is counted anew
-    where lines went.  Where rows share a doc_id, each text is judged by itself."""
-    rows = _marked(docs, verdicts(docs).where("kept").select("doc_id", "text_hash", "host", "removed_at"), "inner")
+    where lines went.  Where rows share a doc_id, each row is judged by itself."""
+    rows = verdicts(docs, docs.columns).where("kept")
     gone = F.col("removed_at")
     types = dict(docs.dtypes)
 
     def column(name: str) -> Column:
-        old = F.col("_row").getField(name)
+        old = F.col("given").getField(name)
         if name == "text":
             return without_lines(old, gone).alias(name)
         if name == "n_chars":
-            left = F.length(without_lines(F.col("_row.text"), gone)).cast(types[name])
+            left = F.length(without_lines(F.col("given.text"), gone)).cast(types[name])
             return F.when(gone.isNull(), old).otherwise(left).alias(name)
         return old.alias(name)
 

@@ -18,12 +18,10 @@ def brute_rules(rows):
     lines = {}
     for d, t, s in rows:
         lines[d, t, s] = [x for x in (t or "").split("\n") if SPACE.search(x)]
-    texts, counts = defaultdict(set), defaultdict(set)
+    counts = defaultdict(set)
     for (d, t, s), ls in lines.items():
-        texts[s or ""].add(t or "")
         for x in ls:
-            if len(x) <= line_rules.LINE_CHARS:
-                counts[s or "", norm(x)].add(t or "")
+            counts[s, norm(x)].add(t or "")
     out = []
     for d, t, s in rows:
         t_ = t or ""
@@ -34,10 +32,7 @@ def brute_rules(rows):
         hit = {j for places in where.values() if len(places) > 1 for i in places for j in range(i, i + 8)}
         ls = lines[d, t, s]
         failed = len(w) < 20 or 100 * len(hit) > 30 * len(w)
-        hot = lambda x: (
-            len(x) <= line_rules.LINE_CHARS
-            and len(counts[s or "", norm(x)]) > max(line_rules.LINE_DOCS, line_rules.LINE_SHARE * len(texts[s or ""]))
-        )
+        hot = lambda x: len(counts[s, norm(x)]) > line_rules.LINE_DOCS
         removed = sum(len(x) for x in ls if hot(x))
         total = sum(map(len, ls))
         out.append((
@@ -57,6 +52,10 @@ def rule_rows(corpus):
         menu += " please  LOG in to see prices and stock for all of our shops\n" * rng.randrange(2)
         extra = " ".join(rng.choice("abcdefgh") + str(rng.randrange(99)) for _ in range(rng.choice([8, 90])))
         rows.append((5000 + i, menu + extra, "a"))
+    for i in range(51):  # one line in 15 texts of no host, 15 of the empty one, 21 of c
+        host = None if i < 15 else "" if i < 30 else "c"
+        words = " ".join(f"{rng.choice('klmnop')}{rng.randrange(999)}" for _ in range(40))
+        rows.append((6000 + i, f"{words}\nSubscribe to our letter of the week\n{words[::-1]}", host))
     rows += [(7000, "one two three\n" * 60, "a"), (7001, "\t\n \x0b", "a"), (7002, "x " * 20000, "b"), rows[0], rows[3], rows[3]]
     rows.append((rows[1][0], "another text under the same id " * 3, "a"))
     return rows
@@ -68,9 +67,26 @@ def test_rules_match_brute_force(spark, rule_rows):
     want = brute_rules(rule_rows)
     assert sorted(tuple(r) for r in line_rules.judged(docs).collect()) == want
     assert any(r[-1] and not r[7] and not r[6] for r in want), "no depleted document in the fixture"
+    lost = {r[0]: r[9] for r in want if 6000 <= r[0] < 6051}
+    assert {d for d, n in lost.items() if n} == set(range(6030, 6051)), "only c has the line in more than 20 texts"
     kept = line_rules.kept_documents(docs)
     assert kept.columns == docs.columns
-    assert Counter(r.doc_id for r in kept.collect()) == Counter(r[0] for r in want if r[7])
+    got = kept.collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in want if r[7])
+    given = {d: t for d, t, _ in rule_rows}
+    letter = "\nSubscribe to our letter of the week"
+    for r in got:
+        if 6000 <= r.doc_id < 6051:
+            assert r.text == (given[r.doc_id].replace(letter, "") if r.doc_id >= 6030 else given[r.doc_id])
+
+
+def test_rules_without_broadcast(spark, rule_rows, monkeypatch):
+    docs = spark.createDataFrame(rule_rows, "doc_id long, text string, source string").repartition(4)
+    want = sorted(map(tuple, line_rules.judged(docs, with_text=True).drop("kept_text").collect()))
+    monkeypatch.setattr(line_rules, "BROADCAST_BYTES", -1)
+    got = line_rules.judged(docs, with_text=True).collect()
+    assert sorted(tuple(r)[:-1] for r in got) == want == brute_rules(rule_rows)
+    assert all((r.kept_text is None) != r.kept for r in got)
 
 
 def test_rules_on_nothing(spark, empty):
