@@ -5,11 +5,10 @@ K-mers are ``K`` consecutive words, labelled by their occurrence in the text
 labelled k-mers of smallest hash are taken and put in the order in which they
 stand in the text; texts that agree in one such tuple are candidates.  Unlike a
 set sketch this depends on the order of the words, so agreement follows the
-edit similarity.  Candidates are verified twice: the Jaccard similarity of
-their sets of K-word shingles, and the similarity 1 - d / max(n, m) with the
-edit distance d of the word sequences, found by an alignment inside a band that
-is widened up to the largest distance allowed.  Both must reach ``SIMILARITY``
-to make a link; classes are the connected components, named by their smallest
+edit similarity.  Candidates are verified by the similarity 1 - d / max(n, m)
+with the edit distance d of the word sequences, found by an alignment inside a
+band that is widened up to the largest distance allowed.  ``SIMILARITY`` or more
+makes a link; classes are the connected components, named by their smallest
 doc_id.
 
 Equal texts are put together first, so a text with many copies is one text in
@@ -18,11 +17,13 @@ are compared.  In a larger one each is first compared with the ``LEADERS`` texts
 that share most tuples with others, and with its predecessor by length; this
 joins most near copies of one text at a fixed number of pairs a text.  What is
 left are groups whose texts lie in several components.  Their texts are compared
-exactly (``open_pairs``): under one order of all shingles, with those of a single
-component first and then the rarest, two texts of the wanted similarity share one
-of their first shingles, so every pair across components that may be a link is
-tested, and no pair without such a shingle is made.  A text of which more than a
-fifth is found in its own component alone needs no comparison at all.  Links stay
+exactly (``open_pairs``): an edit changes at most two pairs of neighbouring words,
+so texts of the wanted similarity have three fifths of their word pairs (labelled
+by occurrence) in common, up to one.  Under one order of all word pairs, with those
+of a single component first and then the rarest, they share one of their first
+two fifths, so every pair of texts across components that may be a link is tested,
+and no pair without such a word pair is made.  A text with more than two fifths of
+its word pairs in its own component alone needs no comparison at all.  Links stay
 on the cluster, and components are found by repeated star contraction, written to
 the shared folder each round.
 
@@ -144,23 +145,14 @@ def _distances(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> list[in
     return out.tolist()
 
 
-def shingles(words: np.ndarray) -> np.ndarray:
-    """Distinct hashes of K neighbouring words (of all words if fewer)."""
+def word_pairs(words: np.ndarray) -> np.ndarray:
+    """Hashes of all pairs of neighbouring words (of the word, if there is but
+    one), labelled by occurrence, so that all differ."""
     sums = sy.prefix_sums(sy.mix(words.astype(np.uint64) + np.uint64(1)))
-    at = np.arange(max(len(words) - K, 0) + 1)
-    return np.unique(sy.span_hash(sums, at, np.minimum(at + K, len(words))))
-
-
-def verified_links(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> list[bool]:
-    """Whether shingles and alignment both reach ``similarity``, for each pair
-    of word-hash sequences."""
-    alike = []
-    for a, b in pairs:
-        x, y = shingles(a), shingles(b)
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        alike.append(common >= (len(x) + len(y) - common) * similarity - 1e-9)
-    some = iter(edit_links([p for p, ok in zip(pairs, alike) if ok], similarity))
-    return [ok and next(some) for ok in alike]
+    at = np.arange(max(len(words) - 2, 0) + 1)
+    pair = np.sort(sy.span_hash(sums, at, np.minimum(at + 2, len(words))))
+    begin = np.maximum.accumulate(np.where(np.append(True, pair[1:] != pair[:-1]), at, 0))
+    return np.sort(sy.mix(pair + (at - begin).astype(np.uint64) * np.uint64(0xD1342543DE82EF95)))
 
 
 def edit_links(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> list[bool]:
@@ -208,7 +200,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
         for batch in batches:
             a, b = batch.column("wa"), batch.column("wb")
             read = lambda x: np.frombuffer(x.as_buffer(), "<u4").astype(np.int64)
-            linked = verified_links([(read(x), read(y)) for x, y in zip(a, b)], similarity)
+            linked = edit_links([(read(x), read(y)) for x, y in zip(a, b)], similarity)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked)], ["a", "b", "linked"])
 
     left = texts.select(F.col("rep").alias("a"), F.col("words").alias("wa"))
@@ -289,8 +281,8 @@ def _linked(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
 
 def open_pairs(large: DataFrame, roots: DataFrame, words: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs (a, b) of texts of large groups, in different components (``roots``:
-    node, root), that may have the shingle similarity: all that have it, and
-    few others."""
+    node, root), that may have the edit similarity: all that have it, and few
+    others."""
     rooted = large.select(*GROUP, "rep").join(roots, F.col("rep") == F.col("node"), "left")
     rooted = stored(rooted.select(*GROUP, "rep", F.coalesce("root", "rep").alias("root")), "rooted")
     several = rooted.groupBy(*GROUP).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
@@ -298,26 +290,30 @@ def open_pairs(large: DataFrame, roots: DataFrame, words: DataFrame, similarity:
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(np.frombuffer(w.as_buffer(), "<u4")).view(np.int64) for w in batch.column(2)]
+            sets = [word_pairs(np.frombuffer(w.as_buffer(), "<u4")).view(np.int64) for w in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))], ["rep", "root", "grams"])
 
+    def common(n):  # texts of n word pairs have at least so many in common with similar ones
+        return F.greatest(F.ceil((2 * similarity - 1) * (n + 1) - 1 - 1e-9), F.lit(1))
+
     grams = words.join(waiting, "rep").select("rep", "root", "words").mapInArrow(run, "rep long, root long, grams array<long>")
     grams = stored(grams, "grams").withColumn("n", F.size("grams"))
     each = grams.select("rep", "root", "n", F.explode("grams").alias("gram"))
     shared = each.groupBy("gram").agg(F.count("*").alias("texts"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     met = each.join(shared.where("lo < hi").select("gram", "texts"), "gram")
-    # the order of all shingles: those of one component, then by number of texts, then by hash
+    # the order of all word pairs: those of one component, then by number of texts, then by hash
     met = met.groupBy("rep", "root", "n").agg(F.array_sort(F.collect_list(F.struct("texts", "gram"))).alias("met"))
     own = F.col("n") - F.size("met")
-    first = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1  # so many first shingles must meet
+    first = F.col("n") - common(F.col("n")) + 1  # so many first word pairs must meet
     met = met.withColumn("own", own).withColumn("first", (first - own).cast("int")).where("first > 0")
     ahead = met.select("rep", "root", "n", "own", F.posexplode(F.slice("met", F.lit(1), F.col("first"))).alias("place", "x"))
-    # ``rest``: shingles from this one on, the most that can be common where it is the first in common
+    # ``rest``: word pairs from this one on, the most that can be common where it is the first in common
     ahead = ahead.select(F.col("x.gram").alias("gram"), "rep", "root", "n", (F.col("n") - F.col("own") - F.col("place")).alias("rest"))
     ahead = stored(ahead, "ahead")
     one = ahead.select("gram", *(F.col(c).alias(f"a_{c}") for c in ("rep", "root", "n", "rest")))
     two = ahead.select("gram", *(F.col(c).alias(f"b_{c}") for c in ("rep", "root", "n", "rest")))
-    enough = F.least("a_rest", "b_rest") >= (F.col("a_n") + F.col("b_n")) * (similarity / (1 + similarity)) - 1e-6
+    longer, shorter = F.greatest("a_n", "b_n"), F.least("a_n", "b_n")
+    enough = (F.least("a_rest", "b_rest") >= common(longer)) & (shorter + 1 >= (longer + 1) * similarity - 1e-6)
     pairs = one.join(two, "gram").where((F.col("a_rep") < F.col("b_rep")) & (F.col("a_root") != F.col("b_root")) & enough)
     return pairs.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
 

@@ -39,12 +39,8 @@ def test_banded_alignment(a, edits):
     assert om.edit_links([(x, y), (y, x)], 0.8) == [want, want]
 
 
-def shingle_set(w):
-    return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))}
-
-
 def brute_classes(docs):
-    """All pairs, both similarities; words compared as they are."""
+    """All pairs by edit similarity alone; words compared as they are."""
     texts = {d: (t or "").encode().split() for d, t in docs}
     root = {d: d for d in texts}
 
@@ -54,17 +50,18 @@ def brute_classes(docs):
         return x
 
     ids = sorted(texts)
-    sets = {d: shingle_set(texts[d]) for d in ids}
+    counts = {d: Counter(texts[d]) for d in ids}
     for i, a in enumerate(ids):
         for b in ids[i + 1 :]:
             if find(a) == find(b):
                 continue
             x, y = texts[a], texts[b]
-            common = len(sets[a] & sets[b])
-            if common >= 0.8 * (len(sets[a]) + len(sets[b]) - common) - 1e-9:
-                if x == y or distance(x, y) <= int(max(len(x), len(y)) * 0.2 + 1e-9):
-                    lo, hi = sorted((find(a), find(b)))
-                    root[hi] = lo
+            longest = max(len(x), len(y))
+            limit = int(longest * 0.2 + 1e-9)
+            # a distance is at least the number of words that the longer text has alone
+            if x == y or longest - (counts[a] & counts[b]).total() <= limit and distance(x, y) <= limit:
+                lo, hi = sorted((find(a), find(b)))
+                root[hi] = lo
     return {d: find(d) for d in ids}
 
 
@@ -118,21 +115,21 @@ def test_chains_in_large_groups(spark):
 
 def test_open_pairs_hold_every_similar_pair(spark):
     """All texts in one large group, each its own component: no pair of the
-    wanted shingle similarity is missing."""
+    wanted edit similarity is missing."""
     rng = random.Random(4)
     base = [rng.randrange(1, 2**32) for _ in range(120)]
     words = []
     for i in range(60):
         w = list(base[: rng.choice([60, 100, 120])])
-        for _ in range(rng.randrange(9)):
-            w[rng.randrange(len(w))] = rng.randrange(1, 2**32)
+        for _ in range(rng.randrange(20)):
+            w[rng.randrange(len(w))] = rng.choice([rng.randrange(1, 2**32), w[0]])
         words.append((i, np.array(w, "<u4")))
     words += [(60, np.array([5], "<u4")), (61, np.array([5, 6], "<u4"))]
     large = spark.createDataFrame([(0, 1, i) for i, _ in words], "sketch int, value long, rep long")
     texts = spark.createDataFrame([(i, bytearray(w.tobytes())) for i, w in words], "rep long, words binary")
     roots = spark.createDataFrame([(1, 0)], "node long, root long")
-    sets = {i: set(om.shingles(w).tolist()) for i, w in words}
-    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])} - {(0, 1)}
+    near = lambda v, w: distance(v.tolist(), w.tolist()) <= int(max(len(v), len(w)) * 0.2 + 1e-9)
+    want = {(a, b) for a, v in words for b, w in words if a < b and near(v, w)} - {(0, 1)}
     got = {(r.a, r.b) for r in om.open_pairs(large, roots, texts).collect()}
     assert len(want) > 50 and want <= got and (0, 1) not in got
     assert om.open_pairs(large.limit(0), roots, texts.limit(0)).count() == 0

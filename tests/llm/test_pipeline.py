@@ -70,7 +70,7 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = [x for x in entry.queries() if x.startswith("op") and x[2].isdigit()]
-    assert sorted(int(x[2:].split("_")[0]) for x in names) == list(range(1, 11))
+    assert sorted(int(x[2:].split("_")[0]) for x in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(entry.oracle_sql()) <= set(entry.queries())
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
