@@ -29,7 +29,9 @@ the shared folder each round.
 
 Texts of fewer than ``K`` words have one k-mer, all their words; texts without
 words (also null) are equal.  Rows without doc_id are left out; repeated rows
-all stay; an empty table gives no rows; extra columns are ignored.
+all stay; different texts under one doc_id are texts of their own, and classes
+that have their smallest doc_id in common have the same class_id; an empty table
+gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -91,7 +93,8 @@ def sketches(h: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key (128-bit hash), n_words, tuples (one hash a sketch)."""
+    """doc_id, text_hash, text_key (128-bit hash), n_words, tuples (one hash a
+    sketch) of rows (doc_id, text, text_hash)."""
 
     def run(batches):
         import xxhash
@@ -104,12 +107,12 @@ def signatures(docs: DataFrame) -> DataFrame:
                 tuples = sketches(h, first).view(np.int64)
                 texts = (data[offsets[i] : offsets[i + 1]].tobytes() if n[i - a] else b"" for i in range(a, b))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[a:b], pa.array([xxhash.xxh3_128_digest(t) for t in texts], pa.binary()), pa.array(n, pa.int32()),
-                     pa.array(list(tuples), pa.list_(pa.int64()))],
-                    ["doc_id", "text_key", "n_words", "tuples"],
+                    [batch.column(0)[a:b], batch.column(2)[a:b], pa.array([xxhash.xxh3_128_digest(t) for t in texts], pa.binary()),
+                     pa.array(n, pa.int32()), pa.array(list(tuples), pa.list_(pa.int64()))],
+                    ["doc_id", "text_hash", "text_key", "n_words", "tuples"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, text_key binary, n_words int, tuples array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, text_key binary, n_words int, tuples array<long>")
 
 
 def _distances(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> list[int]:
@@ -210,9 +213,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
 
 def _word_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Word hashes (32 bits a word) of the documents with these ids."""
+    """Word hashes (32 bits a word) of the texts in ``ids`` (rep, text_key, and
+    the doc_id of a document that has the text)."""
 
     def run(batches):
+        import xxhash
+
         for batch in batches:
             data, offsets = sy.utf8(batch.column(1))
             out = []
@@ -220,11 +226,13 @@ def _word_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 h, _, _, first = sy.words(data, offsets[a : b + 1])
                 h = (h >> np.uint64(32)).astype("<u4")
                 out += [h[first[i] : first[i + 1]].tobytes() for i in range(b - a)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.binary())], ["rep", "text_key", "words"])
+            # another text may stand under the same doc_id
+            same = [xxhash.xxh3_128_digest(data[i:j].tobytes()) == k.as_py() for i, j, k in zip(offsets, offsets[1:], batch.column(2))]
+            found = pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["rep", "words"])
+            yield found.filter(pa.array(same, pa.bool_()))
 
-    wanted = docs.join(ids.select(F.col("rep").alias("doc_id"), "text_key"), "doc_id").select("doc_id", "text", "text_key")
-    # where rows share a doc_id, one of its texts is compared
-    return wanted.mapInArrow(run, "rep long, text_key binary, words binary").groupBy("rep").agg(F.min("words").alias("words"))
+    wanted = docs.join(ids, "doc_id").select("rep", "text", "text_key")
+    return wanted.mapInArrow(run, "rep long, words binary").dropDuplicates(["rep"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -249,13 +257,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Verified links (a, b) between the representatives in ``texts`` (rep,
-    text_key, n_words, tuples); with them the members of the large groups and
-    the word hashes of all texts in groups, for ``open_pairs``."""
-    members = texts.where("n_words > 0").select("rep", "text_key", "n_words", F.posexplode("tuples").alias("sketch", "value"))
+    """Verified links (a, b) between the ``texts`` (rep, text_key, doc_id,
+    n_words, tuples); with them the members of the large groups and the word
+    hashes of all texts in groups, for ``open_pairs``."""
+    members = texts.where("n_words > 0").select("rep", "text_key", "doc_id", "n_words", F.posexplode("tuples").alias("sketch", "value"))
     sizes = members.groupBy(*GROUP).agg(F.count("*").alias("size")).where("size > 1")
     members = stored(members.join(sizes, GROUP), "groups")
-    involved = members.groupBy("rep").agg(F.first("text_key").alias("text_key"))
+    involved = members.select("rep", "text_key", "doc_id").dropDuplicates(["rep"])
     words = stored(_word_texts(docs, involved), "words")
     fits = F.least("n", "m") >= F.greatest("n", "m") * (similarity - 1e-9)
     small = members.where(F.col("size") <= SMALL)
@@ -319,7 +327,7 @@ def open_pairs(large: DataFrame, roots: DataFrame, words: DataFrame, similarity:
 
 
 def linked_components(docs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, root) of the representatives that have a link."""
+    """(node, root) of the texts that have a link."""
     found, large, words = links(docs, texts, similarity)
     roots = components(found)
     more = _linked(open_pairs(large, roots, words, similarity), words, similarity)
@@ -328,25 +336,34 @@ def linked_components(docs: DataFrame, texts: DataFrame, similarity: float = SIM
     return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id (the smallest doc_id of its class) and kept (whether
-    the document is that one)."""
+def _classified(docs: DataFrame, similarity: float) -> DataFrame:
+    """doc_id, text_hash, root (one text of the class) and class_id of each row."""
     ship_package(docs.sparkSession)
     docs = document_texts(docs)
-    signed = stored(signatures(docs), "signatures")
-    texts = signed.groupBy("text_key").agg(F.min("doc_id").alias("rep"), F.first("n_words").alias("n_words"), F.first("tuples").alias("tuples"))
-    texts = stored(texts, "texts")
+    signed = stored(signatures(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))), "signatures")
+    texts = signed.groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.first("tuples").alias("tuples"))
+    texts = stored(texts.withColumn("rep", F.xxhash64("text_key")), "texts")
     roots = linked_components(docs, texts, similarity)
-    named = texts.select("text_key", "rep").join(roots, F.col("rep") == F.col("node"), "left")
-    named = named.select("text_key", F.coalesce("root", "rep").alias("class_id"))
-    return signed.select("doc_id", "text_key").join(named, "text_key").select(
-        "doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept")
-    )
+    named = texts.select("text_key", "doc_id", "rep").join(roots, F.col("rep") == F.col("node"), "left")
+    named = named.select("text_key", "doc_id", F.coalesce("root", "rep").alias("root"))
+    ids = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    named = named.join(ids, "root").select("text_key", "root", "class_id")
+    return signed.select("doc_id", "text_hash", "text_key").join(named, "text_key").drop("text_key")
+
+
+def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id (the smallest doc_id of its class) and kept (whether
+    the document is that one)."""
+    return _classified(docs, similarity).select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
 def kept_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that stand for their class, with their columns; of
-    several rows with that doc_id one stays."""
-    keep = classes(docs, similarity).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.withColumn("_id", F.col("doc_id").cast("long")).join(keep, "_id", "left_semi")
-    return rows.dropDuplicates(["_id"]).select(*docs.columns)
+    """One row of ``docs`` for each class, with its columns: the one with the
+    smallest doc_id (of several texts under it the one with the smallest hash)."""
+    keep = _classified(docs, similarity).where("doc_id = class_id")
+    keep = keep.groupBy("root").agg(F.min("class_id").alias("doc_id"), F.min("text_hash").alias("text_hash"))
+    given = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns)).alias("given")
+    key = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")]
+    rows = docs.select(given, *key).join(keep.drop("root"), ["doc_id", "text_hash"], "left_semi")
+    rows = rows.dropDuplicates(["doc_id", "text_hash"])
+    return rows.select(*(F.col("given").getField(c).alias(c) for c in docs.columns))

@@ -93,6 +93,19 @@ def test_classes_match_all_pairs(spark, near_docs):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(brute_classes(near_docs).values()))
 
 
+def test_texts_under_one_id(spark):
+    """Each text under a repeated id has links and a class of its own."""
+    rng = random.Random(6)
+    one, two, three = (" ".join(f"{c}{rng.randrange(9999)}" for _ in range(50)) for c in "xyz")
+    rows = [(5, one, "a"), (5, two, "b"), (5, two, "b"), (7, one + " end", "c"), (8, two + " end", "d"), (9, three, "e"), (9, None, "f")]
+    docs = spark.createDataFrame([(d, t, c, 1) for d, t, c in rows], "doc_id int, text string, _id string, given int").repartition(3)
+    got = Counter((r.doc_id, r.class_id, r.kept) for r in om.classes(docs).collect())
+    assert got == Counter({(5, 5, True): 3, (7, 5, False): 1, (8, 5, False): 1, (9, 9, True): 2})
+    kept = om.kept_documents(docs)
+    assert kept.schema == docs.schema
+    assert sorted(((r.doc_id, r.text, r._id) for r in kept.collect()), key=str) == sorted([(5, one, "a"), (5, two, "b"), (9, three, "e"), (9, None, "f")], key=str)
+
+
 def test_chains_in_large_groups(spark):
     """Texts of a large group that link to their neighbours in a chain, but not
     to the group's leaders, beside texts that only share a passage."""
