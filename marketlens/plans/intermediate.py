@@ -35,8 +35,17 @@ def int_order_reviews_aggregated(stg_reviews: DataFrame) -> DataFrame:
 
 
 def int_geolocation_deduped(stg_geo: DataFrame) -> DataFrame:
-    """One centroid per zip prefix."""
+    """One centroid per zip prefix.
+
+    Degrees are summed as decimals with twelve places, so a centroid is the same
+    to the last bit however the rows are partitioned; coordinates that are null
+    or no finite number are left out."""
+
+    def mean(degrees: str):
+        fixed = F.col(degrees).try_cast("decimal(28,12)")
+        return F.sum(fixed).cast("double") / F.nullif(F.count(fixed), F.lit(0))
+
     return stg_geo.groupBy(F.col("geolocation_zip_code_prefix").alias("zip_code_prefix")).agg(
-        F.avg("geolocation_lat").alias("latitude"),
-        F.avg("geolocation_lng").alias("longitude"),
+        mean("geolocation_lat").alias("latitude"),
+        mean("geolocation_lng").alias("longitude"),
     )
