@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.semantics import day_diff, haversine_km, surrogate_key
+from marketlens.operators.skew_join import look_up
 
 
 def fct_orders(
@@ -97,8 +98,7 @@ def fct_order_items(
         .select("seller_id", "seller_key", "s_lat", "s_lng")
     )
     joined = (
-        stg_items.join(dim_products.select("product_id", "product_key"), "product_id", "left")
-        .join(seller_point, "seller_id", "left")
+        look_up(look_up(stg_items, dim_products.select("product_id", "product_key"), "product_id"), seller_point, "seller_id")
         .join(order_point, "order_id", "left")
     )
     return joined.select(
