@@ -26,6 +26,16 @@ _TOGETHER = 2000
 _encoders: dict[str, "PieceEncoder"] = {}
 
 
+class _Cache(dict):
+    """Pieces and their ids; a lookup of another piece gives None and notes it."""
+
+    def __init__(self):
+        self.missed: list[str] = []
+
+    def __missing__(self, piece: str) -> None:
+        self.missed.append(piece)
+
+
 class PieceEncoder:
     """Text to ids as little-endian unsigned 32-bit bytes.  The cache keeps
     the first pieces seen, at most ``_CACHE_ENTRIES`` of them."""
@@ -36,7 +46,7 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cache: dict[str, bytes] = {}
+        self.cache = _Cache()
         # with a normalizer that drops case and white space, ASCII pieces differ by neither
         self.folds = self._ids(["\n Ab"]) == self._ids(["ab"])
         self.separator = " \x02 " if self.folds else "\n"
@@ -84,15 +94,24 @@ class PieceEncoder:
         return _FOLDED.findall(text.lower())
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        pieces = [self._pieces(t) for t in texts]
-        found = [list(map(cache.get, ps)) for ps in pieces]
-        fresh = self._encode(list({p for ps, ids in zip(pieces, found) for p, x in zip(ps, ids) if x is None}))
-        if len(cache) + len(fresh) <= _CACHE_ENTRIES:
-            cache.update(fresh)
-        if fresh:
-            found = [[fresh[p] if x is None else x for p, x in zip(ps, ids)] if None in ids else ids for ps, ids in zip(pieces, found)]
-        return [b"".join(ids) for ids in found]
+        cache, missed = self.cache, self.cache.missed
+        found, open_ = [], []
+        for i, text in enumerate(texts):
+            ps, before = self._pieces(text), len(missed)
+            ids = list(map(cache.__getitem__, ps))
+            if len(missed) > before:
+                open_.append((i, ps))
+                found.append(ids)
+            else:
+                found.append(b"".join(ids))
+        if open_:
+            fresh = self._encode(list(dict.fromkeys(missed)))
+            missed.clear()
+            for i, ps in open_:
+                found[i] = b"".join([fresh[p] if x is None else x for p, x in zip(ps, found[i])])
+            if len(cache) + len(fresh) <= _CACHE_ENTRIES:
+                cache.update(fresh)
+        return found
 
 
 def encoder(path: str) -> PieceEncoder:

@@ -33,6 +33,17 @@ def test_pieces_encode_like_whole_texts(name, corpus):
     assert piece_cache.PieceEncoder(P.path(name))(texts) == [u4(encode(t)) for t in texts]
 
 
+def test_known_pieces_are_looked_up_once():
+    """Only texts with new pieces are gone through piece by piece; a full cache
+    and repeated new pieces give the same ids."""
+    encode, e = library("word_bpe_49k.json"), piece_cache.PieceEncoder(P.path("word_bpe_49k.json"))
+    texts = ["ab cd ab", "", "ab zq9 zq9", "cd"]
+    for _ in range(2):
+        assert e(texts) == [u4(encode(t)) for t in texts]
+        assert e.cache.missed == []
+    assert e.cache["ab"] is not None and e.cache["never seen"] is None and e.cache.missed == ["never seen"]
+
+
 @given(st.text(alphabet=" \t\n\r\x02\x0b\x1c\x85\xa0\u2003abA1'sé!?Σ.,*_²½\u0301", max_size=30))
 @settings(max_examples=400, deadline=None)
 def test_odd_spaces(text):
