@@ -108,3 +108,17 @@ def test_two_builds_at_once_get_two_versions(spark, scratch):
     finally:
         store.versions = number
     assert store.read("a").count() == 2
+
+
+def test_facts_make_their_keys_after_the_last_exchange(warehouse):
+    """What is dealt out to the buckets and looked up carries no digests."""
+    for name in ("fct_orders", "fct_order_items"):
+        plan = plan_of(warehouse.with_month(name, 2))
+        assert "md5(" in plan and plan.rindex("md5(") < plan.index("Exchange hashpartitioning"), name
+
+
+def test_stored_tables_are_written_with_a_codec_that_shortens_keys(root):
+    import glob
+
+    files = glob.glob(f"{root}/builds/*/*/**/*.parquet", recursive=True)
+    assert files and all(f.endswith(".zstd.parquet") for f in files)

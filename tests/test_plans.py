@@ -89,3 +89,20 @@ def test_building_the_item_fact_starts_no_job(spark):
     w.fct_order_items  # noqa: B018
     assert list(tracker.getJobIdsForGroup("plan-only")) == []
     spark.sparkContext.setJobGroup("", "")
+
+
+def test_item_fact_moves_its_lines_only_for_the_lookups(spark, warehouse):
+    """The lines are partitioned by order once, for their numbers and the join
+    with the orders, and then by product and by seller."""
+    from marketlens.plans.pipeline import Warehouse
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(Warehouse(spark, warehouse.sources).fct_order_items)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    lines = [x[: x.index("Exchange")] for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    above_window = [x for x in plan[: plan.index("Window")].splitlines() if "Exchange hashpartitioning" in x]
+    assert len(above_window) == 2 and len(lines) > 2
+    assert "hashpartitioning(product_id" in "".join(above_window) and "hashpartitioning(seller_id" in "".join(above_window)
