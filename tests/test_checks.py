@@ -100,3 +100,22 @@ def test_error_severity_raises(spark):
     )
     with pytest.raises(DataQualityError):
         assert_checks(report)
+
+
+def test_uniqueness_moves_digests_as_bytes(spark):
+    """Keys of all kinds are counted exactly; digests in hexadecimal travel at half their length."""
+    digest = "0123456789abcdef" * 2
+    keys = [digest, digest, digest.upper(), digest.upper(), "\0" * 17, "\0" * 17, digest + "\n", "a", "=a", "", None, None]
+    df = spark.createDataFrame([(k, "x") for k in keys], "k string, c string")
+    (part,) = fused_report(df, [Check("m", "unique", ("k",)), Check("m", "unique_combination", ("k", "c"))])
+    assert [r.violations for r in part.orderBy("check_name").collect()] == [3, 4]
+    assert "unhex" in part._jdf.queryExecution().executedPlan().toString()
+
+
+def test_packed_keys_come_back(spark):
+    from marketlens.functions.semantics import packed_key, unpacked_key
+
+    keys = [None, "", "a", "=a", "0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "\0" * 17, "0123456789abcdef" * 2 + "\n", "é"]
+    rows = spark.createDataFrame([(k,) for k in keys], "k string").select("k", packed_key("k").alias("p"))
+    found = rows.select("k", "p", unpacked_key("p").alias("back")).collect()
+    assert all(r.k == r.back for r in found) and len({None if r.p is None else bytes(r.p) for r in found}) == len(keys)
