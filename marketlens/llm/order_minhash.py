@@ -23,7 +23,12 @@ by occurrence) in common, up to one.  Under one order of all word pairs, with th
 of a single component first and then the rarest, they share one of their first
 two fifths, so every pair of texts across components that may be a link is tested,
 and no pair without such a word pair is made.  A text with more than two fifths of
-its word pairs in its own component alone needs no comparison at all.  Links stay
+its word pairs in its own component alone needs no comparison at all.  Where large
+groups connect texts so alike that most of them meet (``_dense_families``), a row
+for each pair would grow with the square of the family: such a family is dealt
+into blocks by length, and each two blocks are compared whole in one task, first
+by the words and word pairs in common, then by alignment (``links_between``); only
+links that join components come out.  Word pairs find the other pairs.  Links stay
 on the cluster, and components are found by repeated star contraction, written to
 the shared folder each round.
 
@@ -42,9 +47,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import symbols as sy
-from .common import document_texts, ship_package, stored
+from .common import document_texts, partitions, ship_package, stored
 
 K, TAKE, SKETCHES, SIMILARITY, SMALL, LEADERS, RUN = 5, 2, 12, 0.8, 5, 2, 100_000
+#: Dense families: from so many pairs by word pair for each text and block on; texts and bytes of words a block;
+#: columns of the matrix of common members; alignments at once.
+DENSE, BLOCK, BLOCK_BYTES, COLUMNS, AT_ONCE = 16, 128, 4 << 20, 4096, 256
 GROUP = ["sketch", "value"]
 _POS = np.uint64((1 << 20) - 1)
 _TOP = np.uint64(2**64 - 1)
@@ -148,14 +156,70 @@ def _distances(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> list[in
     return out.tolist()
 
 
+def _labelled(values: np.ndarray) -> np.ndarray:
+    """Hashes labelled by occurrence, so that all differ; sorted."""
+    values, at = np.sort(values), np.arange(len(values))
+    begin = np.maximum.accumulate(np.where(np.append(True, values[1:] != values[:-1])[: len(values)], at, 0))
+    return np.sort(sy.mix(values + (at - begin).astype(np.uint64) * np.uint64(0xD1342543DE82EF95)))
+
+
 def word_pairs(words: np.ndarray) -> np.ndarray:
     """Hashes of all pairs of neighbouring words (of the word, if there is but
     one), labelled by occurrence, so that all differ."""
     sums = sy.prefix_sums(sy.mix(words.astype(np.uint64) + np.uint64(1)))
     at = np.arange(max(len(words) - 2, 0) + 1)
-    pair = np.sort(sy.span_hash(sums, at, np.minimum(at + 2, len(words))))
-    begin = np.maximum.accumulate(np.where(np.append(True, pair[1:] != pair[:-1]), at, 0))
-    return np.sort(sy.mix(pair + (at - begin).astype(np.uint64) * np.uint64(0xD1342543DE82EF95)))
+    return _labelled(sy.span_hash(sums, at, np.minimum(at + 2, len(words))))
+
+
+def in_common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many members each set on the left has in common with each one on the
+    right.  Sets are hashes without repeats."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    sets = [*left, *right]
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    word = np.concatenate(sets)
+    both = np.intersect1d(word[row < len(left)], word[row >= len(left)])
+    at = np.searchsorted(both, word)
+    met = both[np.minimum(at, len(both) - 1)] == word if len(both) else np.zeros(len(word), bool)
+    at, row = at[met], row[met]
+    order = np.argsort(at, kind="stable")
+    at, row = at[order], row[order]
+    for a in range(0, len(both), COLUMNS):
+        i, j = np.searchsorted(at, [a, a + COLUMNS])
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[row[i:j], at[i:j] - a] = 1
+        out += has[: len(left)] @ has[len(left) :].T
+    return out.astype(np.int64)
+
+
+def links_between(left: list[tuple], right: list[tuple], similarity: float, spanning: bool = False) -> list[tuple]:
+    """Links between texts (rep, root, word hashes) on the left and on the right
+    that lie in different components; with ``spanning`` only as many of them as
+    connect the same components."""
+    n, m = (np.array([len(t[2]) for t in side]) for side in (left, right))
+    label = np.unique([t[1] for t in (*left, *right)], return_inverse=True)[1]
+    longest = np.maximum(n[:, None], m[None, :])
+    limit = (longest * (1 - similarity) + 1e-9).astype(np.int64)
+    # a distance is at least the number of words that the longer text has alone, and half that of its word pairs
+    alone = longest - in_common(*([_labelled(sy.mix(t[2].astype(np.uint64))) for t in side] for side in (left, right)))
+    pairs = np.maximum(longest - 1, 1) - in_common(*([word_pairs(t[2]) for t in side] for side in (left, right)))
+    a, b = np.nonzero((alone <= limit) & (pairs <= 2 * limit) & (label[: len(left), None] != label[None, len(left) :]))
+    order = np.argsort(alone[a, b] / longest[a, b], kind="stable")
+    a, b, out = a[order], b[order], []
+    while len(a):
+        x, y, a, b = a[:AT_ONCE], b[:AT_ONCE], a[AT_ONCE:], b[AT_ONCE:]
+        linked = edit_links([(left[i][2], right[j][2]) for i, j in zip(x, y)], similarity)
+        for i, j in zip(x[linked], y[linked]):
+            p, q = label[i], label[len(left) + j]
+            if spanning and p == q:
+                continue
+            out.append((left[i][0], right[j][0]))
+            if spanning:
+                label[label == q] = p
+        if spanning:
+            apart = label[a] != label[len(left) + b]
+            a, b = a[apart], b[apart]
+    return out
 
 
 def edit_links(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> list[bool]:
@@ -196,14 +260,17 @@ def edit_links(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) ->
     return out
 
 
+def _read(words: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(words.as_buffer(), "<u4").astype(np.int64)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b, ...) with column ``linked``; texts: (rep, words)."""
 
     def check(batches):
-        for batch in batches:
+        for batch in (b.slice(i, 4096) for b in batches for i in range(0, len(b), 4096)):
             a, b = batch.column("wa"), batch.column("wb")
-            read = lambda x: np.frombuffer(x.as_buffer(), "<u4").astype(np.int64)
-            linked = edit_links([(read(x), read(y)) for x, y in zip(a, b)], similarity)
+            linked = edit_links([(_read(x), _read(y)) for x, y in zip(a, b)], similarity)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked)], ["a", "b", "linked"])
 
     left = texts.select(F.col("rep").alias("a"), F.col("words").alias("wa"))
@@ -287,50 +354,130 @@ def _linked(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     return stored(_verified(pairs, words, similarity), "links").where("linked").select("a", "b")
 
 
-def open_pairs(large: DataFrame, roots: DataFrame, words: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs (a, b) of texts of large groups, in different components (``roots``:
-    node, root), that may have the edit similarity: all that have it, and few
-    others."""
+def _least_common(n, similarity: float):
+    """Texts of n word pairs have at least so many in common with similar ones."""
+    return F.greatest(F.ceil((2 * similarity - 1) * (n + 1) - 1 - 1e-9), F.lit(1))
+
+
+def _ahead(grams: DataFrame, similarity: float) -> DataFrame:
+    """The word pairs (gram) of each text of ``grams`` (rep, root, label, grams)
+    by which it meets all similar texts under other labels; texts that can have
+    none are left out.  ``rest``: word pairs from this one on, the most that can
+    be common where it is the first in common."""
+    grams = grams.withColumn("n", F.size("grams"))
+    each = grams.select("rep", "root", "label", "n", F.explode("grams").alias("gram"))
+    same = Window.partitionBy("gram")  # one exchange by word pair, where counts joined back would take two
+    met = each.select("*", F.count("*").over(same).alias("texts"), F.min("label").over(same).alias("lo"), F.max("label").over(same).alias("hi")).where("lo < hi")
+    # the order of all word pairs: those of one label, then by number of texts, then by hash
+    met = met.groupBy("rep", "root", "label", "n").agg(F.array_sort(F.collect_list(F.struct("texts", "gram"))).alias("met"))
+    own = F.col("n") - F.size("met")
+    first = F.col("n") - _least_common(F.col("n"), similarity) + 1  # so many first word pairs must meet
+    met = met.withColumn("own", own).withColumn("first", (first - own).cast("int")).where("first > 0")
+    ahead = met.select("rep", "root", "label", "n", "own", F.posexplode(F.slice("met", F.lit(1), F.col("first"))).alias("place", "x"))
+    ahead = ahead.select(F.col("x.gram").alias("gram"), "rep", "root", "label", "n", (F.col("n") - F.col("own") - F.col("place")).alias("rest"))
+    return stored(ahead, "ahead")
+
+
+def _dense_families(open_groups: DataFrame, ahead: DataFrame) -> DataFrame:
+    """(rep, family) of the texts to compare that large groups (GROUP, rep)
+    connect, in families where many of them meet by the same word pairs: there a
+    row for each two that meet is more than all their texts in blocks."""
+    texts = ahead.select("rep").distinct()
+    edges = open_groups.join(texts, "rep", "left_semi").select(F.col("rep").alias("a"), F.xxhash64(*GROUP).alias("b"))
+    found = components(edges)
+    family = stored(texts.join(found, F.col("rep") == F.col("node"), "left").select("rep", F.coalesce("root", "rep").alias("family")), "families")
+    met = ahead.select("rep", "gram").join(family, "rep").groupBy("family", "gram").agg(F.count("*").alias("k"))
+    pairs = met.groupBy("family").agg(F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("pairs"))
+    size = family.groupBy("family").agg(F.count("*").alias("texts"))
+    dense = size.join(pairs, "family").where(F.col("pairs") > DENSE * F.col("texts") * F.ceil(F.col("texts") / BLOCK))
+    return stored(family.join(dense.select("family"), "family", "left_semi"), "dense")
+
+
+def _family_links(texts: DataFrame, similarity: float, spanning: bool) -> DataFrame:
+    """Links (a, b) between texts (family, rep, root, words) of one family and
+    different components.  Texts lie in blocks by length, those of a large
+    component in blocks of their own; each two blocks that may hold links meet in
+    one task, so it keeps two blocks at a time and no row is made for a pair."""
+    step = float(-np.log(similarity)) + 1e-6  # similar texts lie at most one step of length apart
+    sizes = texts.groupBy("family", "root").agg(F.count("*").alias("own"))
+    length = F.floor(F.log(F.length("words") / 4) / step)
+    texts = texts.join(sizes, ["family", "root"]).withColumn("alone", F.when(F.col("own") > BLOCK, F.col("root"))).withColumn("length", length)
+    texts = texts.withColumn("part", F.xxhash64("alone", "length"))
+    parts = texts.groupBy("family", "part").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.length("words")) / BLOCK_BYTES)).alias("blocks"))
+    block = F.xxhash64("part", F.pmod(F.xxhash64("rep", F.lit(1)), "blocks"))
+    texts = stored(texts.join(parts, ["family", "part"]).select("family", block.alias("block"), "alone", "length", "rep", "root", "words"), "blocks")
+    blocks = texts.groupBy("family", "block").agg(F.first("alone").alias("alone"), F.first("length").alias("length"))
+    one = blocks.select("family", F.col("block").alias("x"), F.col("alone").alias("x_alone"), F.col("length").alias("x_length"))
+    two = blocks.select("family", F.col("block").alias("y"), F.col("alone").alias("y_alone"), F.col("length").alias("y_length"))
+    meet = (F.col("x") <= F.col("y")) & (F.abs(F.col("x_length") - F.col("y_length")) <= 1)
+    meet &= F.coalesce(F.col("x_alone") != F.col("y_alone"), F.lit(True))
+    meet = one.join(two, "family").where(meet).select("family", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+    sent = texts.select("family", "block", "rep", "root", "words").join(meet, ["family", "block"])
+
+    def compare(met: pa.Table) -> pa.Table:
+        x, y = met.column("x")[0].as_py(), met.column("y")[0].as_py()
+        at = {x: [], y: []}
+        for block, rep, root, words in zip(*(met.column(c) for c in ("block", "rep", "root", "words"))):
+            at[block.as_py()].append((rep.as_py(), root.as_py(), _read(words)))
+        found = links_between(at[x], at[y], similarity, spanning)
+        found = sorted({(min(p), max(p)) for p in found})
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    sent = sent.repartition(partitions(texts.sparkSession), "family", "x", "y")  # little to read, much to compare
+    return sent.groupBy("family", "x", "y").applyInArrow(compare, "a long, b long")
+
+
+def open_links(large: DataFrame, roots: DataFrame, words: DataFrame, similarity: float = SIMILARITY, spanning: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """For texts of large groups, in different components (``roots``: node, root):
+    pairs (a, b) still to be verified and, of dense families, links (None where
+    there is no such family; with ``spanning`` as many as connect the same
+    components).  Together they hold all pairs of the wanted edit similarity."""
     rooted = large.select(*GROUP, "rep").join(roots, F.col("rep") == F.col("node"), "left")
     rooted = stored(rooted.select(*GROUP, "rep", F.coalesce("root", "rep").alias("root")), "rooted")
     several = rooted.groupBy(*GROUP).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    waiting = rooted.join(several.select(*GROUP), GROUP, "left_semi").select("rep", "root").distinct()
+    open_groups = rooted.join(several.select(*GROUP), GROUP, "left_semi")
+    waiting = open_groups.select("rep", "root").distinct()
 
     def run(batches):
         for batch in batches:
             sets = [word_pairs(np.frombuffer(w.as_buffer(), "<u4")).view(np.int64) for w in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))], ["rep", "root", "grams"])
 
-    def common(n):  # texts of n word pairs have at least so many in common with similar ones
-        return F.greatest(F.ceil((2 * similarity - 1) * (n + 1) - 1 - 1e-9), F.lit(1))
-
     grams = words.join(waiting, "rep").select("rep", "root", "words").mapInArrow(run, "rep long, root long, grams array<long>")
-    grams = stored(grams, "grams").withColumn("n", F.size("grams"))
-    each = grams.select("rep", "root", "n", F.explode("grams").alias("gram"))
-    shared = each.groupBy("gram").agg(F.count("*").alias("texts"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    met = each.join(shared.where("lo < hi").select("gram", "texts"), "gram")
-    # the order of all word pairs: those of one component, then by number of texts, then by hash
-    met = met.groupBy("rep", "root", "n").agg(F.array_sort(F.collect_list(F.struct("texts", "gram"))).alias("met"))
-    own = F.col("n") - F.size("met")
-    first = F.col("n") - common(F.col("n")) + 1  # so many first word pairs must meet
-    met = met.withColumn("own", own).withColumn("first", (first - own).cast("int")).where("first > 0")
-    ahead = met.select("rep", "root", "n", "own", F.posexplode(F.slice("met", F.lit(1), F.col("first"))).alias("place", "x"))
-    # ``rest``: word pairs from this one on, the most that can be common where it is the first in common
-    ahead = ahead.select(F.col("x.gram").alias("gram"), "rep", "root", "n", (F.col("n") - F.col("own") - F.col("place")).alias("rest"))
-    ahead = stored(ahead, "ahead")
-    one = ahead.select("gram", *(F.col(c).alias(f"a_{c}") for c in ("rep", "root", "n", "rest")))
-    two = ahead.select("gram", *(F.col(c).alias(f"b_{c}") for c in ("rep", "root", "n", "rest")))
+    grams = stored(grams, "grams")
+    ahead, found = _ahead(grams.withColumn("label", F.col("root")), similarity), None
+    dense = _dense_families(open_groups, ahead)
+    if not dense.isEmpty():
+        found = _family_links(words.join(dense, "rep").join(waiting, "rep"), similarity, spanning)
+        # what else they meet: texts of a family have its name for a label, others the one of their component
+        labelled = grams.join(ahead.select("rep").distinct(), "rep", "left_semi").join(dense, "rep", "left")
+        name = F.when(F.col("family").isNotNull(), F.xxhash64("family", F.lit("family")))  # not the name of a component
+        ahead = _ahead(labelled.withColumn("label", F.coalesce(name, "root")), similarity)
+    columns = ("rep", "root", "label", "n", "rest")
+    one = ahead.select("gram", *(F.col(c).alias(f"a_{c}") for c in columns))
+    two = ahead.select("gram", *(F.col(c).alias(f"b_{c}") for c in columns))
     longer, shorter = F.greatest("a_n", "b_n"), F.least("a_n", "b_n")
-    enough = (F.least("a_rest", "b_rest") >= common(longer)) & (shorter + 1 >= (longer + 1) * similarity - 1e-6)
-    pairs = one.join(two, "gram").where((F.col("a_rep") < F.col("b_rep")) & (F.col("a_root") != F.col("b_root")) & enough)
-    return pairs.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
+    enough = (F.least("a_rest", "b_rest") >= _least_common(longer, similarity)) & (shorter + 1 >= (longer + 1) * similarity - 1e-6)
+    apart = (F.col("a_root") != F.col("b_root")) & (F.col("a_label") != F.col("b_label"))
+    pairs = one.join(two, "gram").where((F.col("a_rep") < F.col("b_rep")) & apart & enough)
+    return pairs.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct(), found
+
+
+def open_pairs(large: DataFrame, roots: DataFrame, words: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Pairs (a, b) of texts of large groups, in different components (``roots``:
+    node, root), that may have the edit similarity: all that have it, and few
+    others."""
+    pairs, found = open_links(large, roots, words, similarity, spanning=False)
+    return pairs if found is None else pairs.unionByName(found).distinct()
 
 
 def linked_components(docs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root) of the texts that have a link."""
     found, large, words = links(docs, texts, similarity)
     roots = components(found)
-    more = _linked(open_pairs(large, roots, words, similarity), words, similarity)
+    pairs, more = open_links(large, roots, words, similarity)
+    verified = _linked(pairs, words, similarity)
+    more = verified if more is None else stored(verified.unionByName(more), "more")
     if more.isEmpty():
         return roots
     return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))

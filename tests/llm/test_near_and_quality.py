@@ -148,6 +148,72 @@ def test_open_pairs_hold_every_similar_pair(spark):
     assert om.open_pairs(large.limit(0), roots, texts.limit(0)).count() == 0
 
 
+def components_of(nodes, edges):
+    root = {x: x for x in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {x: find(x) for x in nodes}
+
+
+def test_dense_family_makes_no_row_for_a_pair(spark, monkeypatch):
+    """Copies of one text in a component, and others about as far from them as
+    the limit: blocks give the links that connect them, and no pair is made for
+    each two.  A text that shares no group with them meets its link by word pair."""
+    monkeypatch.setattr(om, "BLOCK", 32)
+    rng = random.Random(12)
+    base = [rng.randrange(1, 2**32) for _ in range(100)]
+    spare = [rng.randrange(1, 2**32) for _ in range(300)]
+
+    def edited(w, n):
+        w = list(w)
+        for place in rng.sample(range(len(w)), n):
+            w[place] = rng.choice(spare)
+        return np.array(w[: rng.choice([len(w), len(w) - 2])], "<u4")
+
+    words = [(i, edited(base, 3)) for i in range(60)] + [(i, edited(base, rng.choice([17, 20, 24]))) for i in range(60, 180)]
+    lone = [rng.randrange(1, 2**32) for _ in range(90)]
+    words += [(180, np.array(lone, "<u4")), (181, edited(lone, 6)), (182, edited(rng.sample(spare, 90), 0))]
+    large = [(0, 1, i) for i in range(180)] + [(1, 5, 180), (1, 5, 182), (1, 6, 181), (1, 6, 182)]
+    large = spark.createDataFrame(large, "sketch int, value long, rep long")
+    texts = spark.createDataFrame([(i, bytearray(w.tobytes())) for i, w in words], "rep long, words binary")
+    roots = spark.createDataFrame([(i, 0) for i in range(60)], "node long, root long")
+    near = lambda v, w: distance(v.tolist(), w.tolist()) <= int(max(len(v), len(w)) * 0.2 + 1e-9)
+    known = [(0, i) for i in range(60)]
+    within = [(a, b) for a, v in words for b, w in words if a < b and b >= 60 and near(v, w)]
+    pairs, found = om.open_links(large, roots, texts)
+    pairs, found = ([(r.a, r.b) for r in x.collect()] for x in (pairs, found))
+    assert (180, 181) in pairs and len(pairs) <= 5 and set(found) <= set(within)
+    want = components_of(range(183), known + within)
+    assert 30 < len(set(want.values())) < 110 and components_of(range(183), known + found + pairs) == want
+    assert {(a, b) for a, b in within} <= {(r.a, r.b) for r in om.open_pairs(large, roots, texts).collect()}
+
+
+@given(st.integers(0, 10**6))
+@settings(max_examples=40, deadline=None)
+def test_links_between_blocks(seed):
+    rng = random.Random(seed)
+    base = [rng.randrange(12) for _ in range(rng.randrange(1, 40))]
+
+    def text(i):
+        w = [rng.randrange(12) if rng.random() < 0.15 else x for x in base] + [3] * rng.randrange(4)
+        return i, rng.choice([i, 100]), np.array(w, np.int64)
+
+    left, right = [text(i) for i in range(6)], [text(i) for i in range(6, 12)]
+    want = {(a[0], b[0]) for a in left for b in right if a[1] != b[1] and distance(a[2].tolist(), b[2].tolist()) <= int(max(len(a[2]), len(b[2])) * 0.2 + 1e-9)}
+    assert set(om.links_between(left, right, 0.8)) == want
+    some = om.links_between(left, right, 0.8, spanning=True)
+    nodes = [*range(12), 100]
+    known = [(t[0], 100) for t in left + right if t[1] == 100]
+    assert set(some) <= want and len(some) < 12 and components_of(nodes, known + some) == components_of(nodes, known + list(want))
+
+
 def test_occurrences_and_order_matter():
     h = np.arange(1, 41, dtype=np.uint64) * np.uint64(977)
     one = om.sketches(symbols.mix(h), np.array([0, 40]))
