@@ -51,8 +51,8 @@ from .common import document_texts, partitions, ship_package, stored
 
 K, TAKE, SKETCHES, SIMILARITY, SMALL, LEADERS, RUN = 5, 2, 12, 0.8, 5, 2, 100_000
 #: Dense families: from so many pairs by word pair for each text and block on; texts and bytes of words a block;
-#: columns of the matrix of common members; alignments at once.
-DENSE, BLOCK, BLOCK_BYTES, COLUMNS, AT_ONCE = 16, 128, 4 << 20, 4096, 256
+#: columns of the matrix of common members; alignments at once; word pairs in one row.
+DENSE, BLOCK, BLOCK_BYTES, COLUMNS, AT_ONCE, PIECE = 16, 128, 4 << 20, 4096, 256, 64
 GROUP = ["sketch", "value"]
 _POS = np.uint64((1 << 20) - 1)
 _TOP = np.uint64(2**64 - 1)
@@ -360,12 +360,11 @@ def _least_common(n, similarity: float):
 
 
 def _ahead(grams: DataFrame, similarity: float) -> DataFrame:
-    """The word pairs (gram) of each text of ``grams`` (rep, root, label, grams)
-    by which it meets all similar texts under other labels; texts that can have
+    """The word pairs (gram) of each text of ``grams`` (rep, root, label, n, grams:
+    pieces of its n word pairs, dealt out evenly before they become rows) by which it meets all similar texts under other labels; texts that can have
     none are left out.  ``rest``: word pairs from this one on, the most that can
     be common where it is the first in common."""
-    grams = grams.withColumn("n", F.size("grams"))
-    each = grams.select("rep", "root", "label", "n", F.explode("grams").alias("gram"))
+    each = grams.hint("rebalance").select("rep", "root", "label", "n", F.explode("grams").alias("gram"))
     same = Window.partitionBy("gram")  # one exchange by word pair, where counts joined back would take two
     met = each.select("*", F.count("*").over(same).alias("texts"), F.min("label").over(same).alias("lo"), F.max("label").over(same).alias("hi")).where("lo < hi")
     # the order of all word pairs: those of one label, then by number of texts, then by hash
@@ -440,10 +439,15 @@ def open_links(large: DataFrame, roots: DataFrame, words: DataFrame, similarity:
 
     def run(batches):
         for batch in batches:
-            sets = [word_pairs(np.frombuffer(w.as_buffer(), "<u4")).view(np.int64) for w in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))], ["rep", "root", "grams"])
-
-    grams = words.join(waiting, "rep").select("rep", "root", "words").mapInArrow(run, "rep long, root long, grams array<long>")
+            out = []
+            for rep, root, w in zip(*batch.columns):
+                pairs = word_pairs(np.frombuffer(w.as_buffer(), "<u4")).view(np.int64)
+                out += [(rep.as_py(), root.as_py(), len(pairs), pairs[i : i + PIECE]) for i in range(0, len(pairs), PIECE)]
+            columns = zip(*out) if out else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(map(list, columns), schema)], schema=schema)
+
+    schema = pa.schema([("rep", pa.int64()), ("root", pa.int64()), ("n", pa.int32()), ("grams", pa.list_(pa.int64()))])
+    grams = words.join(waiting, "rep").select("rep", "root", "words").mapInArrow(run, "rep long, root long, n int, grams array<long>")
     grams = stored(grams, "grams")
     ahead, found = _ahead(grams.withColumn("label", F.col("root")), similarity), None
     dense = _dense_families(open_groups, ahead)
