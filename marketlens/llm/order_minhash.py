@@ -304,18 +304,18 @@ def _word_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each node's component.  ``edges``:
-    (a, b).  Alternating large-star and small-star contraction; each round is
-    two equi-joins with a grouped minimum, written to the shared folder."""
-    edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges, last = stored(edges, "edges"), None
+    (a, b).  Alternating large-star and small-star contraction, written to the
+    shared folder each round.  A node's least neighbour is its least parent (the
+    smaller end of an edge), so the many children of a root meet in no window."""
+    edges, last = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), None
+    parents = Window.partitionBy("b")
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("m").alias("a"), "b")
-        large = large.where("a <> b").distinct()
-        low = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(low, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y"))
-        edges = stored(small.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+        least = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("m"))
+        large = edges.join(least, F.col("a") == F.col("node"), "left").select(F.coalesce("m", "a").alias("a"), "b")
+        # repeats go where the parents of a node meet; its least parent takes the node and its other parents
+        small = large.withColumn("m", F.min("a").over(parents)).distinct()
+        below = F.when(F.col("a") == F.col("m"), F.col("b")).otherwise(F.col("a"))
+        edges = stored(small.select(F.col("m").alias("a"), below.alias("b")), "edges")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == last:
             break
@@ -360,11 +360,12 @@ def _least_common(n, similarity: float):
 
 
 def _ahead(grams: DataFrame, similarity: float) -> DataFrame:
-    """The word pairs (gram) of each text of ``grams`` (rep, root, label, n, grams:
-    pieces of its n word pairs, dealt out evenly before they become rows) by which it meets all similar texts under other labels; texts that can have
-    none are left out.  ``rest``: word pairs from this one on, the most that can
-    be common where it is the first in common."""
-    each = grams.hint("rebalance").select("rep", "root", "label", "n", F.explode("grams").alias("gram"))
+    """The word pairs (``met``, in order, each with its number of texts) of each text
+    of ``grams`` (rep, root, label, n, grams: pieces of its n word pairs, dealt out
+    evenly before they become rows) by which it meets all similar texts under other
+    labels; texts that can have none are left out.  One row a text; ``own``: word
+    pairs that no other label has."""
+    each = grams.repartition(partitions(grams.sparkSession)).select("rep", "root", "label", "n", F.explode("grams").alias("gram"))
     same = Window.partitionBy("gram")  # one exchange by word pair, where counts joined back would take two
     met = each.select("*", F.count("*").over(same).alias("texts"), F.min("label").over(same).alias("lo"), F.max("label").over(same).alias("hi")).where("lo < hi")
     # the order of all word pairs: those of one label, then by number of texts, then by hash
@@ -372,24 +373,31 @@ def _ahead(grams: DataFrame, similarity: float) -> DataFrame:
     own = F.col("n") - F.size("met")
     first = F.col("n") - _least_common(F.col("n"), similarity) + 1  # so many first word pairs must meet
     met = met.withColumn("own", own).withColumn("first", (first - own).cast("int")).where("first > 0")
-    ahead = met.select("rep", "root", "label", "n", "own", F.posexplode(F.slice("met", F.lit(1), F.col("first"))).alias("place", "x"))
-    ahead = ahead.select(F.col("x.gram").alias("gram"), "rep", "root", "label", "n", (F.col("n") - F.col("own") - F.col("place")).alias("rest"))
-    return stored(ahead, "ahead")
+    return stored(met.select("rep", "root", "label", "n", "own", F.slice("met", F.lit(1), F.col("first")).alias("met")), "ahead")
+
+
+def _ahead_rows(ahead: DataFrame) -> DataFrame:
+    """A row for each word pair (gram) ahead; ``rest``: word pairs from this one on,
+    the most that can be common where it is the first in common."""
+    each = ahead.select("rep", "root", "label", "n", "own", F.posexplode("met").alias("place", "x"))
+    return each.select(F.col("x.gram").alias("gram"), "rep", "root", "label", "n", (F.col("n") - F.col("own") - F.col("place")).alias("rest"))
 
 
 def _dense_families(open_groups: DataFrame, ahead: DataFrame) -> DataFrame:
     """(rep, family) of the texts to compare that large groups (GROUP, rep)
     connect, in families where many of them meet by the same word pairs: there a
-    row for each two that meet is more than all their texts in blocks."""
-    texts = ahead.select("rep").distinct()
+    row for each two that meet is more than all their texts in blocks.  How many
+    meet is counted from above, by all texts that have a word pair ahead, so no
+    word pair becomes a row for it; either way finds the same links."""
+    others = F.aggregate("met", F.lit(0).cast("long"), lambda total, x: total + x.texts - 1)
+    texts = ahead.select("rep", others.alias("others"))
     edges = open_groups.join(texts, "rep", "left_semi").select(F.col("rep").alias("a"), F.xxhash64(*GROUP).alias("b"))
     found = components(edges)
-    family = stored(texts.join(found, F.col("rep") == F.col("node"), "left").select("rep", F.coalesce("root", "rep").alias("family")), "families")
-    met = ahead.select("rep", "gram").join(family, "rep").groupBy("family", "gram").agg(F.count("*").alias("k"))
-    pairs = met.groupBy("family").agg(F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("pairs"))
-    size = family.groupBy("family").agg(F.count("*").alias("texts"))
-    dense = size.join(pairs, "family").where(F.col("pairs") > DENSE * F.col("texts") * F.ceil(F.col("texts") / BLOCK))
-    return stored(family.join(dense.select("family"), "family", "left_semi"), "dense")
+    family = texts.join(found, F.col("rep") == F.col("node"), "left").select("rep", "others", F.coalesce("root", "rep").alias("family"))
+    family = stored(family, "families")
+    size = family.groupBy("family").agg(F.count("*").alias("texts"), (F.sum("others") / 2).alias("pairs"))
+    dense = size.where(F.col("pairs") > DENSE * F.col("texts") * F.ceil(F.col("texts") / BLOCK))
+    return stored(family.join(dense, "family", "left_semi").select("rep", "family"), "dense")
 
 
 def _family_links(texts: DataFrame, similarity: float, spanning: bool) -> DataFrame:
@@ -454,12 +462,13 @@ def open_links(large: DataFrame, roots: DataFrame, words: DataFrame, similarity:
     if not dense.isEmpty():
         found = _family_links(words.join(dense, "rep").join(waiting, "rep"), similarity, spanning)
         # what else they meet: texts of a family have its name for a label, others the one of their component
-        labelled = grams.join(ahead.select("rep").distinct(), "rep", "left_semi").join(dense, "rep", "left")
+        labelled = grams.join(ahead, "rep", "left_semi").join(dense, "rep", "left")
         name = F.when(F.col("family").isNotNull(), F.xxhash64("family", F.lit("family")))  # not the name of a component
         ahead = _ahead(labelled.withColumn("label", F.coalesce(name, "root")), similarity)
     columns = ("rep", "root", "label", "n", "rest")
-    one = ahead.select("gram", *(F.col(c).alias(f"a_{c}") for c in columns))
-    two = ahead.select("gram", *(F.col(c).alias(f"b_{c}") for c in columns))
+    rows = _ahead_rows(ahead)
+    one = rows.select("gram", *(F.col(c).alias(f"a_{c}") for c in columns))
+    two = rows.select("gram", *(F.col(c).alias(f"b_{c}") for c in columns))
     longer, shorter = F.greatest("a_n", "b_n"), F.least("a_n", "b_n")
     enough = (F.least("a_rest", "b_rest") >= _least_common(longer, similarity)) & (shorter + 1 >= (longer + 1) * similarity - 1e-6)
     apart = (F.col("a_root") != F.col("b_root")) & (F.col("a_label") != F.col("b_label"))

@@ -229,6 +229,38 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert got == {i: 100 for i in range(101, 161)} | {i: 7 for i in range(200, 260)}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_components_of_repeated_edges(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(rng.choice([20, 45, 70]))]
+    edges += [(b, a) for a, b in edges[::3]] + edges[::2]
+    want = components_of(range(60), edges)
+    got = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    rows = [(r.node, r.root) for r in om.components(got).collect()]
+    assert sorted(rows) == sorted((x, root) for x, root in want.items() if x != root)
+
+
+def test_word_pairs_ahead_stay_in_one_row(spark, monkeypatch):
+    """Which families are dense is told from one row a text."""
+    rng = random.Random(3)
+    base = [rng.randrange(1, 2**32) for _ in range(100)]
+    words = []
+    for i in range(150):
+        w = list(base)
+        for place in rng.sample(range(100), 14):
+            w[place] = rng.randrange(1, 400)
+        words.append((i, np.array(w, "<u4")))
+    kept = []
+    monkeypatch.setattr(om, "stored", lambda df, name, f=om.stored: kept.append((name, f(df, name))) or kept[-1][1])
+    large = spark.createDataFrame([(0, 1, i) for i, _ in words], "sketch int, value long, rep long")
+    texts = spark.createDataFrame([(i, bytearray(w.tobytes())) for i, w in words], "rep long, words binary")
+    om.open_links(large, spark.createDataFrame([], "node long, root long"), texts)
+    rows = {}
+    for name, df in kept:
+        rows.setdefault(name, df.count())
+    assert rows["dense"] == 150 and rows["ahead"] == 150
+
+
 def test_near_of_nothing(spark, empty):
     assert om.classes(empty).collect() == []
     rows = spark.createDataFrame([(1, None), (2, ""), (None, "x"), (2, "")], "doc_id long, text string")
