@@ -26,6 +26,8 @@ columns are ignored; a lone document is its own next.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,9 +120,9 @@ def fingerprints(rows: DataFrame) -> DataFrame:
     return cells.groupBy("row").agg(pick(0).alias("fingerprint"), pick(1).alias("edited_fingerprint"))
 
 
-def differences(pairs: DataFrame, salt: int) -> DataFrame:
+def differences(pairs: DataFrame, salt: int, tasks: int) -> DataFrame:
     """Peel the difference of two tables a row of ``pairs`` (row, kind, a, b,
-    cells).  Returns row, kind, found (recovered digests), done; pairs whose
+    cells), dealt out to ``tasks``.  Returns row, kind, found (recovered digests), done; pairs whose
     tables cancel altogether have no row.  Empty cells are left out."""
     signed = F.flatten(
         F.array(
@@ -129,7 +131,7 @@ def differences(pairs: DataFrame, salt: int) -> DataFrame:
         )
     )
     group = ["row", "kind", "cells", "cell"]
-    dealt = pairs.repartition(8 * partitions(pairs.sparkSession), "row").select("row", "kind", "cells", F.explode(signed).alias("x"))
+    dealt = pairs.repartition(tasks, "row").select("row", "kind", "cells", F.explode(signed).alias("x"))
     zero = F.lit(0).cast("long")
     key = F.col("x.key")
     table = dealt.select(
@@ -163,13 +165,18 @@ def likenesses(rows: DataFrame) -> DataFrame:
     pairs = rows.select("row", F.explode(kinds).alias("p")).select("row", "p.*")
     total = F.size("a") + F.size("b")
     left, results, attempt = pairs, [], 0
+    all_pairs, most = 2 * rows.count(), 8 * partitions(rows.sparkSession)
+    tasks = most
     while True:
         size = F.greatest(F.lit(CELLS), 3 * F.ceil(total * ROOM * 2**attempt / 3)).cast("long")
-        got = stored(differences(left.withColumn("cells", size), attempt + 1), "peeled")
+        got = stored(differences(left.withColumn("cells", size), attempt + 1, tasks), "peeled")
         results.append(got.where("done").drop("done"))
         failed = got.where(~F.col("done")).select("row", "kind")
-        if failed.isEmpty():
+        n = failed.count()
+        if not n:
             break
+        # each task has maps for all rounds, however few pairs it gets; those that are left are the larger ones
+        tasks = min(most, ceil(2 * most * n / all_pairs))
         left, attempt = pairs.join(failed, ["row", "kind"], "left_semi"), attempt + 1
     peeled = results[0]
     for r in results[1:]:

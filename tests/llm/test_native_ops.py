@@ -138,6 +138,19 @@ def test_large_differences_are_retried(spark, monkeypatch):
         assert r.near_edited == pytest.approx(want[r.doc_id][2]) and r.near_next == pytest.approx(want[r.doc_id][3])
 
 
+def test_retries_take_tasks_for_what_is_left(spark, monkeypatch):
+    rng = random.Random(9)
+    sentence = lambda: " ".join(rng.choice("abcdefghij") + str(rng.randrange(1000)) for _ in range(5)) + "."
+    docs = [(i, "\n".join(sentence() for _ in range(3 if i % 40 else 150))) for i in range(200)]
+    tasks = []
+    monkeypatch.setattr(version_sketch, "ROOM", 0.3)
+    monkeypatch.setattr(version_sketch, "differences", lambda p, s, n, f=version_sketch.differences: tasks.append(n) or f(p, s, n))
+    want = brute_versions(docs)
+    for r in version_sketch.fingerprint_report(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        assert r.near_edited == pytest.approx(want[r.doc_id][2]) and r.near_next == pytest.approx(want[r.doc_id][3])
+    assert len(tasks) > 1 and all(n <= tasks[0] / 4 for n in tasks[1:])
+
+
 def test_fingerprints_of_few_rows(spark, empty):
     assert version_sketch.fingerprint_report(empty).collect() == []
     (one,) = version_sketch.fingerprint_report(spark.createDataFrame([(5, "ab.\ncd")], "doc_id long, text string")).collect()
