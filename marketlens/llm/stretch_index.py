@@ -32,14 +32,17 @@ from .common import partitions
 
 KIND_COPY, KIND_OPEN = 0, 1
 PLACES = "doc_id long, kind int, start long, n_windows int, anchor long"
-_FLUSH = 600_000
+_FLUSH = 300_000  # stretches that a task holds before it settles and sends them
+_SENT = 1 << 20  # bytes to send that go into one record batch, but for its last row
+_COPIES_SENT = 50_000  # spans of copies sent as one row
+_BLOCK = 1 << 16  # bytes of short texts hashed at a time
 HOT_SAMPLE_DOCS, HOT_SHARE = 2000, 0.02
 
 
 def cut_texts(data: np.ndarray, offsets: np.ndarray, unit: str, k: int, w: int, hot: np.ndarray | None):
     """Stretches of a batch of texts: (anchor, content, row, start, n_windows)
     with starts counted in symbols from the text's begin."""
-    for a, b in sy.blocks(offsets):
+    for a, b in sy.blocks(offsets, _BLOCK):
         part = offsets[a : b + 1]
         if unit == "byte":
             values = sy.byte_values(data[part[0] : part[-1]])
@@ -148,12 +151,21 @@ def places(docs: DataFrame, unit: str, k: int, w: int, strict: bool, hot: np.nda
     rows are first members of classes that share an anchor with another class."""
     n_buckets = 8 * partitions(docs.sparkSession)
 
-    def settle(h, c, doc, start, n):
-        """Copies among these stretches, and what is left."""
-        order, _, new_class = _classes(h, c, doc, start)
-        h, c, doc, start, n = (x[order] for x in (h, c, doc, start, n))
-        copy = _copies(new_class, doc, strict)
-        return (doc[copy], start[copy], n[copy]), (h[~copy], c[~copy], doc[~copy], start[~copy], n[~copy])
+    def settle(held):
+        """Copies among the stretches held, and what is left.  ``held`` is emptied
+        and columns are replaced one by one, so that they are in memory once."""
+        columns = [list(x) for x in zip(*held)]
+        held.clear()
+        for i in range(5):
+            columns[i] = np.concatenate(columns[i])
+        order, _, new_class = _classes(*columns[:4])
+        for i in range(5):
+            columns[i] = columns[i][order]
+        copy = _copies(new_class, columns[2], strict)
+        done = [x[copy] for x in columns[2:]]
+        for i in range(5):
+            columns[i] = columns[i][~copy]
+        return done, columns
 
     def spans(doc, start, n):
         doc, start, end = _merge(doc, start, start + n)
@@ -163,10 +175,10 @@ def places(docs: DataFrame, unit: str, k: int, w: int, strict: bool, hot: np.nda
         held, size = [], 0
 
         def flush():
-            done, left = settle(*(np.concatenate(x) for x in zip(*held)))
+            done, left = settle(held)
             doc, start, n = spans(*done)
-            for at in range(0, len(doc), 500_000):
-                part = slice(at, at + 500_000)
+            for at in range(0, len(doc), _COPIES_SENT):
+                part = slice(at, at + _COPIES_SENT)
                 blob = _split32(doc[part]) + _split32(start[part]) + n[part].astype("<i4").tobytes()
                 yield int(doc[at]) % n_buckets, KIND_COPY, blob
             h = left[0]
@@ -181,18 +193,29 @@ def places(docs: DataFrame, unit: str, k: int, w: int, strict: bool, hot: np.nda
                 [pa.array(b, pa.int32()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())], ["bucket", "kind", "blob"]
             )
 
+        def sent():
+            rows, n_bytes = [], 0
+            for row in flush():
+                rows.append(row)
+                n_bytes += len(row[2])
+                if n_bytes >= _SENT:
+                    yield out(rows)
+                    rows, n_bytes = [], 0
+            if rows:
+                yield out(rows)
+
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             data, offsets = sy.utf8(batch.column(1))
             for h, c, row, start, n in cut_texts(data, offsets, unit, k, w, hot):
-                held.append((h, c, ids[row], start, n))
+                # anchors are smallest hashes: mixed again, they fall evenly into the buckets
+                held.append((sy.mix(h), c, ids[row], start, n.astype(np.int32)))
                 size += len(h)
                 if size >= _FLUSH:
-                    if rows := list(flush()):
-                        yield out(rows)
-                    held, size = [], 0
-        if size and (rows := list(flush())):
-            yield out(rows)
+                    yield from sent()
+                    size = 0
+        if size:
+            yield from sent()
 
     def result(doc, kind, start, n, anchor):
         return pa.RecordBatch.from_arrays(

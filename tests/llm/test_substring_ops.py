@@ -1,8 +1,10 @@
 """Suffix-array and Lempel-Ziv removal against brute force."""
 
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -124,3 +126,47 @@ def test_no_large_anchor_reaches_one_task(frame, corpus, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_sorted_spans", watched)
     assert removed_bytes(frame) == brute_bytes(corpus, 100)
     assert seen and max(seen) <= 400
+
+
+class _Tasks:
+    """Stands in for a DataFrame and keeps what its tasks are to run."""
+
+    sparkSession = type("Session", (), {"conf": {"spark.sql.shuffle.partitions": "12"}})
+
+    def __init__(self):
+        self.functions = []
+
+    def __getattr__(self, name):
+        return lambda *args, **options: self
+
+    def mapInArrow(self, function, schema):
+        self.functions.append(function)
+        return self
+
+
+def test_cutting_a_large_part_takes_bounded_memory_and_sends_even_buckets():
+    """Texts of 12 MB without repeats and copies of 2 MB in one task: small
+    record batches, and no bucket with much more than its share."""
+    tasks, rng = _Tasks(), np.random.default_rng(4)
+    stretch_index.places(tasks, "byte", 40, 100, strict=False)
+    cut, _ = tasks.functions
+    copied = ["".join(map(chr, rng.integers(97, 123, 2000))) for _ in range(250)]
+
+    def batches(n):
+        for i in range(n):
+            texts = copied if i % 7 == 6 else [bytes(x).decode() for x in rng.integers(97, 123, (250, 2000), np.uint8)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(250 * i, 250 * i + 250)), pa.array(texts)], ["doc_id", "text"])
+
+    list(cut(batches(1)))  # tables of powers are made once
+    sizes, buckets = [], np.zeros(96)
+    tracemalloc.start()
+    for batch in cut(batches(28)):
+        sizes.append(batch.nbytes)
+        for bucket, kind, blob in zip(*(x.to_pylist() for x in batch.columns)):
+            if kind == stretch_index.KIND_OPEN:
+                buckets[bucket] += len(blob)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    assert max(sizes) < 3 << 20
+    assert buckets.max() < 2 * buckets.mean()
