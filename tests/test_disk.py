@@ -89,3 +89,19 @@ def test_irregular_keys(spark):
     assert counted(odd) == Counter({("b", 2): 1, ("x", 0): 1})
     known = counted(look_up_known(rows, odd, "k", "known"))
     assert known == Counter({("a", 1, True): 1, ("b", 2, True): 2, ("b", 3, True): 2, ("x", 4, None): 1, (None, 5, None): 1})
+
+
+def test_seller_mart_of_lines_equals_that_of_the_line_fact(spark, odd):
+    from marketlens.plans import marts
+
+    w = Warehouse(spark, None, odd)
+    plain = counted(marts.seller_performance(w.items_by_order, w.fct_orders, w.dim_sellers))
+    assert counted(w.seller_performance) == plain and None in {r[0] for r in plain}
+
+
+def test_seller_mart_moves_no_digests(spark, warehouse):
+    """Lines go to their orders, their sellers and the count of products."""
+    with settings(spark, **{k: "2k" for k in NO_BROADCAST}):
+        plan = Warehouse(spark, warehouse.sources).seller_performance._jdf.queryExecution().executedPlan().toString()
+    assert "md5(" in plan and plan.rindex("md5(") < plan.index("Exchange")
+    assert "unhex" not in plan and "hashpartitioning(product_id" not in plan
