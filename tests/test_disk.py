@@ -105,3 +105,28 @@ def test_seller_mart_moves_no_digests(spark, warehouse):
         plan = Warehouse(spark, warehouse.sources).seller_performance._jdf.queryExecution().executedPlan().toString()
     assert "md5(" in plan and plan.rindex("md5(") < plan.index("Exchange")
     assert "unhex" not in plan and "hashpartitioning(product_id" not in plan
+
+
+def test_checks_leave_only_their_report(spark, warehouse):
+    """Facts, marts and shuffles that the checks needed are gone when they have run."""
+    import glob
+
+    from marketlens.plans.quality import dq_report
+    from marketlens.session import checkpoint_root
+
+    folder = checkpoint_root(spark).removeprefix("file:")
+    before, shuffled = set(glob.glob(f"{folder}/*")), shuffle_files(spark)
+    report = dq_report(warehouse)
+    left = set(glob.glob(f"{folder}/*")) - before
+    assert [f.split("/")[-1].split("-")[0] for f in left] == ["checks"]
+    assert not {f for f in shuffle_files(spark) - shuffled if f.endswith(".data")}
+    assert report.count() == 80
+
+
+def test_checks_leave_the_callers_marts(spark, warehouse):
+    from marketlens.plans.quality import CHECKS, dq_report
+
+    w = Warehouse(spark, warehouse.sources)
+    n = w.customer_rfm.count()
+    assert dq_report(w, [c for c in CHECKS if c.model == "customer_rfm"], materialize_models=False).count() > 0
+    assert w.customer_rfm.count() == n
