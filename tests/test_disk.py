@@ -130,3 +130,39 @@ def test_checks_leave_the_callers_marts(spark, warehouse):
     n = w.customer_rfm.count()
     assert dq_report(w, [c for c in CHECKS if c.model == "customer_rfm"], materialize_models=False).count() > 0
     assert w.customer_rfm.count() == n
+
+
+def test_exports_read_each_mart_back_before_the_next(spark, monkeypatch):
+    """All marts in both formats, whole; no more than one mart's copies at a time."""
+    import glob
+
+    import __spark_entry__ as entry
+    from marketlens.plans.pipeline import MART_NAMES
+    from marketlens.session import checkpoint_root
+    from marketlens.sources import sinks
+
+    folder, seen, write = checkpoint_root(spark).removeprefix("file:"), [], sinks.write_table
+
+    def watched(df, path, *args):
+        n = write(df, path, *args)
+        seen.append({f.split("/")[-1].split(".")[0] for f in glob.glob(f"{folder}/export-*/*.*") if not f.endswith(".json")})
+        return n
+
+    monkeypatch.setattr(sinks, "write_table", watched)
+    rows = entry.queries()["mart_export_report"](spark, "/root/testdata/sf0.001").collect()
+    assert {(r.mart, r.format) for r in rows} == {(m, f) for m in MART_NAMES for f in sinks.FORMATS} and len(rows) == 2 * len(MART_NAMES)
+    assert all(r.n_rows > 0 and r.n_keys > 0 for r in rows)
+    assert seen == [{m} for m in MART_NAMES for _ in sinks.FORMATS]
+    assert not glob.glob(f"{folder}/export-*/*.csv") + glob.glob(f"{folder}/export-*/*.parquet/_SUCCESS")
+
+
+def test_compressed_csv_comes_back(spark, scratch):
+    import glob
+
+    from marketlens.sources.sinks import verify_export, write_table
+
+    df = spark.createDataFrame([(1, " a "), (2, ""), (3, None), (4, "two\nlines")], "i long, t string")
+    assert write_table(df, f"{scratch}/odd.csv", "csv", compression="gzip") == 4 == verify_export(spark, scratch, "odd", "csv")
+    assert glob.glob(f"{scratch}/odd.csv/*.csv.gz")
+    write_table(df, f"{scratch}/plain.csv", "csv")
+    assert glob.glob(f"{scratch}/plain.csv/*.csv") and not glob.glob(f"{scratch}/plain.csv/*.gz")
