@@ -166,3 +166,12 @@ def test_compressed_csv_comes_back(spark, scratch):
     assert glob.glob(f"{scratch}/odd.csv/*.csv.gz")
     write_table(df, f"{scratch}/plain.csv", "csv")
     assert glob.glob(f"{scratch}/plain.csv/*.csv") and not glob.glob(f"{scratch}/plain.csv/*.gz")
+
+
+def test_seller_mart_follows_a_fact_that_is_given(spark, odd):
+    """A warehouse may be given a part of the lines (a purchase window)."""
+    whole = Warehouse(spark, None, odd)
+    part = whole.fct_order_items.where("order_id in ('o1', 'o2')")
+    windowed = Warehouse(spark, None, odd | {"fct_order_items": part})
+    n = sum(r.item_count for r in windowed.seller_performance.dropDuplicates(["seller_key"]).collect())
+    assert n == part.count() < whole.fct_order_items.count()
